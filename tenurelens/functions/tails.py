@@ -81,46 +81,34 @@ def ks_two_sample_tail(stat: float, n: int, m: int) -> float | None:
         en = n * m / (n + m)
         root = math.sqrt(en)
         return kolmogorov_tail(stat * root + 1.0 / (6.0 * root) + (stat * root - 1.0) / (4.0 * en))
-    if stat <= 0:
-        return 1.0
-    if n > m:
-        n, m = m, n
-    # integer form of the statistic: |i*m - j*n| >= h leaves the band
+    limit = kolmogorov_tail(stat * math.sqrt(n * m / (n + m)))
+    if stat <= 0 or limit < 1e-12:
+        return limit
+    n, m = min(n, m), max(n, m)
     h = round(stat * n * m)
-    # inside[j]: paths reaching (i, j) inside the band over all paths reaching (i, j)
-    j = np.arange(m + 1)
-    inside = (j * n < h).astype(float)
-    inside = np.where(np.cumprod(inside) > 0, 1.0, 0.0)
+    # share[j]: part of the lattice paths to (i, j) that stayed inside the band
+    share = np.zeros(m + 1)
+    share[: _band(0, n, m, h)[1] + 1] = 1.0
     for i in range(1, n + 1):
-        # P(i,j) = P(i-1,j) * i/(i+j) + P(i,j-1) * j/(i+j); unrolled with weights C(i+j, j)
-        ok = np.abs(i * m - j * n) < h
         lo, hi = _band(i, n, m, h)
-        if lo > hi:
-            return 1.0
+        j = np.arange(lo, hi + 1)
+        # paths(i, j) = paths(i-1, j) + paths(i, j-1), as shares of C(i+j, j)
+        from_below = share[lo : hi + 1] * (i / (i + j))
+        log_paths = np.concatenate([[0.0], np.cumsum(np.log((i + j[1:]) / j[1:]))])
         row = np.zeros(m + 1)
-        prev = inside[lo - 1] if False else 0.0
-        span = np.arange(lo, hi + 1)
-        # log of C(i+j, j) relative to its value at lo keeps the cumulative sum in range
-        logw = _log_choose(i, span)
-        up = inside[lo : hi + 1] * (i / (i + span))
-        shift = logw - logw[-1]
-        acc = np.cumsum(up * np.exp(shift)) if len(span) else prev
-        row[lo : hi + 1] = acc * np.exp(-shift)
-        row[~ok] = 0.0
-        inside = row
-    return float(min(1.0, max(0.0, 1.0 - inside[m])))
+        carry, start = 0.0, 0
+        while start < len(j):
+            stop = max(start + 1, int(np.searchsorted(log_paths, log_paths[start] + 600.0)))
+            weight = np.exp(log_paths[start:stop] - log_paths[start])
+            before = carry * math.exp(log_paths[start - 1] - log_paths[start]) if start else 0.0
+            row[lo + start : lo + stop] = (
+                np.cumsum(from_below[start:stop] * weight) + before
+            ) / weight
+            carry, start = row[lo + stop - 1], stop
+        share = row
+    return float(min(1.0, max(0.0, 1.0 - share[m])))
 
 
 def _band(i: int, n: int, m: int, h: int) -> tuple[int, int]:
-    """Columns j with |i*m - j*n| < h."""
-    lo = max(0, (i * m - h) // n + 1)
-    hi = min(m, -((-(i * m + h)) // n) - 1)
-    return lo, hi
-
-
-def _log_choose(i: int, j: np.ndarray) -> np.ndarray:
-    """log C(i+j, j) over a run of j, up to a constant."""
-    if len(j) == 0:
-        return np.zeros(0)
-    steps = np.log((i + j[1:]) / j[1:])
-    return np.concatenate([[0.0], np.cumsum(steps)])
+    """First and last column j with |i*m - j*n| < h."""
+    return max(0, (i * m - h) // n + 1), min(m, -((-(i * m + h)) // n) - 1)
