@@ -133,3 +133,24 @@ def normal_upper_tail(z: Column) -> Column:
     far = tail_ratio_far(a) / 2.506628274631
     tail = F.exp(-a * a / 2.0) * F.when(a < HART_LIMIT, near).otherwise(far)
     return F.when(z > 0, tail).otherwise(1.0 - tail)
+
+
+def double_array(values) -> Column:
+    """A constant array, parsed in one go."""
+    if len(values) == 0:
+        return F.expr("cast(array() as array<double>)")
+    return F.expr("array(" + ",".join(f"{float(v)!r}D" for v in values) + ")")
+
+
+def count_below(value: Column, marks) -> Column:
+    """How many of the ascending `marks` are smaller than the value (binary search)."""
+    if len(marks) == 0:
+        return F.lit(0)
+    array, size = double_array(marks), len(marks)
+    powers = [1 << k for k in reversed(range(size.bit_length()))]
+
+    def descend(pos: Column, step: Column) -> Column:
+        fits = pos + step <= size
+        return F.when(fits & (F.get(array, pos + step - 1) < value), pos + step).otherwise(pos)
+
+    return F.aggregate(F.array(*[F.lit(p) for p in powers]), F.lit(0), descend)

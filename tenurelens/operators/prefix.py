@@ -1,9 +1,10 @@
-"""Running sums over an ordered table without ever sorting it in one task.
+"""Running sums over a table that holds one row per group and order value.
 
-The table is cut into buckets along the order column. Sums inside a bucket come from a window
-per bucket; what precedes the bucket comes from a window over bucket totals, of which there
-are few. Whole-number order columns (days) are cut every 1,024 values; other columns are cut
-at approximate quantiles of the table itself.
+An int order column is a day count: a group has at most as many rows as days were observed
+(36,525 in a century), so a plain window per group is small whatever the number of raw rows.
+Any other order column may be as long as the data. Such a table is cut into buckets at
+approximate quantiles of itself: sums inside a bucket come from a window per bucket, and what
+precedes the bucket from a window over bucket totals, of which there are few.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql.types import ByteType, IntegerType, ShortType
 QUANTILE_BUCKETS = 128
 
 
-def with_bucket(df: DataFrame, order: str) -> DataFrame:
-    if isinstance(df.schema[order].dataType, (ByteType, ShortType, IntegerType)):
-        return df.withColumn("_bucket", F.shiftright(F.col(order), 10))
+def with_bucket(df: DataFrame, order: str, used: list[str]) -> DataFrame:
     marks = [k / QUANTILE_BUCKETS for k in range(1, QUANTILE_BUCKETS)]
-    bounds = df.agg(F.percentile_approx(order, marks, 5000)).scalar()
+    # touching the summed columns keeps this branch's input identical to the others', so that
+    # Spark runs the shuffle below them once; the few rows the condition skips do not matter
+    value = F.when(F.xxhash64(*used) != 0, F.col(order))
+    bounds = df.agg(F.percentile_approx(value, marks, 5000)).scalar()
     return (
         df.withColumn("_bounds", bounds)
         .withColumn(
@@ -30,6 +32,10 @@ def with_bucket(df: DataFrame, order: str) -> DataFrame:
     )
 
 
+def counts_days(df: DataFrame, order: str) -> bool:
+    return isinstance(df.schema[order].dataType, (ByteType, ShortType, IntegerType))
+
+
 def running_sums(
     df: DataFrame,
     order: str,
@@ -44,9 +50,22 @@ def running_sums(
     With `totals`, `<new column>_total` holds the sum over the whole group.
     """
     groups = list(groups)
-    key = [*groups, "_bucket"]
     direction = F.desc if descending else F.asc
-    table = with_bucket(df, order)
+    if counts_days(df, order):
+        so_far = (
+            Window.partitionBy(*(groups or [F.lit(0)]))
+            .orderBy(direction(order))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        whole = so_far.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return df.select(
+            "*",
+            *[F.sum(c).over(so_far).alias(new) for new, c in sums.items()],
+            *([F.sum(c).over(whole).alias(f"{new}_total") for new, c in sums.items()] if totals else []),
+        )
+
+    key = [*groups, "_bucket"]
+    table = with_bucket(df, order, list(sums.values()))
 
     earlier = (
         Window.partitionBy(*groups)
