@@ -64,7 +64,8 @@ def engagement(weekly_sessions: Column, satisfaction: Column, recency_days: Colu
 def finite_or_zero(value: Column) -> Column:
     """Nulls, NaN and infinities become 0."""
     v = value.cast("double")
-    return F.when(v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), 0.0).otherwise(v)
+    # v - v is NaN for an infinite v and 0 for any other number
+    return F.coalesce(F.nanvl(v - v + v, F.lit(0.0)), F.lit(0.0))
 
 
 def zscore(value: Column, mean: float, std: float) -> Column:

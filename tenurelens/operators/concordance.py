@@ -92,9 +92,9 @@ def concordance(
     points_per_line: int = POINTS_PER_LINE,
 ) -> dict:
     """Counts of comparable, concordant and tied pairs, and the index (None if no pair)."""
-    points = (
-        df.where(F.col(risk).isNotNull() & F.col(duration).isNotNull() & ~F.isnan(F.col(risk).cast("double")))
-        .groupBy(
+    # filtering the stored points, not the rows: a filter on the rows would repeat the risk formula
+    stored = (
+        df.groupBy(
             F.col(risk).cast("double").alias("r"),
             F.col(duration).cast("double").alias("t"),
             (F.coalesce(F.col(event).cast("int"), F.lit(0)) != 1).cast("int").alias("c"),
@@ -102,6 +102,7 @@ def concordance(
         .agg(F.count(F.lit(1)).alias("w"))
         .persist()
     )
+    points = stored.where(F.col("r").isNotNull() & ~F.isnan("r") & F.col("t").isNotNull())
     try:
         size = points.count()
         lines = max(1, min(MAX_LINES, -(-size // points_per_line)))
@@ -116,7 +117,7 @@ def concordance(
         )
         result = _count(placed, 2 * len(rm) + 1, 3 * len(tm) + 1)
     finally:
-        points.unpersist()
+        stored.unpersist()
     comparable, concordant, tied = result
     index = (concordant + 0.5 * tied) / comparable if comparable else None
     return {

@@ -31,7 +31,7 @@ from tenurelens.operators.design import Design, fit_design
 from tenurelens.operators.partials import (
     SLOT_SCHEMA, collect_slots, columns_of, pack_upper, slot_batch, unpack_upper,
 )
-from tenurelens.operators.prefix import running_sums
+from tenurelens.operators.prefix import group_sums, running_sums
 from tenurelens.sources.schemas import COX_CATEGORICAL, COX_NUMERIC, HORIZONS
 from tenurelens.sources.tables import cut_lineage, read_parquet, write_parquet
 
@@ -96,9 +96,7 @@ def risk_table(rows: DataFrame, beta: np.ndarray) -> DataFrame:
         if len(keys):
             yield emit(keys, sums)
 
-    by_time = rows.mapInArrow(partials, schema).groupBy("time").agg(
-        *[F.sum(f).alias(f) for f in fields]
-    )
+    by_time = group_sums(rows.mapInArrow(partials, schema), ["time"], {f: f for f in fields})
     at_risk = {f"r{k}": f"w{k}" for k in range(p + 1)}
     table = running_sums(by_time, "time", at_risk, descending=True)
     return table.drop(*names("w", p + 1))

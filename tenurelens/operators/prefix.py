@@ -47,66 +47,59 @@ def running_sums(
     """Add inclusive running sums `{new column: summed column}` per group.
 
     `order` must be unique within a group (aggregate ties first) and group keys not null.
-    With `totals`, `<new column>_total` holds the sum over the whole group.
+    With `totals`, `<new column>_total` holds the sum over the whole group. There may be many
+    sums, so the expressions are given as SQL text, one call per table.
     """
-    groups = list(groups)
-    direction = F.desc if descending else F.asc
+    way = "DESC" if descending else "ASC"
+
+    def quoted(columns) -> list[str]:
+        return [f"`{c}`" for c in columns]
+
+    def over(partition, by, frame: str) -> str:
+        return f"OVER (PARTITION BY {', '.join(partition) or '0'} ORDER BY {by} {way} ROWS BETWEEN {frame})"
+
+    so_far = "UNBOUNDED PRECEDING AND CURRENT ROW"
+    everything = "UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
     if counts_days(df, order):
-        so_far = (
-            Window.partitionBy(*(groups or [F.lit(0)]))
-            .orderBy(direction(order))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        whole = so_far.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return df.select(
+        inside = over(quoted(groups), f"`{order}`", so_far)
+        whole = over(quoted(groups), f"`{order}`", everything)
+        return df.selectExpr(
             "*",
-            *[F.sum(c).over(so_far).alias(new) for new, c in sums.items()],
-            *([F.sum(c).over(whole).alias(f"{new}_total") for new, c in sums.items()] if totals else []),
+            *[f"sum(`{c}`) {inside} AS `{new}`" for new, c in sums.items()],
+            *[f"sum(`{c}`) {whole} AS `{new}_total`" for new, c in sums.items() if totals],
         )
 
     key = [*groups, "_bucket"]
     table = with_bucket(df, order, list(sums.values()))
-
-    earlier = (
-        Window.partitionBy(*groups)
-        .orderBy(direction("_bucket"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    bucket_sums = group_sums(table, key, {f"_sum_{new}": c for new, c in sums.items()})
+    earlier = over(quoted(groups), "`_bucket`", "UNBOUNDED PRECEDING AND 1 PRECEDING")
+    whole = over(quoted(groups), "`_bucket`", everything)
+    offsets = bucket_sums.selectExpr(
+        *quoted(key),
+        *[f"sum(`_sum_{new}`) {earlier} AS `_before_{new}`" for new in sums],
+        *[f"sum(`_sum_{new}`) {whole} AS `{new}_total`" for new in sums if totals],
     )
-    everything = Window.partitionBy(*groups)
-    bucket_sums = table.groupBy(*key).agg(
-        *[F.sum(c).alias(f"_sum_{new}") for new, c in sums.items()]
+    inside = over(quoted(key), f"`{order}`", so_far)
+    local = table.selectExpr(
+        *quoted(df.columns), "_bucket",
+        *[f"sum(`{c}`) {inside} AS `_local_{new}`" for new, c in sums.items()],
     )
-    offsets = bucket_sums.select(
-        *key,
-        *[F.sum(f"_sum_{new}").over(earlier).alias(f"_before_{new}") for new in sums],
-        *(
-            [F.sum(f"_sum_{new}").over(everything).alias(f"{new}_total") for new in sums]
-            if totals
-            else []
-        ),
+    return local.join(offsets, on=key).selectExpr(
+        *quoted(df.columns),
+        *[
+            f"CASE WHEN `_before_{new}` IS NULL THEN `_local_{new}` "
+            f"ELSE `_before_{new}` + coalesce(`_local_{new}`, 0) END AS `{new}`"
+            for new in sums
+        ],
+        *[f"`{new}_total`" for new in sums if totals],
     )
 
-    inside = (
-        Window.partitionBy(*key)
-        .orderBy(direction(order))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = table.select(
-        *key,
-        *[c for c in df.columns if c not in groups],
-        *[F.sum(c).over(inside).alias(f"_local_{new}") for new, c in sums.items()],
-    )
 
-    def combined(new: str):
-        before = F.col(f"_before_{new}")
-        part = F.col(f"_local_{new}")
-        return F.when(before.isNull(), part).otherwise(before + F.coalesce(part, F.lit(0)))
-
-    return local.join(offsets, on=key).select(
-        *df.columns,
-        *[combined(new).alias(new) for new in sums],
-        *([f"{new}_total" for new in sums] if totals else []),
-    )
+def group_sums(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
+    """`GROUP BY keys` with one sum per `{new column: summed column}`."""
+    by = ", ".join(f"`{k}`" for k in keys)
+    wanted = ", ".join(f"sum(`{c}`) AS `{new}`" for new, c in sums.items())
+    return df.sparkSession.sql(f"SELECT {by}, {wanted} FROM {{rows}} GROUP BY {by}", rows=df)
 
 
 def rank_by_hash(
