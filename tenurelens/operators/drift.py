@@ -11,6 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tenurelens.functions import scalars as S
 from tenurelens.functions.tails import chi2_tail, ks_two_sample_tail
@@ -22,7 +23,7 @@ ALPHA = 0.05
 BINS = 10
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ks_pvalue(stat: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series([
         None if pd.isna(s) else ks_two_sample_tail(float(s), int(a), int(b))
@@ -30,7 +31,7 @@ def ks_pvalue(stat: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     ], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_pvalue(stat: pd.Series, degrees: pd.Series) -> pd.Series:
     return pd.Series([
         None if pd.isna(s) else chi2_tail(float(s), float(d)) for s, d in zip(stat, degrees)

@@ -293,7 +293,7 @@ def quality_report(spark, root):
 
 @query(with_views("\nUNION ALL\n".join(
     f"SELECT 'customers' AS dataset, 'null_pct' AS \"check\", '{c}' AS \"column\", "
-    f"round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 2) AS value, 5.0 AS threshold, "
+    f"round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 2) AS value, CAST(5 AS DOUBLE) AS threshold, "
     f"'warning' AS severity, 100.0 * count(*) FILTER ({c} IS NULL) / count(*) <= 5 AS passed FROM everyone"
     for c in ["customer_id", "segment", "city", "age_years", "first_purchase_date", "churn_date", "duration_days"]
 ), "everyone"))
@@ -592,7 +592,7 @@ def risk_segments(spark, root):
 
 
 @query(cox_views(f"""
-SELECT CAST(bin AS BIGINT) AS bin, bin / 10.0 AS lower, (bin + 1) / 10.0 AS upper,
+SELECT CAST(bin AS BIGINT) AS bin, round(bin / 10.0, 6) AS lower, round((bin + 1) / 10.0, 6) AS upper,
        (SELECT count(*) FROM hazards WHERE least(9, floor({survival_sql(2000)} * 10)) = bin) AS n
 FROM (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS bin)"""))
 def score_histogram(spark, root):
@@ -695,7 +695,7 @@ def c_index(spark, root):
 @query(with_views("""
 , scored AS (SELECT floor(product_price_inr / 5000) AS risk, duration_days, is_churned FROM customers),
 n AS (SELECT count(*) FILTER (is_churned = 1 AND duration_days <= 1500) AS cases, count(*) FILTER (duration_days > 1500) AS controls FROM scored)
-SELECT 1500.0 AS horizon, cases, controls, round(wins / cases / controls, 6) AS auc FROM n,
+SELECT CAST(1500 AS DOUBLE) AS horizon, cases, controls, round(wins / cases / controls, 6) AS auc FROM n,
  (SELECT sum(CASE WHEN j.risk < i.risk THEN 1.0 WHEN j.risk = i.risk THEN 0.5 ELSE 0 END) AS wins
   FROM scored i JOIN scored j ON i.is_churned = 1 AND i.duration_days <= 1500 AND j.duration_days > 1500)""".lstrip(), "customers").replace("\n, scored AS", ",\nscored AS"))
 def auc_horizon(spark, root):
@@ -742,7 +742,7 @@ NUMERIC_SIDES = """
             UNION ALL SELECT 'day', day(o_orderdate), CAST(CAST(o_orderdate AS DATE) >= DATE '1998-07-01' AS INT) FROM orders),
 sizes AS (SELECT feature, count(*) FILTER (side = 0) AS n0, count(*) FILTER (side = 1) AS n1 FROM sides GROUP BY 1),
 edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(v, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e FROM sides WHERE side = 0 GROUP BY 1),
-binned AS (SELECT s.feature, s.side, CASE WHEN v = e[len(e)] THEN len(e) - 1 ELSE len(list_filter(e, x -> x <= v)) END AS bin
+binned AS (SELECT s.feature, s.side, CASE WHEN v = e[len(e)] THEN len(e) - 1 ELSE len([x for x in e if x <= v]) END AS bin
            FROM sides s JOIN edges USING (feature) WHERE v >= e[1] AND v <= e[len(e)]),
 shares AS (SELECT feature, bin, greatest(1e-6, count(*) FILTER (side = 0) / CAST(any_value(n0) AS DOUBLE)) AS p0, greatest(1e-6, count(*) FILTER (side = 1) / CAST(any_value(n1) AS DOUBLE)) AS p1
            FROM binned JOIN sizes USING (feature) GROUP BY 1, 2),
@@ -840,7 +840,7 @@ WITH {BATCHES},
 sides AS (SELECT survival_prob_90d AS v, CAST(score_date = '2024-01-31' AS INT) AS side FROM batches WHERE score_date IN ('2024-01-20', '2024-01-31')),
 sizes AS (SELECT CAST(count(*) FILTER (side = 0) AS DOUBLE) AS n0, CAST(count(*) FILTER (side = 1) AS DOUBLE) AS n1 FROM sides),
 edges AS (SELECT list_sort(list_distinct(quantile_cont(v, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e FROM sides WHERE side = 0),
-shares AS (SELECT CASE WHEN v = e[len(e)] THEN len(e) - 1 ELSE len(list_filter(e, x -> x <= v)) END AS bin,
+shares AS (SELECT CASE WHEN v = e[len(e)] THEN len(e) - 1 ELSE len([x for x in e if x <= v]) END AS bin,
     greatest(1e-6, count(*) FILTER (side = 0) / any_value(n0)) AS p0, greatest(1e-6, count(*) FILTER (side = 1) / any_value(n1)) AS p1
     FROM sides, edges, sizes WHERE v >= e[1] AND v <= e[len(e)] GROUP BY 1)
 """
