@@ -147,11 +147,15 @@ def count_below(value: Column, marks) -> Column:
     """How many of the ascending `marks` are smaller than the value (binary search)."""
     if len(marks) == 0:
         return F.lit(0)
-    array, size = double_array(marks), len(marks)
-    powers = [1 << k for k in reversed(range(size.bit_length()))]
+    return count_below_in(value, double_array(marks), len(marks))
+
+
+def count_below_in(value: Column, array: Column, at_most: int) -> Column:
+    """The same for an ascending array column of at most `at_most` elements."""
+    powers = [1 << k for k in reversed(range(at_most.bit_length()))]
 
     def descend(pos: Column, step: Column) -> Column:
-        fits = pos + step <= size
-        return F.when(fits & (F.get(array, pos + step - 1) < value), pos + step).otherwise(pos)
+        # past the end F.get gives null, which does not compare
+        return F.when(F.get(array, pos + step - 1) < value, pos + step).otherwise(pos)
 
     return F.aggregate(F.array(*[F.lit(p) for p in powers]), F.lit(0), descend)

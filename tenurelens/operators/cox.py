@@ -265,8 +265,10 @@ class CoxModel:
         ).first()
         return dict(zip(horizons, row))
 
-    def survival_columns(self, df: DataFrame, horizons=HORIZONS, how: str = "nearest") -> list[Column]:
-        hazard = self.partial_hazard(df)
+    def survival_columns(
+        self, df: DataFrame, horizons=HORIZONS, how: str = "nearest", hazard: Column | None = None
+    ) -> list[Column]:
+        hazard = self.partial_hazard(df) if hazard is None else hazard
         return [
             F.exp(-F.lit(float(h0)) * hazard).alias(f"survival_prob_{h:g}d")
             for h, h0 in self.baseline_at(horizons, how).items()
@@ -276,7 +278,8 @@ class CoxModel:
         self, df: DataFrame, horizons=HORIZONS, id_col: str = "customer_id", how: str = "nearest"
     ) -> DataFrame:
         ids = [id_col] if id_col in df.columns else []
-        return df.select(*ids, *self.survival_columns(df, horizons, how))
+        ready = df.select(*ids, self.partial_hazard(df).alias("_hazard"))
+        return ready.select(*ids, *self.survival_columns(ready, horizons, how, F.col("_hazard")))
 
     def curve_steps(self):
         """Times and cumulative hazards at which the baseline rises, while there are few."""
@@ -290,9 +293,12 @@ class CoxModel:
                 self._curve = ([float(r[0]) for r in found], [float(r[1]) for r in found])
         return self._curve
 
-    def with_median(self, df: DataFrame, out: str = "median_survival_days", id_col: str = "customer_id") -> DataFrame:
+    def with_median(
+        self, df: DataFrame, out: str = "median_survival_days", id_col: str = "customer_id",
+        hazard: Column | None = None,
+    ) -> DataFrame:
         """The smallest time with S <= 1/2, infinite when the curve stays above."""
-        needed = F.lit(math.log(2.0)) / self.partial_hazard(df)
+        needed = F.lit(math.log(2.0)) / (self.partial_hazard(df) if hazard is None else hazard)
         curve = self.curve_steps()
         if curve:
             times, hazards = curve

@@ -105,14 +105,18 @@ def bin_of(value: Column, edges: Column, open_ends: bool) -> Column:
 
 
 def histogram(counts: DataFrame, profile: DataFrame, open_ends: bool = False) -> DataFrame:
-    """(feature, bin, ref_share, cur_share); every bin is present, shares are of all rows."""
+    """(feature, bin, ref_share, cur_share); every bin is present, shares are of all rows.
+
+    The profile has one row per requested feature, so it is broadcast: joining by the few
+    feature names through a shuffle would put a feature's values into one task.
+    """
     usable = profile.where(F.size("edges") >= 2)
     every = usable.select(
         "feature", "ref_n", "cur_n",
         F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"),
     )
     hits = (
-        counts.join(usable.select("feature", "edges"), on="feature")
+        counts.join(F.broadcast(usable.select("feature", "edges")), on="feature")
         .withColumn("bin", bin_of(F.col("value"), F.col("edges"), open_ends))
         .where(F.col("bin").isNotNull())
         .groupBy("feature", "bin")
@@ -166,7 +170,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
     sizes = counts.groupBy("feature").agg(
         F.sum("n_ref").alias("all_ref"), F.sum("n_cur").alias("all_cur"), F.count(F.lit(1)).alias("k")
     )
-    table = counts.join(sizes, on="feature")
+    table = counts.join(F.broadcast(sizes), on="feature")  # one row per requested feature
     both = F.col("n_ref") + F.col("n_cur")
     whole = (F.col("all_ref") + F.col("all_cur")).cast("double")
 

@@ -9,25 +9,46 @@ precedes the bucket from a window over bucket totals, of which there are few.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, ShortType
 
-QUANTILE_BUCKETS = 128
+from tenurelens.functions.scalars import count_below_in
+
+def bucket_count(spark: SparkSession) -> int:
+    """Four buckets per shuffle partition, the knob that already follows the cluster's size."""
+    return max(16, min(2048, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def bounds_below(order: str, bounds: str, n: int) -> Column:
+    """How many of the n ascending bounds are smaller: a decision tree while it fits into
+    generated code, a search by higher-order function beyond."""
+    if n > 255:
+        return count_below_in(F.col(order), F.col(bounds), n)
+
+    def choose(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        mid = (low + high) // 2
+        return (
+            f"CASE WHEN get(`{bounds}`, {mid}) < `{order}` THEN {choose(mid + 1, high)} "
+            f"ELSE {choose(low, mid)} END"
+        )
+
+    return F.expr(choose(0, n))
 
 
 def with_bucket(df: DataFrame, order: str, used: list[str]) -> DataFrame:
-    marks = [k / QUANTILE_BUCKETS for k in range(1, QUANTILE_BUCKETS)]
+    buckets = bucket_count(df.sparkSession)
+    marks = [k / buckets for k in range(1, buckets)]
     # touching the summed columns keeps this branch's input identical to the others', so that
     # Spark runs the shuffle below them once; the few rows the condition skips do not matter
     value = F.when(F.xxhash64(*used) != 0, F.col(order))
-    bounds = df.agg(F.percentile_approx(value, marks, 5000)).scalar()
+    bounds = df.agg(F.percentile_approx(value, marks, 10 * buckets)).scalar()
     return (
         df.withColumn("_bounds", bounds)
-        .withColumn(
-            "_bucket",
-            F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(order))), F.lit(0)),
-        )
+        # never null, or the join on it would test the bucket on every row below the aggregate
+        .withColumn("_bucket", F.coalesce(bounds_below(order, "_bounds", buckets - 1), F.lit(0)))
         .drop("_bounds")
     )
 

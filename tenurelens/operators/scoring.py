@@ -24,13 +24,16 @@ def score(
 ) -> DataFrame:
     if id_col not in features.columns:
         features = features.withColumn(id_col, F.monotonically_increasing_id().cast("string"))
-    scored = model.with_median(features, "median_survival_days", id_col)
-    scored = scored.select(
-        F.col(id_col).alias("customer_id"),
+    hazard = F.col("partial_hazard")
+    ready = features.select(
+        F.col(id_col).alias("customer_id"), model.partial_hazard(features).alias("partial_hazard")
+    )
+    scored = model.with_median(ready, "median_survival_days", "customer_id", hazard).select(
+        "customer_id",
         F.lit(score_date).alias("score_date"),
-        *model.survival_columns(scored, HORIZONS, how),
+        *model.survival_columns(ready, HORIZONS, how, hazard),
         "median_survival_days",
-        model.partial_hazard(scored).alias("partial_hazard"),
+        "partial_hazard",
     )
     segment = S.risk_segment(F.col("survival_prob_90d"), high, medium)
     return scored.withColumn("churn_risk_segment", segment).select(*SCORE_COLUMNS)
