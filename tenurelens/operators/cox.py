@@ -429,8 +429,9 @@ def breslow_baseline(risk: DataFrame) -> DataFrame:
 def fit_rows(
     rows: DataFrame, p: int, penalizer: float = 0.1, l1_ratio: float = 0.0, ties: str = "efron",
     penalty: str = "sum", max_steps: int = 500, tolerance: float = 1e-7, max_halvings: int = 30,
+    first: np.ndarray | None = None,
 ):
-    """Newton iterations over prepared rows (stop, event, x*[, start])."""
+    """Newton iterations over prepared rows (stop, event, x*[, start]), from 0 or from `first`."""
     if ties not in ("efron", "breslow"):
         raise ValueError("ties must be 'efron' or 'breslow'")
     efron = ties == "efron"
@@ -444,7 +445,7 @@ def fit_rows(
         objective = ll - 0.5 * l2 * float(beta @ beta) - l1 * float(np.abs(beta).sum())
         return risk, ll, objective, grad - l2 * beta, info + l2 * np.eye(p)
 
-    beta = np.zeros(p)
+    beta = np.zeros(p) if first is None or len(first) != p else np.array(first, dtype=float)
     risk, ll, objective, grad, info = evaluate(beta)
     taken = 0
     while taken < max_steps:
@@ -492,9 +493,11 @@ def fit_cox(
     ties: str = "efron",
     penalty: str = "sum",
     max_steps: int = 500,
+    first: "CoxModel | None" = None,
 ) -> CoxModel:
     """Fit on one row per subject. The ridge weight applies to the summed likelihood
-    (`penalty="sum"`) or to the mean one (`penalty="mean"`)."""
+    (`penalty="sum"`) or to the mean one (`penalty="mean"`). A model of the same terms given
+    as `first` is where the iterations begin."""
     numeric = COX_NUMERIC if numeric is None else numeric
     categorical = COX_CATEGORICAL if categorical is None else categorical
     known = df.where(F.col(duration).isNotNull() & F.col(event).isNotNull())
@@ -502,8 +505,12 @@ def fit_cox(
     rows = design.matrix(
         known, [F.col(duration).alias("stop"), F.col(event).cast("double").alias("event")]
     ).persist()
+    known_terms = first is not None and first.design.terms == design.terms
     try:
-        fitted = fit_rows(rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps)
+        fitted = fit_rows(
+            rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps,
+            first=first.beta if known_terms else None,
+        )
     finally:
         rows.unpersist()
     return build(design, fitted, penalizer, l1_ratio, ties)

@@ -13,16 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType
 
 from tenurelens.functions import scalars as S
+from tenurelens.sources.schemas import FEATURE_CATALOGUE
 
 TX_WINDOWS = (30, 60, 90, 180)
 WEB_WINDOWS = (30, 90)
 SUPPORT_WINDOWS = (30, 90)
 
-STATIC_COLUMNS = [
-    "customer_id", "segment", "city_tier", "gender", "age_years", "acquisition_channel",
-    "product_category", "product_price_inr", "warranty_months", "amc_active",
-    "first_purchase_date", "observation_end_date", "is_churned", "duration_days",
-]
+STATIC_COLUMNS = FEATURE_CATALOGUE["static"]
 
 
 def in_window(d: Column, as_of: str, days: int) -> Column:
@@ -275,3 +272,12 @@ def feature_matrix(
     )
     df = with_scores(df)
     return fill_missing(df, recency_fill) if fill else df
+
+
+def missing_features(matrix: DataFrame) -> dict[str, list[str]]:
+    """Catalogue columns a feature table lacks, by kind (empty when complete)."""
+    absent = {
+        kind: [c for c in columns if c not in matrix.columns]
+        for kind, columns in FEATURE_CATALOGUE.items()
+    }
+    return {kind: columns for kind, columns in absent.items() if columns}

@@ -49,12 +49,13 @@ def cross_validate(
     if model != "cox_ph" and model.removeprefix("parametric_") not in aft.FAMILIES:
         raise ValueError(f"cross-validation is not available for {model}")
     folds = evaluate.with_folds(df, k, stratify, event, id_col, seed).persist()
-    rows = []
+    rows, fitted = [], None
     try:
         for fold in range(k):
             train, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
             if model == "cox_ph":
-                fitted = cox.fit_cox(train, duration, event, numeric, categorical, penalizer)
+                # folds share most rows, so the last fold's model is a good place to begin
+                fitted = cox.fit_cox(train, duration, event, numeric, categorical, penalizer, first=fitted)
             else:
                 family = model.removeprefix("parametric_")
                 fitted = aft.fit_aft(train, family, duration, event, aft_covariates)

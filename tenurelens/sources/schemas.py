@@ -129,3 +129,37 @@ DRIFT_NUMERIC = [
 DRIFT_CATEGORICAL = ["segment", "city_tier", "product_category", "acquisition_channel"]
 
 HORIZONS = (30, 60, 90, 180)
+
+# Columns of the feature matrix by kind.
+FEATURE_CATALOGUE = {
+    "static": [
+        "customer_id", "segment", "city_tier", "gender", "age_years", "acquisition_channel",
+        "product_category", "product_price_inr", "warranty_months", "amc_active",
+        "first_purchase_date", "observation_end_date", "is_churned", "duration_days",
+    ],
+    "lifecycle": [
+        "tenure_days", "warranty_expiry_date", "warranty_remaining_days", "is_warranty_expired",
+    ],
+    "rfm": [
+        "total_transactions", "total_spend_inr", "avg_transaction_value_inr",
+        "days_since_last_transaction", "months_since_last_transaction",
+    ],
+    "windowed": [f"tx_{kind}_{n}d" for n in (30, 60, 90, 180) for kind in ("count", "amount")],
+    "behavioural": [
+        f"{name}_{n}d"
+        for n in (30, 90)
+        for name in (
+            "active_days", "total_events", "avg_session_dur_s", "avg_pages",
+            "product_comparison_events", "wishlist_add_events", "avg_weekly_sessions",
+        )
+    ] + ["days_since_last_web_visit"],
+    "trend": ["session_frequency_trend_90d"],
+    "support": [
+        "total_support_tickets", "avg_resolution_days", "escalation_rate", "avg_satisfaction",
+        "days_since_last_support_contact", "support_tickets_30d", "support_tickets_90d",
+    ],
+    "derived": [
+        "rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score", "rfm_score",
+        "engagement_score",
+    ],
+}

@@ -175,6 +175,11 @@ def test_tables_report_and_scores(spark, frame, model, tmp_path):
         back.ph_test()
 
 
+def test_a_good_start_takes_fewer_steps(frame, model):
+    again = X.fit_cox(frame, numeric=["u", "v"], categorical=["segment"], first=model)
+    assert again.steps < model.steps and np.allclose(again.beta, model.beta, atol=1e-6)
+
+
 def test_bad_ties_are_rejected(frame):
     with pytest.raises(ValueError):
         X.fit_cox(frame, numeric=["u"], categorical=[], ties="exact")

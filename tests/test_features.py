@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tenurelens.operators import features as X
 from tenurelens.operators import labels
+from tenurelens.sources.schemas import FEATURE_CATALOGUE
 
 AS_OF = "2024-06-30"
 D = dt.date.fromisoformat
@@ -96,8 +97,12 @@ def test_scores(rows):
     assert 0 <= a["engagement_score"] <= 1
 
 
-def test_matrix_has_59_columns(raw):
-    assert len(X.feature_matrix(*raw, AS_OF).columns) == 59
+def test_matrix_has_the_59_catalogue_columns(raw):
+    matrix = X.feature_matrix(*raw, AS_OF)
+    assert len(matrix.columns) == 59
+    assert set(matrix.columns) == {c for columns in FEATURE_CATALOGUE.values() for c in columns}
+    assert X.missing_features(matrix) == {}
+    assert X.missing_features(matrix.drop("rfm_score")) == {"derived": ["rfm_score"]}
 
 
 def test_warranty(rows):
