@@ -9,7 +9,7 @@ precedes the bucket from a window over bucket totals, of which there are few.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, ShortType
 
@@ -20,24 +20,6 @@ def bucket_count(spark: SparkSession) -> int:
     return max(16, min(2048, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def bounds_below(order: str, bounds: str, n: int) -> Column:
-    """How many of the n ascending bounds are smaller: a decision tree while it fits into
-    generated code, a search by higher-order function beyond."""
-    if n > 255:
-        return count_below_in(F.col(order), F.col(bounds), n)
-
-    def choose(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        mid = (low + high) // 2
-        return (
-            f"CASE WHEN get(`{bounds}`, {mid}) < `{order}` THEN {choose(mid + 1, high)} "
-            f"ELSE {choose(low, mid)} END"
-        )
-
-    return F.expr(choose(0, n))
-
-
 def with_bucket(df: DataFrame, order: str, used: list[str]) -> DataFrame:
     buckets = bucket_count(df.sparkSession)
     marks = [k / buckets for k in range(1, buckets)]
@@ -48,7 +30,9 @@ def with_bucket(df: DataFrame, order: str, used: list[str]) -> DataFrame:
     return (
         df.withColumn("_bounds", bounds)
         # never null, or the join on it would test the bucket on every row below the aggregate
-        .withColumn("_bucket", F.coalesce(bounds_below(order, "_bounds", buckets - 1), F.lit(0)))
+        .withColumn(
+            "_bucket", F.coalesce(count_below_in(F.col(order), F.col("_bounds"), buckets), F.lit(0))
+        )
         .drop("_bounds")
     )
 
