@@ -91,10 +91,8 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, list[np.nda
             if end - begin >= size:
                 sets.append(np.unique(runs[begin : end - size + 1]))
             elif end > begin:
-                whole = np.uint64(end - begin) + sum(
-                    (hashes[begin + i] * odd[i] for i in range(end - begin)), np.uint64(0)
-                )
-                sets.append(batches.mix(np.array([whole], np.uint64)))
+                few = hashes[begin:end] * np.array(odd[: end - begin], np.uint64)
+                sets.append(batches.mix(few.sum(keepdims=True) + np.uint64(end - begin)))
             else:
                 sets.append(np.empty(0, np.uint64))
         yield first, sets

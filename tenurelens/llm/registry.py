@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tenurelens.llm import minhash
+from tenurelens.llm import decontaminate, minhash, mixing, quality, tokenids
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,8 +20,41 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, minhash.Plan(size=4, percent=80))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix with weights 1, 2, 3 over the sources takes of every document."""
+    return mixing.quotas(_read(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 512 ids in training order."""
+    return tokenids.training_order(_read(spark, sf_dir, "documents"), tokenids.vocabulary())
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words in every document."""
+    docs, items = (_read(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = decontaminate.find_passages(docs.select("doc_id", "text"), items)
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        "found.n_items",
+        F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
+        "found.contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
+    "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
+    "op6_token_ids": op6_token_ids,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
@@ -28,12 +62,12 @@ ORACLES: dict[str, str] = {
 WITH RECURSIVE toks AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), sh AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
     WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
   FROM toks
 ), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 pairs AS (
@@ -51,5 +85,76 @@ reach AS (
 SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, m.component_id = t.doc_id AS kept
 FROM toks t LEFT JOIN n USING (doc_id)
 JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
+""",
+    "op3_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS words,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth
+  FROM sized GROUP BY source
+), w AS (SELECT *, 1 + nth % 3 AS weight FROM s),
+lv AS (
+  SELECT *, CAST(sum(words) OVER () - coalesce(sum(words * 3) OVER o, 0) AS DOUBLE)
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level
+  FROM w WINDOW o AS (ORDER BY words * 3 / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT *, least(3.0::DOUBLE * words, weight * coalesce((SELECT level FROM lv l WHERE l.level * l.weight <= l.words * 3
+    ORDER BY l.words * 3 / l.weight, l.nth LIMIT 1), 0.0::DOUBLE)) AS target FROM w
+), g AS (
+  SELECT *, CAST(round(target) AS BIGINT) AS goal,
+    greatest(1, CAST(ceil(sqrt(CAST(words AS DOUBLE))) AS BIGINT)) AS n_blocks FROM t
+), e AS (
+  SELECT *, CASE WHEN words > 0 THEN goal // words ELSE 0 END AS epochs FROM g
+), d AS (
+  SELECT sized.doc_id, sized.size, e.*,
+    CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM sized JOIN e ON sized.source IS NOT DISTINCT FROM e.source
+), b AS (
+  SELECT nth, h % n_blocks AS block, sum(size) AS bw FROM d GROUP BY 1, 2
+), p AS (
+  SELECT nth, block, coalesce(sum(bw) OVER (PARTITION BY nth
+    ORDER BY CAST('0x' || substr(md5('mix:' || nth || ':' || block), 1, 15) AS BIGINT), block
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS passed
+  FROM b
+), f AS (
+  SELECT d.*, d.goal - d.epochs * d.words - p.passed - coalesce(sum(d.size) OVER (
+    PARTITION BY d.nth, p.block ORDER BY d.h, d.doc_id, d.size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over
+  FROM d JOIN p ON p.nth = d.nth AND p.block = d.h % d.n_blocks
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, words AS source_size, target,
+  CAST(epochs * size + greatest(0, least(size, left_over)) AS BIGINT) AS taken
+FROM f
+""",
+    "op8_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), i AS (
+  SELECT item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, m, unnest(list_transform(range(1, len(w) - m + 2), lambda k: array_to_string(w[k:k + m - 1], ' '))) AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS m FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, m, k, array_to_string(w[k:k + m - 1], ' ') AS win
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM iw))
+), hits AS (SELECT doc_id, dw.m, k, item_id FROM dw JOIN iw USING (m, win)),
+n AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + m)) AS pos FROM hits) GROUP BY doc_id
+), s AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
 """,
 }
