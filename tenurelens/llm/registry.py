@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenurelens.llm import decontaminate, minhash, mixing, quality, tokenids
+from tenurelens.llm import decontaminate, minhash, mixing, passages, quality, rules, tokenids
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.training_order(_read(spark, sf_dir, "documents"), tokenids.vocabulary())
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and distance verdict of every document."""
+    return rules.judge(_read(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     docs, items = (_read(spark, sf_dir, t) for t in ("documents", "benchmark"))
@@ -49,12 +54,26 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose repeated passages, with the original offsets of what goes."""
+    runs = passages.repeated_runs(_read(spark, sf_dir, "documents"))
+    spelled = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"]))
+    return runs.select(
+        "doc_id",
+        F.size("spans").cast("long").alias("n_removed"),
+        F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["words"]).alias("removed_words"),
+        F.array_join(spelled, ",").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
     "op6_token_ids": op6_token_ids,
+    "op7_quality_rules": op7_quality_rules,
     "op8_decontaminate": op8_decontaminate,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
