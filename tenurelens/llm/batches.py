@@ -13,6 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
 
@@ -40,6 +41,11 @@ class Words(NamedTuple):
     bound: np.ndarray
 
 
+def ddl(df: DataFrame) -> str:
+    """The schema of a table as text, for operators that pass its columns through."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, n + 1 offsets into them) of consecutive rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -181,8 +181,7 @@ def _pass(docs: DataFrame, chunk, state: str, text: str) -> DataFrame:
                 yield pa.record_batch([*rows.columns[: len(names)], pa.array(new, shape)], names=[*names, state])
 
     ordered = docs.select(*names, *([state] if state in docs.columns else []))
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in ordered.schema if f.name != state)
-    return ordered.mapInArrow(run, f"{fields}, `{state}` {kind}")
+    return ordered.mapInArrow(run, f"{batches.ddl(docs.select(*names))}, `{state}` {kind}")
 
 
 def find_passages(
@@ -225,3 +224,13 @@ def find_passages(
         .withField("n_items", F.size(f"{state}.items").cast("long"))
         .withField("contaminated", (n_hit > 0) & (share * n_hit >= n_words)),
     )
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs that are not contaminated, with the columns of docs.
+
+    A column of docs named `found` passes through like any other.
+    """
+    own = docs.withColumnRenamed("found", "_found") if "found" in docs.columns else docs
+    kept = find_passages(own, benchmark).where(~F.col("found.contaminated")).drop("found")
+    return kept.withColumnRenamed("_found", "found") if "found" in docs.columns else kept

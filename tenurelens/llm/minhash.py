@@ -354,6 +354,24 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     )
 
 
+def keep_one(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """The rows of docs of which one document per component stays, the one of smallest doc_id.
+
+    Of rows that share a doc_id one stays, too. Rows without a doc_id all stay.
+    """
+    found = cut(near_duplicates(docs, plan))
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    rows = docs.join(_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = cut(again)
+    if again.isEmpty():
+        return rows
+    again = _small(again)
+    return rows.join(again, "doc_id", "left_anti").select(*docs.columns).unionAll(
+        rows.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    )
+
+
 #: ids that are broadcast at most (8 bytes each); beyond, the join shuffles
 BROADCAST_IDS = 4_000_000
 

@@ -18,7 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenurelens.llm import batches
@@ -115,26 +115,6 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def extract(docs: DataFrame) -> DataFrame:
-    """doc_id and the features of every row."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for first, data, offsets in batches.slices(part.column(1)):
-                got = features(data, offsets)
-                yield pa.record_batch(
-                    [
-                        part.column(0).slice(first, len(got)),
-                        pa.FixedSizeListArray.from_arrays(pa.array(got.ravel()), len(FEATURES)).cast(
-                            pa.list_(pa.float64())
-                        ),
-                    ],
-                    names=["doc_id", "features"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, features array<double>")
-
-
 class Model(NamedTuple):
     intercept: float
     edges: list[np.ndarray]
@@ -274,37 +254,78 @@ def fit(
     return Model(intercept, fine, tables, rough, chosen, squares)
 
 
-def score_documents(
-    docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold: float = 0.3
-) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of docs (doc_id, text).
+def fold(doc_id: Column) -> Column:
+    """crc32(doc_id as text) mod 5; documents of fold 0 are held out."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5
+
 
-    Labels (doc_id, quality) are used only where crc32(doc_id as text) mod 5 is not 0, at most
-    `sample` rows of them; several labels of a document count as their mean, null labels and
-    null ids not at all. Null and empty texts are scored by features that are all 0; repeated
-    rows are scored alike; a null doc_id is not held out. Without labels every score is 0.5.
-    An empty table gives an empty result; other columns are ignored.
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
+    """The model of at most `sample` labelled rows outside the held-out fold.
+
+    Several labels of a document count as their mean, null labels and ids not at all. Without
+    labelled rows every score is 0.5.
     """
-    vectors = cut(extract(docs))
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    marked = labels.where(F.col("quality").isNotNull() & (fold != 0)).groupBy("doc_id").agg(
+    marked = labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg(
         F.avg("quality").alias("y")
     )
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = vectors.join(chosen, "doc_id").orderBy("doc_id", "features").limit(sample).select("features", "y").collect()
-    x = np.array([r[0] for r in rows]).reshape(-1, len(FEATURES))
-    model = docs.sparkSession.sparkContext.broadcast(fit(x, np.array([r[1] for r in rows], float)))
+    present = docs.select("doc_id").join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # `sample` ids at most
+    chosen = F.broadcast(cut(present.dropDuplicates(["doc_id"])))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            flat = pa.chunked_array([part.column(1)]).combine_chunks().flatten()
-            scores = model.value.score(np.asarray(flat).reshape(-1, len(FEATURES)))
-            yield pa.record_batch([part.column(0), pa.array(scores)], names=["doc_id", "score"])
-
-    scored = vectors.mapInArrow(run, "doc_id long, score double")
-    return scored.select(
-        "doc_id",
-        F.coalesce(fold == 0, F.lit(False)).alias("held_out"),
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
-    )
+            for first, data, offsets in batches.slices(part.column(1)):
+                got = features(data, offsets)
+                wide = pa.FixedSizeListArray.from_arrays(pa.array(got.ravel()), len(FEATURES))
+                yield pa.record_batch(
+                    [
+                        part.column(0).slice(first, len(got)),
+                        part.column(2).slice(first, len(got)),
+                        wide.cast(pa.list_(pa.float64())),
+                    ],
+                    names=["doc_id", "y", "features"],
+                )
+
+    vectors = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "y")
+    rows = vectors.mapInArrow(run, "doc_id long, y double, features array<double>").orderBy("doc_id", "features")
+    rows = rows.limit(sample).collect()
+    x = np.array([r["features"] for r in rows]).reshape(-1, len(FEATURES))
+    return fit(x, np.array([r["y"] for r in rows], float))
+
+
+def scored(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of docs with `score` and `predicted`; own columns of these names are replaced."""
+    own = docs.drop("score", "predicted")
+    names = own.columns
+    known = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for first, data, offsets in batches.slices(part.column(names.index("text"))):
+                rows = part.slice(first, len(offsets) - 1)
+                scores = known.value.score(features(data, offsets))
+                yield pa.record_batch(
+                    [*rows.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
+                    names=[*names, "score", "predicted"],
+                )
+
+    return own.mapInArrow(run, f"{batches.ddl(own)}, score double, predicted int")
+
+
+def score_documents(
+    docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold: float = 0.3
+) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of docs (doc_id, text).
+
+    Labels (doc_id, quality) are used as `learn` says. Null and empty texts are scored by
+    features that are all 0; repeated rows are scored alike; a null doc_id is not held out. An
+    empty table gives an empty result; other columns are ignored.
+    """
+    rows = scored(docs.select("doc_id", "text"), learn(docs, labels, sample), threshold)
+    held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
+    return rows.select("doc_id", held_out, "score", "predicted")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold: float = 0.3) -> DataFrame:
+    """The rows of docs that the model predicts to be good, with the columns of docs."""
+    return scored(docs, learn(docs, labels, sample), threshold).where("predicted = 1").select(*docs.columns)
