@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenurelens.llm import decontaminate, minhash, mixing, passages, quality, rules, tokenids
+from tenurelens.llm import decontaminate, minhash, mixing, passages, pii, quality, rules, tokenids
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -66,6 +66,22 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = pii.find(_read(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["base"])
+    counts = [
+        F.size(F.filter("found", pii.is_base(kind))).cast("long").alias(f"n_{kind}")
+        for kind in pii.BASE
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.spelled(base).cast("binary"), 256).alias("base_sha256"),
+        pii.spelled(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
@@ -74,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {
