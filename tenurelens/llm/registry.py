@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenurelens.llm import decontaminate, minhash, mixing, passages, pii, quality, rules, tokenids
+from tenurelens.llm import decontaminate, minhash, mixing, pages, passages, pii, quality, rules, tokenids
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.main_text(_read(spark, sf_dir, "pages"))
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of 512 ids in training order."""
     return tokenids.training_order(_read(spark, sf_dir, "documents"), tokenids.vocabulary())
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
+    "op5_html": op5_html,
     "op6_token_ids": op6_token_ids,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontaminate": op8_decontaminate,
