@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenurelens.llm import decontaminate, minhash, mixing, pages, passages, pii, quality, rules, tokenids
+from tenurelens.llm import decontaminate, licenses, minhash, mixing, pages, passages, pii, quality, rules, tokenids
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or quoted in every document."""
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes over 4-word shingles at Jaccard 0.8."""
     docs = _read(spark, sf_dir, "documents")
@@ -88,6 +93,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_licenses": licenses.oracle(),
     "op2_minhash": r"""
 WITH RECURSIVE toks AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
