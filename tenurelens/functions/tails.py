@@ -65,25 +65,23 @@ def kolmogorov_tail(x: float) -> float:
     return min(1.0, max(0.0, 2.0 * s))
 
 
-EXACT_LIMIT = 10_000
+def ks_two_sample_tail(stat: float, n: int, m: int, method: str = "asymptotic") -> float | None:
+    """Two-sided p-value of the two-sample KS statistic, by the same method at every size.
 
-
-def ks_two_sample_tail(stat: float, n: int, m: int) -> float | None:
-    """Two-sided p-value of the two-sample KS statistic.
-
-    Exact while both samples have at most EXACT_LIMIT values: the chance that a random
-    lattice path from (0, 0) to (n, m) ever leaves the band |i/n - j/m| < stat. Beyond
-    that the limiting distribution with a small-sample correction of its argument.
+    "asymptotic" is the limiting distribution with a small-sample correction of its argument;
+    "exact" the chance that a random lattice path from (0, 0) to (n, m) ever leaves the band
+    |i/n - j/m| < stat, which takes n * m steps.
     """
+    if method not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown method {method!r}")
     if not n or not m:
         return None
-    if max(n, m) > EXACT_LIMIT:
+    if stat <= 0:
+        return 1.0
+    if method == "asymptotic":
         en = n * m / (n + m)
         root = math.sqrt(en)
         return kolmogorov_tail(stat * root + 1.0 / (6.0 * root) + (stat * root - 1.0) / (4.0 * en))
-    limit = kolmogorov_tail(stat * math.sqrt(n * m / (n + m)))
-    if stat <= 0 or limit < 1e-12:
-        return limit
     n, m = min(n, m), max(n, m)
     h = round(stat * n * m)
     # share[j]: part of the lattice paths to (i, j) that stayed inside the band

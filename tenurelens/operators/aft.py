@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tenurelens.functions import scalars as S
 from tenurelens.operators.concordance import concordance
-from tenurelens.operators.design import Design, fit_design
+from tenurelens.operators.design import Design, fit_design, happened, refuse
 from tenurelens.operators.evaluate import sample_rows
 from tenurelens.operators.partials import (
     SLOT_SCHEMA, collect_slots, columns_of, pack_upper, slot_batch, unpack_upper,
@@ -165,9 +165,9 @@ class AftModel:
         ids = [id_col] if id_col in df.columns else []
         return df.select(*ids, *[self.survival(df, h).alias(f"survival_prob_{h:g}d") for h in horizons])
 
-    def mean_curve(self, df: DataFrame, horizons, n: int = 50, seed: int = 42, id_col: str = "customer_id") -> DataFrame:
-        """Mean survival of a seeded sample over a grid of times."""
-        sample = sample_rows(df, n, id_col, seed)
+    def mean_curve(self, df: DataFrame, horizons, n: int | None = None, seed: int = 42, id_col: str = "customer_id") -> DataFrame:
+        """Mean survival over a grid of times, of all rows or of a seeded sample of n."""
+        sample = df if n is None else sample_rows(df, n, id_col, seed)
         at = F.explode(F.array(*[F.lit(float(h)) for h in horizons])).alias("time")
         grid = sample.select("*", at)
         return grid.groupBy("time").agg(
@@ -276,7 +276,8 @@ def fit_aft(
 
 def shared_rows(df: DataFrame, duration: str, event: str, covariates: list[str] | None):
     covariates = AFT_COVARIATES if covariates is None else covariates
-    known = df.where((F.col(duration) > 0) & F.col(event).isNotNull())
+    refuse(df, ~F.coalesce(F.col(duration) > 0, F.lit(False)), "a null or non-positive duration")
+    known = df.withColumn(event, happened(event))
     design = fit_design(known, covariates, [])
     rows = prepare(known, design, duration, event).persist()
     return rows, design, rows.count()

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from tenurelens.functions.scalars import count_below, double_array
 
 POINTS_PER_LINE = 50_000
-MAX_LINES = 2_000
 
 
 def earlier_smaller(order_key, y, value, weight, asked) -> int:
@@ -105,7 +104,7 @@ def concordance(
     points = stored.where(F.col("r").isNotNull() & ~F.isnan("r") & F.col("t").isNotNull())
     try:
         size = points.count()
-        lines = max(1, min(MAX_LINES, -(-size // points_per_line)))
+        lines = max(1, -(-size // points_per_line))
         rm, tm = line_marks(points, "r", lines), line_marks(points, "t", lines)
         r_below, t_below = count_below(F.col("r"), rm), count_below(F.col("t"), tm)
         on_r = F.coalesce(F.array_contains(double_array(rm), F.col("r")), F.lit(False)) if rm else F.lit(False)

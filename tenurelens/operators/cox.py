@@ -15,7 +15,7 @@ A(t) = sum_{s<=t} sum_l 1/phi and B(t) = sum_l f/phi. The driver sees p + p(p+1)
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from tenurelens.functions import scalars as S
 from tenurelens.functions.tails import chi2_tail, normal_quantile, normal_two_sided
 from tenurelens.operators import lifetable as LT
 from tenurelens.operators.concordance import concordance
-from tenurelens.operators.design import Design, fit_design
+from tenurelens.operators.design import Design, fit_design, happened, refuse
 from tenurelens.operators.partials import (
     SLOT_SCHEMA, collect_slots, columns_of, pack_upper, slot_batch, unpack_upper,
 )
@@ -36,7 +36,8 @@ from tenurelens.sources.schemas import COX_CATEGORICAL, COX_NUMERIC, HORIZONS
 from tenurelens.sources.tables import cut_lineage, read_parquet, write_parquet
 
 FLUSH_TIMES = 100_000
-CURVE_LIMIT = 100_000
+#: buckets of the baseline curve, and copies of each, in the search for medians
+CHUNKS, SALTS = 256, 8
 
 
 def sum_by_key(keys: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +220,6 @@ class CoxModel:
     l1_ratio: float = 0.0
     ties: str = "efron"
     risk: DataFrame | None = None
-    _curve: tuple | None = field(default=None, repr=False)
 
     # -- parameters
 
@@ -239,7 +239,7 @@ class CoxModel:
         return self.spark.createDataFrame(
             rows,
             "covariate string, coef double, hazard_ratio double, se double, p double, "
-            "coef_lower_95 double, coef_upper_95 double",
+            f"`coef_lower_{100 * (1 - alpha):g}` double, `coef_upper_{100 * (1 - alpha):g}` double",
         )
 
     def top_hazard_ratios(self, n: int = 20) -> DataFrame:
@@ -281,52 +281,41 @@ class CoxModel:
         ready = df.select(*ids, self.partial_hazard(df).alias("_hazard"))
         return ready.select(*ids, *self.survival_columns(ready, horizons, how, F.col("_hazard")))
 
-    def curve_steps(self):
-        """Times and cumulative hazards at which the baseline rises, while there are few."""
-        if self._curve is None:
-            rising = self.baseline.where(F.col("hazard") > 0).select("time", "cum_hazard")
-            found = rising.limit(CURVE_LIMIT + 1).collect()
-            if len(found) > CURVE_LIMIT:
-                self._curve = ()
-            else:
-                found.sort()
-                self._curve = ([float(r[0]) for r in found], [float(r[1]) for r in found])
-        return self._curve
-
     def with_median(
         self, df: DataFrame, out: str = "median_survival_days", id_col: str = "customer_id",
-        hazard: Column | None = None,
+        hazard: Column | None = None, chunks: int = CHUNKS, salts: int = SALTS,
     ) -> DataFrame:
-        """The smallest time with S <= 1/2, infinite when the curve stays above."""
-        needed = F.lit(math.log(2.0)) / (self.partial_hazard(df) if hazard is None else hazard)
-        curve = self.curve_steps()
-        if curve:
-            times, hazards = curve
-            position = S.count_below(needed, hazards)
-            found = F.get(S.double_array(times), position) if times else F.lit(None).cast("double")
-            return df.withColumn(out, F.coalesce(found, F.lit(float("inf"))))
-        return self._median_by_join(df.withColumn("_needed", needed), out, id_col)
-
-    def _median_by_join(self, df: DataFrame, out: str, id_col: str, chunks: int = 10_000) -> DataFrame:
-        """The same for a curve too long for a constant: meet it chunk by chunk.
-
-        Chunk ends are values of the curve, so the answer lies in the row's own chunk.
+        """The smallest time with S <= 1/2, infinite when the curve stays above.
+
+        Rows that need more hazard than the whole curve has are infinite at once. The others
+        meet one chunk of the curve, a sorted array, and search it; chunks are copied per salt,
+        so that a chunk many rows need is met in several places. Rows need no id.
         """
-        rising = self.baseline.where(F.col("hazard") > 0)
+        needed = F.lit(math.log(2.0)) / (self.partial_hazard(df) if hazard is None else hazard)
+        rising = self.baseline.where(F.col("hazard") > 0).select(
+            F.col("cum_hazard").alias("h"), F.col("time").cast("double").alias("t")
+        )
         share = [k / chunks for k in range(1, chunks)]
-        ends = sorted(set(rising.agg(F.percentile_approx("cum_hazard", share, 10 * chunks)).first()[0]))
-        steps = rising.select(
-            S.count_below(F.col("cum_hazard"), ends).alias("_chunk"),
-            F.col("cum_hazard").alias("_h"), F.col("time").cast("double").alias("_t"),
+        marks, top = rising.agg(F.percentile_approx("h", share, 10 * chunks), F.max("h")).first()
+        ready = df.withColumn("_needed", needed)
+        if top is None:
+            return ready.drop("_needed").withColumn(out, F.lit(float("inf")))
+        ends = sorted(set(marks))
+        parts = rising.groupBy(S.count_below(F.col("h"), ends).alias("_part")).agg(
+            F.sort_array(F.collect_list(F.struct("h", "t"))).alias("_steps")
         )
-        needed = df.select(id_col, "_needed", S.count_below(F.col("_needed"), ends).alias("_chunk"))
-        found = (
-            needed.join(steps, on="_chunk").where(F.col("_h") >= F.col("_needed"))
-            .groupBy(id_col).agg(F.min("_t").alias(out))
+        longest = parts.agg(F.max(F.size("_steps"))).first()[0]
+        copies = parts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select(
+            "_part", "_salt", F.col("_steps.h").alias("_h"), F.col("_steps.t").alias("_t")
         )
-        return df.drop("_needed").join(found, on=id_col, how="left").withColumn(
-            out, F.coalesce(out, F.lit(float("inf")))
+        reachable = F.col("_needed") <= F.lit(float(top))
+        placed = ready.withColumn("_part", F.when(reachable, S.count_below(F.col("_needed"), ends))).withColumn(
+            "_salt", F.pmod(F.xxhash64("_needed", F.monotonically_increasing_id()), F.lit(salts)).cast("int")
         )
+        found = F.get("_t", S.count_below_in(F.col("_needed"), F.col("_h"), longest))
+        return placed.join(copies, on=["_part", "_salt"], how="left").withColumn(
+            out, F.coalesce(found, F.lit(float("inf")))
+        ).drop("_part", "_salt", "_needed", "_h", "_t")
 
     def with_risk(self, df: DataFrame, horizon: float = 90, out: str = "risk") -> DataFrame:
         return df.withColumn(out, 1.0 - self.survival_columns(df, (horizon,))[0])
@@ -500,13 +489,11 @@ def fit_cox(
     as `first` is where the iterations begin."""
     numeric = COX_NUMERIC if numeric is None else numeric
     categorical = COX_CATEGORICAL if categorical is None else categorical
-    known = df.where(F.col(duration).isNotNull() & F.col(event).isNotNull())
-    design = fit_design(known, numeric, categorical)
-    rows = design.matrix(
-        known, [F.col(duration).alias("stop"), F.col(event).cast("double").alias("event")]
-    ).persist()
+    design = fit_design(df, numeric, categorical)
+    rows = design.matrix(df, [F.col(duration).alias("stop"), happened(event).alias("event")]).persist()
     known_terms = first is not None and first.design.terms == design.terms
     try:
+        refuse(rows, F.col("stop").isNull(), "a null duration")
         fitted = fit_rows(
             rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps,
             first=first.beta if known_terms else None,
@@ -539,9 +526,11 @@ def fit_cox_intervals(
     rows = design.matrix(
         df,
         [F.col(start).cast(kind).alias("start"), F.col(stop).cast(kind).alias("stop"),
-         F.col(event).cast("double").alias("event")],
+         happened(event).alias("event")],
     ).persist()
     try:
+        broken = F.col("start").isNull() | F.col("stop").isNull() | (F.col("start") >= F.col("stop"))
+        refuse(rows, broken, "an interval that does not end after its start")
         fitted = fit_rows(rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps)
     finally:
         rows.unpersist()
@@ -553,8 +542,6 @@ def fixed_model(
 ) -> CoxModel:
     """Given coefficients with the Breslow baseline of the given rows."""
     beta = np.asarray(beta, dtype=float)
-    rows = design.matrix(
-        df, [F.col(duration).alias("stop"), F.col(event).cast("double").alias("event")]
-    )
+    rows = design.matrix(df, [F.col(duration).alias("stop"), happened(event).alias("event")])
     baseline = cut_lineage(breslow_baseline(risk_table(rows, beta)))
     return CoxModel(design, beta, np.zeros((len(beta), len(beta))), baseline)

@@ -11,7 +11,6 @@ from pyspark.sql.types import NumericType
 from tenurelens.functions import scalars as S
 
 LOW_VARIANCE = 1e-6
-MAX_LEVELS = 500
 
 
 @dataclass
@@ -57,7 +56,10 @@ def covariate_stats(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted levels per categorical column; the first one is the base level."""
+    """Sorted levels per categorical column; the first one is the base level.
+
+    Every level becomes a coefficient on the driver, so their number bounds what is collected.
+    """
     if not columns:
         return {}
     pairs = F.array(*[
@@ -65,10 +67,8 @@ def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     ])
     found = (
         df.select(F.explode(pairs).alias("_p")).select("_p.*")
-        .where(F.col("level").isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
+        .where(F.col("level").isNotNull()).distinct().collect()
     )
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} category levels in {columns}")
     out = {}
     for c in columns:
         levels = [r["level"] for r in found if r["column"] == c]
@@ -91,3 +91,15 @@ def fit_design(df: DataFrame, numeric: list[str], categorical: list[str]) -> Des
         for level in found[1:]
     ]
     return Design(kept, levels)
+
+
+def happened(event: str) -> Column:
+    """A null event is censored, here as in the life tables."""
+    return F.coalesce(F.col(event).cast("double"), F.lit(0.0))
+
+
+def refuse(rows: DataFrame, broken: Column, what: str) -> None:
+    """No row is left out silently: rows that cannot be used stop the fit, with their number."""
+    n = rows.agg(F.count_if(broken)).first()[0]
+    if n:
+        raise ValueError(f"{n} rows have {what}")

@@ -9,7 +9,7 @@ in one task.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -156,14 +156,23 @@ def numeric_drift(
         F.sum(S.psi_term(F.col("ref_share"), F.col("cur_share"))).alias("psi"),
         F.sum(S.kl_term(F.col("ref_share"), F.col("cur_share"))).alias("kl"),
     )
-    return profile.join(shares, on="feature", how="left").select(
+    # without values on a side nothing can be said; too few distinct values are no drift
+    both = (F.col("ref_n") > 0) & (F.col("cur_n") > 0)
+    found = profile.join(shares, on="feature", how="left")
+    return asked(reference.sparkSession, columns).join(found, on="feature", how="left").select(
         "feature",
-        F.coalesce("psi", F.lit(0.0)).alias("psi"),
-        F.coalesce("kl", F.lit(0.0)).alias("kl"),
-        "ks_stat", "ref_n", "cur_n",
+        F.when(both, F.coalesce("psi", F.lit(0.0))).alias("psi"),
+        F.when(both, F.coalesce("kl", F.lit(0.0))).alias("kl"),
+        F.when(both, F.col("ks_stat")).alias("ks_stat"),
+        F.coalesce("ref_n", F.lit(0)).alias("ref_n"), F.coalesce("cur_n", F.lit(0)).alias("cur_n"),
     )
 
 
+def asked(spark: SparkSession, columns: list[str]) -> DataFrame:
+    """One row per feature asked for, so that none is lost from a report."""
+    return spark.createDataFrame([(c,) for c in columns], "feature string")
+
+
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, psi, chi2_stat, degrees), unrounded; Yates' correction for 2 x 2 only."""
     counts = counted(reference, current, columns, "string")
@@ -182,11 +191,13 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
 
     ref_share = F.try_divide(F.col("n_ref").cast("double"), F.col("all_ref"))
     cur_share = F.try_divide(F.col("n_cur").cast("double"), F.col("all_cur"))
-    return table.groupBy("feature").agg(
-        F.sum(S.psi_term(ref_share, cur_share)).alias("psi"),
-        F.sum(part("n_ref", "all_ref") + part("n_cur", "all_cur")).alias("chi2_stat"),
+    known = (F.max("all_ref") > 0) & (F.max("all_cur") > 0)
+    found = table.groupBy("feature").agg(
+        F.when(known, F.sum(S.psi_term(ref_share, cur_share))).alias("psi"),
+        F.when(known, F.sum(part("n_ref", "all_ref") + part("n_cur", "all_cur"))).alias("chi2_stat"),
         (F.max("k") - 1).alias("degrees"),
     )
+    return asked(reference.sparkSession, columns).join(found, on="feature", how="left")
 
 
 def drift_report(
@@ -194,7 +205,10 @@ def drift_report(
     numeric: list[str] | None = None, categorical: list[str] | None = None,
     psi_limit: float = PSI_LIMIT, alpha: float = ALPHA, bins: int = BINS,
 ) -> DataFrame:
-    """One row per feature; features absent from the reference are skipped."""
+    """One row per feature; features absent from the reference are skipped.
+
+    A feature without values on one side has null figures, and no verdict.
+    """
     numeric = [c for c in (numeric or DRIFT_NUMERIC) if c in reference.columns]
     categorical = [c for c in (categorical or DRIFT_CATEGORICAL) if c in reference.columns]
     nothing = F.lit(None).cast("double")

@@ -255,22 +255,31 @@ def feature_matrix(
     Blocks are unique per customer before they are joined, so no join can be skewed.
     """
     w = windows or {}
+    asked = {
+        "transactions": w.get("transactions", TX_WINDOWS),
+        "clickstream": w.get("clickstream", WEB_WINDOWS),
+        "support": w.get("support", SUPPORT_WINDOWS),
+    }
+    # the engagement score is made of 90-day figures, whatever windows are asked for
+    web_windows = tuple(dict.fromkeys((*asked["clickstream"], 90)))
+    web = web_block(clickstream, as_of, web_windows)
+    inner = [c for c in web.columns if 90 not in asked["clickstream"] and c.endswith("_90d")]
     df = (
         static_features(customers, as_of, cut_customers)
         .join(
-            transaction_block(transactions, as_of, w.get("transactions", TX_WINDOWS)),
+            transaction_block(transactions, as_of, asked["transactions"]),
             on="customer_id", how="left",
         )
         .join(
-            web_block(clickstream, as_of, w.get("clickstream", WEB_WINDOWS)),
+            web,
             on="customer_id", how="left",
         )
         .join(
-            support_features(support_tickets, as_of, w.get("support", SUPPORT_WINDOWS)),
+            support_features(support_tickets, as_of, asked["support"]),
             on="customer_id", how="left",
         )
     )
-    df = with_scores(df)
+    df = with_scores(df).drop(*inner)
     return fill_missing(df, recency_fill) if fill else df
 
 

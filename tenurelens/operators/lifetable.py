@@ -16,7 +16,6 @@ from tenurelens.functions.tails import chi2_tail, normal_quantile
 from tenurelens.operators.partials import SLOT_SCHEMA, collect_slots, columns_of, pack_upper, slot_batch, unpack_upper
 from tenurelens.operators.prefix import running_sums
 
-MAX_GROUPS = 256
 
 
 def exits_by_time(df: DataFrame, duration: str, event: str, strata=()) -> DataFrame:
@@ -118,10 +117,8 @@ def km_summary(
 
 
 def group_labels(df: DataFrame, group: str) -> list:
-    rows = df.select(group).where(F.col(group).isNotNull()).distinct().limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"{group} has more than {MAX_GROUPS} groups")
-    return sorted(r[0] for r in rows)
+    """One value per group: the test's covariance is a groups x groups matrix on the driver."""
+    return sorted(r[0] for r in df.select(group).where(F.col(group).isNotNull()).distinct().collect())
 
 
 def grouped_risk_sets(
@@ -142,32 +139,21 @@ def grouped_risk_sets(
 def logrank_groups(
     df: DataFrame, group: str, duration: str = "duration_days", event: str = "is_churned"
 ) -> DataFrame:
-    """Observed and expected events per group."""
-    labels = group_labels(df, group)
-    table = grouped_risk_sets(df, group, labels, duration, event)
-    d = sum((F.col(f"d_{k}") for k in range(len(labels))), F.lit(0))
-    n = sum((F.col(f"n_{k}") for k in range(len(labels))), F.lit(0))
-    sums = table.select(
-        "*", d.alias("_d"), n.alias("_n")
-    ).agg(
-        *[F.sum(f"d_{k}").alias(f"o_{k}") for k in range(len(labels))],
-        *[
-            F.sum(F.col("_d") * F.col(f"n_{k}") / F.col("_n")).alias(f"e_{k}")
-            for k in range(len(labels))
-        ],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(label).cast("string").alias("label"),
-                F.col(f"o_{k}").alias("observed"),
-                F.col(f"e_{k}").alias("expected"),
-            )
-            for k, label in enumerate(labels)
-        ]
+    """Observed and expected events per group, for any number of groups.
+
+    Expected events of a group are the sum, over its members, of the pooled cumulative hazard
+    at the end of their time, so groups stay rows and no column per group is needed.
+    """
+    known = df.where(F.col(group).isNotNull() & F.col(duration).isNotNull())
+    cells = known.groupBy(F.col(group).cast("string").alias(group), F.col(duration).alias("time")).agg(
+        F.count_if(F.col(event) == 1).alias("d"), F.count(F.lit(1)).alias("x")
     )
-    return sums.select(F.explode(rows).alias("r")).select(
-        F.col("r.label").alias(group), "r.observed", "r.expected"
+    pooled = cells.groupBy("time").agg(F.sum("d").alias("d"), F.sum("x").alias("x"))
+    at_risk = running_sums(pooled, "time", {"n": "x"}, descending=True)
+    steps = at_risk.select("time", (F.col("d") / F.col("n")).alias("h"))
+    hazard = running_sums(steps, "time", {"cum": "h"}).select("time", "cum")
+    return cells.join(hazard, on="time").groupBy(group).agg(
+        F.sum("d").alias("observed"), F.sum(F.col("x") * F.col("cum")).alias("expected")
     )
 
 

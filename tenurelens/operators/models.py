@@ -57,7 +57,8 @@ class KaplanMeier(SurvivalModel):
         self.alpha = alpha
 
     def fit(self, df, duration="duration_days", event="is_churned"):
-        self.fitted = LT.kaplan_meier(df, duration, event, alpha=self.alpha)
+        # one row per time, read again by every prediction
+        self.fitted = LT.kaplan_meier(df, duration, event, alpha=self.alpha).persist()
         return self
 
     def curve(self) -> DataFrame:

@@ -17,16 +17,13 @@ from tenurelens.functions.scalars import count_below_in
 
 def bucket_count(spark: SparkSession) -> int:
     """Four buckets per shuffle partition, the knob that already follows the cluster's size."""
-    return max(16, min(2048, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_bucket(df: DataFrame, order: str, used: list[str]) -> DataFrame:
+def with_bucket(df: DataFrame, order: str) -> DataFrame:
     buckets = bucket_count(df.sparkSession)
     marks = [k / buckets for k in range(1, buckets)]
-    # touching the summed columns keeps this branch's input identical to the others', so that
-    # Spark runs the shuffle below them once; the few rows the condition skips do not matter
-    value = F.when(F.xxhash64(*used) != 0, F.col(order))
-    bounds = df.agg(F.percentile_approx(value, marks, 10 * buckets)).scalar()
+    bounds = df.agg(F.percentile_approx(order, marks, 10 * buckets)).scalar()
     return (
         df.withColumn("_bounds", bounds)
         # never null, or the join on it would test the bucket on every row below the aggregate
@@ -75,7 +72,7 @@ def running_sums(
         )
 
     key = [*groups, "_bucket"]
-    table = with_bucket(df, order, list(sums.values()))
+    table = with_bucket(df, order)
     bucket_sums = group_sums(table, key, {f"_sum_{new}": c for new, c in sums.items()})
     earlier = over(quoted(groups), "`_bucket`", "UNBOUNDED PRECEDING AND 1 PRECEDING")
     whole = over(quoted(groups), "`_bucket`", everything)
@@ -108,16 +105,18 @@ def group_sums(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFram
 
 
 def rank_by_hash(
-    df: DataFrame, id_col: str, seed: int, strata: tuple[str, ...] = (), out: str = "rank"
+    df: DataFrame, id_col: str, seed: int, strata: tuple[str, ...] = (), out: str = "rank",
+    slice_bits: int = 10,
 ) -> DataFrame:
     """1-based position of each row in a seeded shuffle of its stratum.
 
-    The hash is uniform, so its leading bits are an even cut of any stratum, however large.
+    The hash is uniform, so its leading bits are an even cut of any stratum; `slice_bits` says
+    into how many slices, each of which is ordered in one task.
     """
     strata = list(strata)
     key = [*strata, "_slice"]
     hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(id_col))).withColumn(
-        "_slice", F.shiftright("_hash", 54).cast("int")
+        "_slice", F.shiftright("_hash", 64 - slice_bits).cast("int")
     )
     earlier = (
         Window.partitionBy(*strata)

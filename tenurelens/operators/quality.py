@@ -119,7 +119,8 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def unique_check(df: DataFrame, dataset: str, key: str) -> DataFrame:
-    extra = duplicate_keys(df.where(F.col(key).isNotNull()), key).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_n"))
+    """Rows too many: those beyond the first one of each key."""
+    extra = duplicate_keys(df.where(F.col(key).isNotNull()), key).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("_n"))
     return melt_report(extra, dataset, [report_row("unique", key, F.col("_n"), 0, "error", F.col("_n") == 0)])
 
 
@@ -180,8 +181,8 @@ def validate_all(
             r[0] for r in report.where(~F.col("passed") & (F.col("severity") == "error"))
             .select("dataset").distinct().orderBy("dataset").collect()
         ]
+        report.unpersist()
         if failed:
-            report.unpersist()
             raise DataValidationError(f"failed tables: {failed}")
     return report
 

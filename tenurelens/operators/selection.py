@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenurelens.operators import aft, cox, evaluate
 from tenurelens.operators import lifetable as LT
+from tenurelens.operators.concordance import concordance
 
 REPORT = (
     "model string, concordance_index double, aic double, bic double, median_survival_days double, "
@@ -24,8 +25,9 @@ def compare_models(
 ) -> DataFrame:
     """Kaplan-Meier, Cox and the parametric families, fitted on train and ranked on test."""
     km = LT.km_summary(LT.kaplan_meier(train, duration, event), horizons=(90,), never=None).first()
-    # a constant prediction ties on every comparable pair
-    constant = 0.5 if test.where(F.col(event) == 1).limit(1).count() else None
+    # a constant prediction ties on every comparable pair; without one there is no index
+    same = test.select(F.lit(0.0).alias("risk"), duration, event)
+    constant = concordance(same, "risk", duration, event)["c_index"]
     rows = [("kaplan_meier", constant, None, None, km[0], km[1], None, None)]
 
     model = cox.fit_cox(train, duration, event, numeric, categorical, penalizer)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -71,13 +69,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def has_parts(spark: SparkSession, path: str) -> bool:
+    """Does a folder hold data files, itself or by partition?"""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(jvm_path, True)
+    while files.hasNext():
+        if files.next().getPath().getName().startswith("part-"):
+            return True
+    return False
+
+
 def write_features(features: DataFrame, root: str) -> int:
     return write_parquet(features, f"{root.rstrip('/')}/features")
 
 
 def read_features(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root.rstrip('/')}/features"
-    if not path_exists(spark, path):
+    if not path_exists(spark, path) or not has_parts(spark, path):
         raise FileNotFoundError(f"no feature matrix at {path}; build and write it first")
     return spark.read.parquet(path)
 
@@ -134,14 +142,15 @@ def best_run(
     return runs.where(F.col("status") == "FINISHED").orderBy(order, "run_id").limit(1)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir, or a folder in the warehouse where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint a table in the shared folder the session names in spark.checkpoint.dir."""
+    """Checkpoint a table in the folder that all executors share."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tenurelens-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenurelens.operators import cox as X
+from tenurelens.operators.design import category_levels
 from tenurelens.operators import scoring
 from tenurelens.sources.schemas import SCORE_COLUMNS
 
@@ -93,11 +94,44 @@ def test_breslow_baseline_and_prediction(frame, data, model):
         assert med[k] == (under[0] if len(under) else math.inf)
 
 
-def test_median_by_join_agrees(frame, model):
+def test_median_is_the_same_for_any_chunks(frame, model):
     direct = model.with_median(frame).select("customer_id", "median_survival_days")
-    needed = frame.withColumn("_needed", F.lit(math.log(2)) / model.partial_hazard(frame))
-    joined = model._median_by_join(needed, "median_survival_days", "customer_id", chunks=7)
-    assert direct.exceptAll(joined.select("customer_id", "median_survival_days")).count() == 0
+    cut = model.with_median(frame, chunks=7, salts=3)
+    assert set(cut.columns) == {*frame.columns, "median_survival_days"} and cut.count() == N
+    assert direct.exceptAll(cut.select("customer_id", "median_survival_days")).count() == 0
+
+
+def test_median_mostly_out_of_reach(spark, frame, model):
+    weak = frame.withColumn("h", F.when(F.col("customer_id") % 7 == 0, F.lit(50.0)).otherwise(1e-9))
+    found = model.with_median(weak, hazard=F.col("h"))
+    endless = F.count_if(F.col("median_survival_days") == float("inf"))
+    got = found.groupBy("h").agg(endless.alias("n"), F.count(F.lit(1)).alias("all")).collect()
+    assert {r.h: r.n in (0, r.all) and r.n == (r.all if r.h < 1 else 0) for r in got} == {50.0: True, 1e-9: True}
+    assert model.with_median(frame.limit(0)).count() == 0
+
+
+def test_null_events_are_censored_and_null_durations_refused(spark):
+    rows = [(k, 5 + k % 11, None if k % 3 == 0 else 1, float(k % 5)) for k in range(60)]
+    shape = "customer_id int, duration_days int, is_churned int, u double"
+    df = spark.createDataFrame(rows, shape)
+    zero = df.fillna({"is_churned": 0})
+    a, b = (X.fit_cox(d, numeric=["u"], categorical=[]) for d in (df, zero))
+    assert a.n_rows == 60 and np.allclose(a.beta, b.beta)
+    broken = df.unionAll(spark.createDataFrame([(99, None, 1, 0.0)], shape))
+    with pytest.raises(ValueError, match="1 rows have a null duration"):
+        X.fit_cox(broken, numeric=["u"], categorical=[])
+
+
+def test_intervals_are_checked(spark):
+    shape = "customer_id int, start int, stop int, is_churned int, u double"
+    df = spark.createDataFrame([(1, 0, 5, 1, 1.0), (2, 4, 4, 0, 0.5)], shape)
+    with pytest.raises(ValueError, match="1 rows have an interval"):
+        X.fit_cox_intervals(df, ["u"])
+
+
+def test_six_hundred_levels(spark):
+    df = spark.range(1200).select((F.col("id") % 600).cast("string").alias("k"))
+    assert len(category_levels(df, ["k"])["k"]) == 600
 
 
 def test_intervals_reproduce_the_static_fit(spark, frame, data):

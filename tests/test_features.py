@@ -138,3 +138,9 @@ def test_counting_process(spark):
     assert [tuple(r) for r in got.collect()] == [
         (1, 0, 90, 0, None), (1, 90, 180, 0, 7.0), (1, 180, 270, 1, 1.0), (2, 0, 50, 0, 2.0),
     ]
+
+
+def test_own_windows_keep_the_score(raw):
+    own = X.feature_matrix(*raw, AS_OF, windows={"clickstream": (7, 30)})
+    assert "engagement_score" in own.columns and "avg_weekly_sessions_90d" not in own.columns
+    assert own.count() == 3

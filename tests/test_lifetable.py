@@ -96,3 +96,16 @@ def test_curve_is_monotone_and_long_time_columns_agree(spark):
     assert np.allclose(days.drop(columns="g").astype(float), other.drop(columns="g").astype(float), equal_nan=True)
     for _, g in days.groupby("g"):
         assert (g.survival.diff().dropna() <= 1e-15).all() and g.survival.between(0, 1).all()
+
+
+def test_three_hundred_groups(spark):
+    df = spark.range(3000).selectExpr(
+        "id % 300 AS g", "cast(1 + (id * 7919) % 97 AS int) AS duration_days", "cast(id % 4 = 0 AS int) AS is_churned"
+    )
+    rows = LT.logrank_groups(df, "g").toPandas()
+    assert len(rows) == 300
+    assert np.isclose(rows.observed.sum(), 750) and np.isclose(rows.expected.sum(), 750)
+    t = LT.logrank_test(df, "g")
+    assert t.degrees == 299
+    by_label = rows.assign(g=rows.g.astype(int)).sort_values("g").expected
+    assert np.allclose(by_label, t.expected)

@@ -115,3 +115,8 @@ def test_volume_change(spark):
     )
     got = Q.volume_change(df, "day").orderBy("day").collect()
     assert [(r["n"], r["alert"]) for r in got] == [(10, False), (11, False), (20, True)]
+
+
+def test_duplicates_are_rows_beyond_the_first(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,)], "k string")
+    assert Q.unique_check(df, "t", "k").first()["value"] == 2
