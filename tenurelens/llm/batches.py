@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -46,6 +47,19 @@ def ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """The table, in a session whose Arrow batches hold at most about BATCH_BYTES.
+
+    Spark's own limit (64 MB by default) is per task, twice in the JVM and again in Python;
+    a lower one that is set already stays.
+    """
+    conf = df.sparkSession.conf
+    limit = conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower().rstrip("b")
+    if not limit.lstrip("-").isdigit() or not 0 < int(limit) <= BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, n + 1 offsets into them) of consecutive rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -181,7 +181,7 @@ def _pass(docs: DataFrame, chunk, state: str, text: str) -> DataFrame:
                 yield pa.record_batch([*rows.columns[: len(names)], pa.array(new, shape)], names=[*names, state])
 
     ordered = docs.select(*names, *([state] if state in docs.columns else []))
-    return ordered.mapInArrow(run, f"{batches.ddl(docs.select(*names))}, `{state}` {kind}")
+    return batches.bounded(ordered).mapInArrow(run, f"{batches.ddl(docs.select(*names))}, `{state}` {kind}")
 
 
 def find_passages(

@@ -151,7 +151,7 @@ def fingerprint(docs: DataFrame, plan: Plan) -> DataFrame:
                     names=["doc_id", "n_shingles", "digest", "keys"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return batches.bounded(docs).select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_shingles long, digest binary, keys array<bigint>"
     )
 
@@ -172,7 +172,7 @@ def payload(docs: DataFrame, plan: Plan) -> DataFrame:
                     names=["id", "sig", "shingles"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, sig binary, shingles binary")
+    return batches.bounded(docs).select("doc_id", "text").mapInArrow(run, "id long, sig binary, shingles binary")
 
 
 def alive(x: np.ndarray, y: np.ndarray, looks: list[tuple[int, int]]) -> np.ndarray:
@@ -217,7 +217,7 @@ def check_pairs(pairs: DataFrame, plan: Plan) -> DataFrame:
                 pa.array(keep, pa.int64())
             )
 
-    return pairs.select("a", "b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return batches.bounded(pairs).select("a", "b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
 def block_links(left: list, right: list, plan: Plan, looks: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenurelens.llm import batches
 from tenurelens.llm.scratch import cut
 
 TOKEN = re.compile(
@@ -221,7 +222,7 @@ def tree(pages: DataFrame) -> DataFrame:
                 names=["host", "kind", "node", "digest"],
             )
 
-    return pages.mapInArrow(run, "host string, kind int, node long, digest long")
+    return batches.bounded(pages).mapInArrow(run, "host string, kind int, node long, digest long")
 
 
 def templates(pages: DataFrame, least: float, least_pages: int, weight: float) -> DataFrame:
@@ -280,6 +281,6 @@ def main_text(
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    return hosted.join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
+    return batches.bounded(hosted).join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )

@@ -113,7 +113,7 @@ def occurrences(docs: DataFrame, unit: str, unit_words: int) -> DataFrame:
                     names=["doc_id", "th", "no", "start", "stop", "n", "digest", "again"],
                 )
 
-    return docs.select("doc_id", "text", text_hash().alias("th")).mapInArrow(
+    return batches.bounded(docs).select("doc_id", "text", text_hash().alias("th")).mapInArrow(
         run, "doc_id long, th long, no int, start int, stop int, n int, digest long, again boolean"
     )
 

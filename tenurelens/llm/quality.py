@@ -286,7 +286,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
                     names=["doc_id", "y", "features"],
                 )
 
-    vectors = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "y")
+    vectors = batches.bounded(docs).select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "y")
     rows = vectors.mapInArrow(run, "doc_id long, y double, features array<double>").orderBy("doc_id", "features")
     rows = rows.limit(sample).collect()
     x = np.array([r["features"] for r in rows]).reshape(-1, len(FEATURES))
@@ -309,7 +309,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
                     names=[*names, "score", "predicted"],
                 )
 
-    return own.mapInArrow(run, f"{batches.ddl(own)}, score double, predicted int")
+    return batches.bounded(own).mapInArrow(run, f"{batches.ddl(own)}, score double, predicted int")
 
 
 def score_documents(

@@ -2,23 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from tenurelens.sources.tables import cut_lineage as cut
+from tenurelens.sources.tables import shared_folder
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; jobs that cut lineage need it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        known = spark.sparkContext.getCheckpointDir()
-        if known is None:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        return known
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint a table in the shared folder, so that a lost executor costs no recomputation."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+__all__ = ["cut", "shared_folder"]

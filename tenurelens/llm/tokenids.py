@@ -133,7 +133,7 @@ def tokenise(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                 got = pa.record_batch([rows, pa.array(ids, pa.binary())], names=["doc_id", "ids"])
                 yield got.filter(got.column(1).is_valid())
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+    return batches.bounded(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def permute(x: np.ndarray, n: int, key: int, undo: bool = False) -> np.ndarray:
