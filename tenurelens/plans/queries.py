@@ -291,17 +291,37 @@ def quality_report(spark, root):
     return tidy(report)
 
 
+PEOPLE_COLUMNS = [
+    "customer_id", "registration_date", "first_purchase_date", "segment", "city", "state", "city_tier", "gender",
+    "age_years", "acquisition_channel", "product_category", "product_price_inr", "warranty_months", "amc_active",
+    "is_churned", "churn_date", "observation_end_date", "duration_days",
+]
+
+
 @query(with_views("\nUNION ALL\n".join(
     f"SELECT 'customers' AS dataset, 'null_pct' AS \"check\", '{c}' AS \"column\", "
     f"round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 2) AS value, CAST(5 AS DOUBLE) AS threshold, "
     f"'warning' AS severity, 100.0 * count(*) FILTER ({c} IS NULL) / count(*) <= 5 AS passed FROM everyone"
-    for c in ["customer_id", "segment", "city", "age_years", "first_purchase_date", "churn_date", "duration_days"]
+    for c in PEOPLE_COLUMNS
 ), "everyone"))
 def null_audit(spark, root):
-    people = V.customers(spark, root, keep_without_orders=True).select(
-        "customer_id", "segment", "city", "age_years", "first_purchase_date", "churn_date", "duration_days"
-    )
-    return quality.null_audit(people, "customers")
+    return quality.null_audit(V.customers(spark, root, keep_without_orders=True), "customers")
+
+
+@query(with_views(f"""
+SELECT 'customers' AS dataset, 'churn_rate' AS "check", 'is_churned' AS "column", round(avg(is_churned), 6) AS value,
+       CAST({quality.CHURN_RANGE[1]} AS DOUBLE) AS threshold, 'warning' AS severity,
+       avg(is_churned) BETWEEN {quality.CHURN_RANGE[0]} AND {quality.CHURN_RANGE[1]} AS passed FROM customers
+UNION ALL
+SELECT 'customers', 'non_positive', 'duration_days', CAST(count(*) FILTER (duration_days <= 0) AS DOUBLE), 0.0, 'error',
+       count(*) FILTER (duration_days <= 0) = 0 FROM customers
+UNION ALL
+SELECT 'customers', 'unique', 'customer_id', CAST(count(*) - count(DISTINCT customer_id) AS DOUBLE), 0.0, 'error',
+       count(*) = count(DISTINCT customer_id) FROM customers""", "customers"))
+def customer_checks(spark, root):
+    """What the validation of the customer table checks beyond its columns' rules."""
+    report = quality.validate(V.customers(spark, root), "customers", min_rows=1)
+    return tidy(report.where(F.col("check").isin("churn_rate", "non_positive", "unique")))
 
 
 @query(with_views("SELECT DISTINCT customer_id FROM transactions WHERE customer_id NOT IN (SELECT customer_id FROM clickstream)", "transactions", "clickstream"))
@@ -663,10 +683,12 @@ def log_normal_survival(spark, root):
     return fixed_aft(spark, "log_normal").survival_at_horizons(people, LONG)
 
 
-@query()
+@query(with_views(f"""
+SELECT time, {r(f'avg(exp(-exp((ln(time) - {AFT_MU}) / {AFT_SIGMA})))', 'survival')}, count(*) AS n
+FROM customers, (SELECT CAST(unnest(range(100, 2500, 100)) AS DOUBLE) AS time) GROUP BY time""", "customers"))
 def aft_mean_curve(spark, root):
     people = V.customers(spark, root)
-    return fixed_aft(spark, "weibull").mean_curve(people, range(0 + 100, 2500, 100), n=50)
+    return tidy(fixed_aft(spark, "weibull").mean_curve(people, range(100, 2500, 100)))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -692,6 +714,30 @@ def c_index(spark, root):
     ))
 
 
+SCORED = ", scored AS (SELECT floor(product_price_inr / 5000) AS risk, duration_days, is_churned FROM customers)"
+
+
+@query(with_views(SCORED + PAIRS_SQL, "customers").replace("\n, scored AS", ",\nscored AS"))
+def c_index_grid(spark, root):
+    """The same count through a grid of many lines."""
+    counts = concordance(price_step(spark, root), points_per_line=40)
+    return tidy(spark.createDataFrame(
+        [(counts["comparable"], counts["concordant"], counts["tied"], counts["c_index"])],
+        "comparable bigint, concordant bigint, tied bigint, c_index double",
+    ))
+
+
+@query(with_views(
+    SCORED + f" SELECT 'cox_ph' AS model, c_index AS concordance_index, c_index >= {evaluate.C_INDEX_GATE} AS register FROM ({PAIRS_SQL})",
+    "customers",
+).replace("\n, scored AS", ",\nscored AS"))
+def quality_gate(spark, root):
+    """May a model of this concordance be registered?"""
+    index = round(concordance(price_step(spark, root))["c_index"], 6)
+    report = spark.createDataFrame([("cox_ph", index)], "model string, concordance_index double")
+    return evaluate.passes_gate(report)
+
+
 @query(with_views("""
 , scored AS (SELECT floor(product_price_inr / 5000) AS risk, duration_days, is_churned FROM customers),
 n AS (SELECT count(*) FILTER (is_churned = 1 AND duration_days <= 1500) AS cases, count(*) FILTER (duration_days > 1500) AS controls FROM scored)
@@ -846,6 +892,17 @@ shares AS (SELECT CASE WHEN v = e[len(e)] THEN len(e) - 1 ELSE len([x for x in e
 """
 
 
+@query(with_views(
+    f", {BATCHES} SELECT customer_id, score_date, {r('survival_prob_90d')}, {b('duration_days')}, {b('is_churned')} "
+    "FROM batches JOIN customers USING (customer_id) WHERE score_date = '2024-01-10'",
+    "customers",
+).replace("\n, batches AS", ",\nbatches AS"))
+def realised_join(spark, root):
+    """Scores of a past date with what has become of the customers since."""
+    outcomes = V.customers(spark, root).select("customer_id", "duration_days", "is_churned")
+    return tidy(monitor.realised(score_batches(spark, root), outcomes, "2024-01-10"))
+
+
 @query(SCORE_SIDES + "SELECT sum((p1 - p0) * ln(p1 / p0)) > 0.2 AS drift_detected FROM shares")
 def batch_drift(spark, root):
     return drift.batch_drift(score_batches(spark, root), "2024-01-31")
