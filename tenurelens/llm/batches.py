@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -78,6 +78,8 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
         begin, end = offsets[first], offsets[last]
         yield first, data[begin:end], offsets[first : last + 1] - begin
         first = last
+    del column, where, data, offsets
+    pa.default_memory_pool().release_unused()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE) -> Words:

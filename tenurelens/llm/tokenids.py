@@ -32,7 +32,7 @@ from tenurelens.llm.scratch import cut
 TOKENIZERS = "/opt/tokenizers"
 ROUNDS = 6
 #: pieces that a worker remembers
-CACHE = 400_000
+CACHE = 150_000
 
 #: white space beyond ASCII, as UTF-8: texts with it are not cut into pieces
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
