@@ -36,7 +36,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionAll(
         edges.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
     )
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    # a table of its own, so that adaptive execution can split the join on a hub of many links
+    least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
     return (
         both.join(least, "u")
         .where(F.col("v") > F.col("u"))

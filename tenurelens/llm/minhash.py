@@ -290,7 +290,8 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
         .dropDuplicates(["id", "keys"])
     )
     slots = heads.select("id", "n", F.explode("keys").alias("key"))
-    buckets = slots.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    # adaptive execution splits a frequent key in a join of two plain tables, not of an aggregate
+    buckets = cut(slots.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1"))
     members = cut(slots.join(buckets, "key").select("key", "hub", "m", "id", "n"))
     wanted = members.select("id").distinct()
     texts = docs.select("doc_id", "text").join(
@@ -317,9 +318,9 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
         "key", "id", "m", F.coalesce("component", "id").alias("component")
     )
     shares = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    mixed = shares.groupBy("key").agg(
+    mixed = cut(shares.groupBy("key").agg(
         F.max_by("component", F.struct("c", "component")).alias("major"), F.max("c").alias("most"), F.sum("c").alias("all")
-    ).where("most < all")
+    ).where("most < all"))
     open_members = labelled.join(mixed, "key")
     left_blocks = F.ceil((F.col("all") - F.col("most")) / plan.block).cast("int")
     right_blocks = F.ceil(F.col("all") / plan.block).cast("int")

@@ -134,7 +134,7 @@ def repeated_runs(
     """
     found = cut(occurrences(docs, unit, unit_words))
     late = F.coalesce("doc_id", F.lit(2**63 - 1))
-    firsts = (
+    firsts = cut(
         found.where(~F.col("again"))
         .groupBy("digest")
         .agg(F.min(late).alias("first"), F.max(late).alias("last"))
