@@ -153,10 +153,10 @@ def scan(
     """
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    marked = F.array(*[F.xxhash64(*map(F.lit, m.split(" "))) for m in marks(threshold, templates)])
+    wanted = marks(threshold, templates)
 
     def is_mark(w: Column):
-        return lambda i: F.array_contains(marked, F.xxhash64(F.lower(F.get(w, i)), F.lower(F.get(w, i + 1))))
+        return lambda i: F.lower(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))).isin(wanted)
 
     # words are bound once: a filter would else split the text anew for each of them
     hit = let(
@@ -164,7 +164,12 @@ def scan(
         lambda w: (F.size(w) >= 2) & F.exists(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), is_mark(w)),
     )
     cut_up = known.where(hit).select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
-    spoken = cut(cut_up.select("doc_id", let(_words(F.col("unit")), _pairs).alias("grams")))
+    sizes = [len(bigrams(text)) for _, text in templates]
+    of_size = F.filter(
+        F.array(let(_words(F.col("unit")), _pairs)),
+        lambda g: F.size(g).between(math.floor(low * min(sizes)), math.ceil(high * max(sizes))),
+    )
+    spoken = cut(cut_up.select("doc_id", F.explode(of_size).alias("grams")))
     scores = []
     for name, text in templates:
         grams = bigrams(text)
