@@ -107,7 +107,7 @@ def _place(rows: DataFrame, sources: DataFrame, key: str) -> DataFrame:
 
 def _taken(placed: DataFrame, blocks: DataFrame) -> DataFrame:
     """Documents with `part` (words of the broken epoch) and `taken`."""
-    met = placed.join(blocks.select("nth", "block", "rank", "passed"), ["nth", "block"])
+    met = placed.join(blocks.drop("block_words"), ["nth", "block"])
     in_turn = Window.partitionBy("nth", "block").orderBy("h", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -197,6 +197,58 @@ def first_words(text: Column, n: Column) -> Column:
     return F.substring(text, F.lit(1), (F.length(text) - tail).cast("int"))
 
 
+def _deal(sources: DataFrame, blocks: DataFrame, shards: int, seed: int) -> DataFrame:
+    """nth, shard, copy, rank: every taken copy of a block with the shard the tree deals it to."""
+    # blocks in use: all of them in whole epochs, the first ones in the broken one
+    used = blocks.join(sources.select("nth", "over"), "nth").groupBy("nth").agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(F.col("passed") < F.col("over")).alias("some")
+    )
+    counts = {r["nth"]: r for r in used.join(sources.select("nth", "epochs"), "nth").collect()}
+    order = sorted(counts)
+    drawn = split_quotas([counts[s]["epochs"] * counts[s]["all"] + counts[s]["some"] for s in order], shards, seed)
+    ranges, at = [], dict.fromkeys(order, 0)
+    for shard, mine in enumerate(drawn):
+        for s, k in zip(order, mine, strict=True):
+            if k:
+                ranges.append((s, shard, at[s], at[s] + k - 1))
+                at[s] += k
+    spark = blocks.sparkSession
+    return (
+        spark.createDataFrame(ranges, "nth long, shard int, first long, last long")
+        .withColumn("turn", F.explode(F.sequence("first", "last")))
+        .join(
+            spark.createDataFrame([(s, counts[s]["all"]) for s in order], "nth long, per_epoch long"), "nth"
+        )
+        .select("nth", "shard", F.floor(F.col("turn") / F.col("per_epoch")).alias("copy"),
+                F.pmod("turn", "per_epoch").alias("rank"))
+    )
+
+
+def dealt_quotas(
+    docs: DataFrame,
+    shards: int = 64,
+    key: str = "mix",
+    weights: Sequence[int] = WEIGHTS,
+    most: int = MOST,
+    seed: int = 20,
+) -> DataFrame:
+    """The rows of `quotas`, with `taken` summed over the copies that `mix` deals to its shards.
+
+    A block knows its dealt copies (at most `most` + 1), so rows stay as they are and no text
+    moves. Rows of blocks that no shard holds have 0. Nulls, ties and empty tables as in `quotas`.
+    """
+    lean = cut(docs.select("doc_id", "source", size(F.col("text")).alias("size")))
+    sources, blocks = _plan(lean, key, weights, most)
+    copies = _deal(sources, blocks, shards, seed).groupBy("nth", "rank").agg(F.collect_list("copy").alias("copies"))
+    placed = _taken(_place(lean, sources, key), blocks.join(copies, ["nth", "rank"], "left"))
+    words = F.aggregate(
+        F.coalesce("copies", F.array().cast("array<bigint>")),
+        F.lit(0).cast("long"),
+        lambda done, copy: done + F.when(copy < F.col("epochs"), F.col("size")).otherwise(F.col("part")),
+    )
+    return placed.select("doc_id", "size", F.col("words").alias("source_size"), "target", words.alias("taken"))
+
+
 def mix(
     docs: DataFrame,
     shards: int = 64,
@@ -221,29 +273,7 @@ def mix(
     copies = taken.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("epochs")))).withColumn(
         "words", F.when(F.col("copy") < F.col("epochs"), F.col("size")).otherwise(F.col("part"))
     ).where("words > 0")
-    # blocks in use: all of them in whole epochs, the first ones in the broken one
-    used = blocks.join(sources.select("nth", "over"), "nth").groupBy("nth").agg(
-        F.count(F.lit(1)).alias("all"), F.count_if(F.col("passed") < F.col("over")).alias("some")
-    )
-    counts = {r["nth"]: r for r in used.join(sources.select("nth", "epochs"), "nth").collect()}
-    order = sorted(counts)
-    drawn = split_quotas([counts[s]["epochs"] * counts[s]["all"] + counts[s]["some"] for s in order], shards, seed)
-    ranges, at = [], dict.fromkeys(order, 0)
-    for shard, mine in enumerate(drawn):
-        for s, k in zip(order, mine, strict=True):
-            if k:
-                ranges.append((s, shard, at[s], at[s] + k - 1))
-                at[s] += k
-    spark = docs.sparkSession
-    dealt = (
-        spark.createDataFrame(ranges, "nth long, shard int, first long, last long")
-        .withColumn("turn", F.explode(F.sequence("first", "last")))
-        .join(
-            spark.createDataFrame([(s, counts[s]["all"]) for s in order], "nth long, per_epoch long"), "nth"
-        )
-        .select("nth", "shard", F.floor(F.col("turn") / F.col("per_epoch")).alias("copy"),
-                F.pmod("turn", "per_epoch").alias("rank"))
-    )
+    dealt = _deal(sources, blocks, shards, seed)
     out = copies.join(dealt, ["nth", "copy", "rank"])
     text = F.col("own.text")
     cut_text = F.when(F.col("words") < F.col("size"), first_words(text, F.col("words"))).otherwise(text)

@@ -26,8 +26,8 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that a mix with weights 1, 2, 3 over the sources takes of every document."""
-    return mixing.quotas(_read(spark, sf_dir, "documents"))
+    """Words of every document in the shards of a mix with weights 1, 2, 3 over the sources."""
+    return mixing.dealt_quotas(_read(spark, sf_dir, "documents"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,6 +153,26 @@ def test_mix_takes_what_the_quotas_say(spark):
     assert mixing.mix(table(spark, [])).count() == 0
 
 
+def test_mixing_query_sums_what_the_tree_deals(spark, tmp_path, monkeypatch):
+    from tenurelens.llm import registry
+
+    table(spark, mixed_rows()).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    want = Counter(map(tuple, mixing.quotas(docs).collect()))
+    assert Counter(map(tuple, registry.op3_mixing(spark, str(tmp_path)).collect())) == want
+    split = mixing.split_quotas
+
+    def without_last(counts, shards, seed):
+        drawn = split(counts, shards, seed)
+        return drawn[:-1] + [[0] * len(counts)]
+
+    monkeypatch.setattr(mixing, "split_quotas", without_last)
+    fewer = registry.op3_mixing(spark, str(tmp_path)).collect()
+    kept = sum(r.words for r in mixing.mix(docs).collect())
+    assert len(fewer) == sum(want.values())
+    assert sum(r.taken for r in fewer) == kept < sum(k[-1] * n for k, n in want.items())
+
+
 def test_splitting_tree_is_exact():
     counts = [1, 0, 500, 37, 12_000]
     drawn = mixing.split_quotas(counts, 7, 3)
