@@ -14,8 +14,11 @@ Spans of the base kinds are redacted whenever their test passes, whatever the tr
 Chosen wider spans that meet another chosen span give way to base spans and to spans of higher
 score or earlier start.
 
-The trees are fitted on the driver from a bounded sample of candidates; all texts and candidates
-are handled by DataFrame functions, the trees as nested CASE expressions. Repetitions in the patterns are possessive and runs are entered at their start only, so the
+The trees are fitted on the driver. Candidates of equal label, kind and features are one row with
+their number as its weight, so that all candidates count; of more rows than the driver takes, each
+label and kind keeps its share, by priority sampling, where frequent rows stay and the others stand
+for those left out. All texts and candidates are handled by DataFrame functions, the trees as
+nested CASE expressions. Repetitions in the patterns are possessive and runs are entered at their start only, so the
 time of a search is linear in the text, also in runs of a million digits.
 """
 
@@ -198,14 +201,22 @@ class Tree(NamedTuple):
         return np.where(x[:, self.feature] <= self.at, self.left.predict(x), self.right.predict(x))
 
 
-def grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, ridge: float = 1.0) -> Tree:
-    """The regression tree of the gradients with the best cuts at up to 16 quantiles each."""
+def quantiles(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The distinct lower 16-quantiles of x with every value repeated w times."""
+    order = np.argsort(x, kind="stable")
+    passed = np.cumsum(w[order])
+    at = np.searchsorted(passed, np.floor(np.linspace(0, 1, 17) * (passed[-1] - 1)), "right")
+    return np.unique(x[order][np.minimum(at, len(x) - 1)])
+
+
+def grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, w: np.ndarray, depth: int, ridge: float = 1.0) -> Tree:
+    """The regression tree of the gradients (summed over w) with the best cuts at up to 16 quantiles each."""
     value = float(g.sum() / (h.sum() + ridge))
     best, where = 1e-6, None
     if depth and len(x) > 1:
         whole = g.sum() ** 2 / (h.sum() + ridge)
         for f in range(x.shape[1]):
-            for at in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 17), method="lower"))[:-1]:
+            for at in quantiles(x[:, f], w)[:-1]:
                 low = x[:, f] <= at
                 gl, hl = g[low].sum(), h[low].sum()
                 gain = gl**2 / (hl + ridge) + (g.sum() - gl) ** 2 / (h.sum() - hl + ridge) - whole
@@ -214,31 +225,62 @@ def grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, ridge: float =
     if where is None:
         return Tree(value)
     low = x[:, where[0]] <= where[1]
-    left, right = (grow(x[m], g[m], h[m], depth - 1, ridge) for m in (low, ~low))
+    left, right = (grow(x[m], g[m], h[m], w[m], depth - 1, ridge) for m in (low, ~low))
     return Tree(value, where[0], where[1], left, right)
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int, depth: int, rate: float = 0.3) -> tuple[float, list[Tree]]:
-    """Log-odds to begin with, and trees whose values are added `rate` times."""
-    mean = (y.sum() + 1) / (len(y) + 2)
+def boost(
+    x: np.ndarray, y: np.ndarray, w: np.ndarray, trees: int, depth: int, rate: float = 0.3
+) -> tuple[float, list[Tree]]:
+    """Log-odds to begin with, and trees whose values are added `rate` times; w are row weights."""
+    mean = ((w * y).sum() + 1) / (w.sum() + 2)
     first = float(np.log(mean / (1 - mean)))
     total, out = np.full(len(y), first), []
     for _ in range(trees):
         p = 1 / (1 + np.exp(-total))
-        out.append(grow(x, y - p, p * (1 - p), depth))
+        out.append(grow(x, w * (y - p), w * p * (1 - p), w, depth))
         total += rate * out[-1].predict(x)
     return first, out
 
 
+def shares(sizes: dict, most: int) -> dict:
+    """How many of each stratum are taken: all of the small ones, the rest evenly, at least one."""
+    out, left = {}, most
+    for i, (name, size) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        out[name] = max(1, min(size, left // (len(sizes) - i)))
+        left -= out[name]
+    return out
+
+
+def training_rows(found: DataFrame, sample: int) -> list[tuple[float, ...]]:
+    """(weight, label, features) rows that stand for all candidates, at most `sample` (one per stratum at least).
+
+    Of a stratum (label and kind) with too many rows those with the highest n / u stay, u a hash
+    in (0, 1]; their weight is n, or the next priority if that is more, which keeps sums unbiased.
+    """
+    vectors = found.groupBy("label", "kind", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    u = (F.pmod(F.xxhash64("label", "kind", *FEATURES), F.lit(1 << 52)) + 1) / float(1 << 52)
+    vectors = cut(vectors.withColumn("priority", F.col("n") / u))
+    sizes = {(r["label"], r["kind"]): r["count"] for r in vectors.groupBy("label", "kind").count().collect()}
+    columns = ("n", "label", *FEATURES)
+    if sum(sizes.values()) <= sample:
+        return sorted(tuple(r) for r in vectors.select(*columns).collect())
+    out = []
+    for (label, kind), share in sorted(shares(sizes, sample).items()):
+        mine = vectors.where((F.col("label") == label) & (F.col("kind") == kind))
+        rows = mine.orderBy(F.desc("priority"), *FEATURES).select("priority", *columns).limit(share + 1).collect()
+        least = rows[share]["priority"] if len(rows) > share else 0.0
+        out += [(max(r["n"], least), *r[2:]) for r in rows[:share]]
+    return out
+
+
 def train(found: DataFrame, sample: int, trees: int, depth: int, rate: float = 0.3) -> Column | None:
-    """The score as a column, from at most `sample` candidates; None if only one class is there."""
-    by_hash = F.xxhash64("label", *FEATURES)
-    rows = found.select("label", *FEATURES).orderBy(by_hash, *FEATURES).limit(sample).collect()
-    data = np.array([list(r) for r in rows]).reshape(-1, len(FEATURES) + 1)
-    x, y = data[:, 1:], data[:, 0]
+    """The score as a column, from at most `sample` weighted rows; None if only one class is there."""
+    data = np.array(training_rows(found, sample)).reshape(-1, len(FEATURES) + 2)
+    w, y, x = data[:, 0], data[:, 1], data[:, 2:]
     if len(np.unique(y)) < 2:
         return None
-    first, grown = boost(x, y, trees, depth, rate)
+    first, grown = boost(x, y, w, trees, depth, rate)
     total = F.lit(first)
     for tree in grown:
         total = total + rate * tree.column()
@@ -275,7 +317,7 @@ def find(
     """doc_id, found: the redactions of every row, as (kind, start, stop, value, base) in order.
 
     Base spans come first by kind as listed, then the added ones; each kind by start. At most
-    `sample` candidates train the trees; all are scored. Null and empty texts have no spans;
+    `sample` distinct weighted candidates train the trees; all are scored. Null and empty texts have no spans;
     repeated rows are searched alike, a null doc_id as well; an empty table gives an empty
     result; other columns are ignored. Where no candidate or only one class exists, the weak
     labels decide.
