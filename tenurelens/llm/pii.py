@@ -41,15 +41,18 @@ BASE = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 
-#: wider generators; their spans are group 0
+#: wider generators; their spans are group 0, and no repetition of theirs ends before its run does
 WIDE = {
-    "secret": r"(?i)(?<![a-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)[ ]{0,3}[:=][ ]{0,3}[\"']?[A-Za-z0-9+/=_.-]{8,256}+[\"']?",
-    "key": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{24,256}+(?![A-Za-z0-9+/_-])",
-    "spelled": r"(?i)(?<![a-z0-9._-])[a-z0-9._-]{1,64}+[ ]{0,2}[\[(]at[\])][ ]{0,2}[a-z0-9-]{1,64}+(?:[ ]{0,2}[\[(]dot[\])][ ]{0,2}[a-z0-9-]{1,64}+)++",
-    "number": r"(?<![0-9A-Za-z])(?:[A-Z]{2})?[0-9]{2,4}+(?:[ .-][0-9]{2,4}+){2,8}+(?![0-9A-Za-z])",
+    "secret": r"(?i)(?<![a-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)[ ]{0,3}[:=][ ]{0,3}[\"']?[A-Za-z0-9+/=_.-]{8,}+[\"']?",
+    "key": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+",
+    "spelled": r"(?i)(?<![a-z0-9._-])[a-z0-9._-]++[ ]{0,2}[\[(]at[\])][ ]{0,2}[a-z0-9-]++(?:[ ]{0,2}[\[(]dot[\])][ ]{0,2}[a-z0-9-]++)++",
+    "number": r"(?<![0-9A-Za-z])(?:[A-Z]{2})?[0-9]{2,4}+(?:[ .-][0-9]{2,4}+(?![0-9A-Za-z])){2,}+",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
 }
 
+#: what a match must hold besides
+NEEDS = {"key": lambda s: s["value"].rlike("[0-9]")}
+
 FEATURES = (
     "length", "digits", "letters", "uppers", "spaces", "dots", "dashes", "ats", "luhn", "hexes", "named",
     "signed", "opens", "is_email", "is_ip", "is_card", "is_phone", "is_wide",
@@ -127,11 +130,14 @@ def candidates(docs: DataFrame) -> DataFrame:
     # without a digit only spelled addresses and letter-only emails can occur
     found = []
     for kind, pattern in (BASE | WIDE).items():
+        matches = spans(F.col("text"), pattern)
+        if kind in NEEDS:
+            matches = F.filter(matches, NEEDS[kind])
         hint = HINTS.get(kind, lambda t: t.rlike("[0-9]"))(F.col("text"))
         found.append(
             F.when(
                 hint,
-                F.transform(spans(F.col("text"), pattern), _of_kind(kind)),
+                F.transform(matches, _of_kind(kind)),
             ).otherwise(F.array().cast("array<struct<kind:string,start:int,stop:int,value:string>>"))
         )
     lists = known.withColumn("found", F.flatten(F.array(*found)))
