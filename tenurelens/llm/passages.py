@@ -2,7 +2,7 @@
 
 A unit is a line, a paragraph or, by default, a sentence (a line is also cut after . ! or ? at
 the end of a word), so that a passage is found wherever in a line it was pasted. Very short sentences
-are joined, very long ones cut at words chosen by their hash. Units are normalised (A-Z lowered, white space folded) and hashed; digests are grouped over all
+are joined, very long ones cut at words whose hash is the least among their neighbours. Units are normalised (A-Z lowered, white space folded) and hashed; digests are grouped over all
 documents, and a unit is repeated where its digest has an earlier place: in a document of
 smaller doc_id, or further up in the same text. Removal is by runs: neighbouring repeated units
 are one run, which goes if it has at least `least_words` words. Units below `unit_words` words
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tenurelens.llm import batches
 from tenurelens.llm.scratch import cut
 
-SHORT, JOINED, LONG = 4, 8, 32
+SHORT, JOINED, LONG, GAP = 4, 8, 32, 12
 
 ENDS = np.zeros(256, dtype=bool)
 ENDS[[ord(c) for c in ".!?"]] = True
@@ -36,7 +36,10 @@ def _evened(opens: np.ndarray, lines: np.ndarray, hashes: np.ndarray) -> np.ndar
 
     Sentences below SHORT words that follow each other in a line are joined to groups of about
     JOINED words, counted from the last longer sentence. In sentences above LONG words a unit
-    also starts at every word whose hash is divisible by 16, wherever the sentence began.
+    also starts at every word whose hash is the least, of equals the first, of the SHORT - 1
+    words before and after it, wherever the sentence began; about every seventh word, so that
+    repeated runs of words share their boundaries. Where none comes (words that alternate), a
+    unit starts every GAP words. No unit of a long sentence is below SHORT words.
     """
     first = np.flatnonzero(opens)
     size = np.diff(np.r_[first, len(opens)])
@@ -47,8 +50,19 @@ def _evened(opens: np.ndarray, lines: np.ndarray, hashes: np.ndarray) -> np.ndar
     keep = sync | (group != np.r_[-1, group[:-1]])
     out = np.zeros_like(opens)
     out[first[keep]] = True
-    long = np.repeat(size > LONG, size)
-    return out | (long & (hashes % np.uint64(16) == 0))
+    n, stretch = len(opens), np.repeat(np.arange(len(first)), size)
+    index = np.arange(n)
+    inner = np.repeat(size > LONG, size)
+    inner &= (index - first[stretch] >= SHORT) & (first[stretch] + size[stretch] - index >= SHORT)
+    cuts = inner.copy()
+    for d in range(1, SHORT):
+        cuts[d:] &= (hashes[d:] < hashes[:-d]) | (stretch[d:] != stretch[:-d])
+        cuts[:-d] &= (hashes[:-d] <= hashes[d:]) | (stretch[d:] != stretch[:-d])
+    out |= cuts
+    starts = np.flatnonzero(out)
+    unit = np.searchsorted(starts, index, "right") - 1
+    since, left = index - starts[unit], np.r_[starts[1:], n][unit] - index
+    return out | (inner & (since > 0) & (since % GAP == 0) & (left >= SHORT))
 
 
 def units(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarray, ...]:
