@@ -4,11 +4,14 @@ The pages of a host are merged into one tree: a node is a path of elements (tag,
 and it knows in how many pages each of its presentations (sequence of child tags) and each of
 its contents (normalised text of a block) occurs. On a host of m pages
 
-* a content that k pages share has importance 1 - log_m(k): 1 if it is one page's own, 0 if
-  every page has it;
-* a presentation node has the entropy, to base m, of its presentations over the pages;
+* a content that k pages share has importance 1 - k / (0.85 m), at least 0: the share of pages
+  that makes a template does not depend on the size of the host;
+* a presentation node has the entropy of its presentations over the pages, to the base of their number;
 * a node's importance is a mean of both, weighted towards content.
 
+Pages of a host that read the same, block by block, are one page in these numbers, so that copies
+of a page do not turn its article into a template.
+
 Nodes and contents below `least` are template, and their branches are removed from each page.
 Hosts with fewer than `least_pages` pages say nothing about templates. What an element is for
 (its tag, or a naming class or id: menu, footer, advert, comments, ...) is part of the
@@ -75,6 +78,8 @@ NAMES = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MASK = (1 << 63) - 1
+#: a content that this share of pages has counts as on every page
+EVERY = 0.85
 
 
 def _digest(above: int, text: str) -> int:
@@ -200,46 +205,54 @@ def host_of(url: Column) -> Column:
 
 
 def tree(pages: DataFrame) -> DataFrame:
-    """host, kind (0 content, 1 presentation), node, digest: once per page each."""
+    """host, page (digest of what is read), kind (0 content, 1 presentation, 2 page), node, digest: once per page each."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows, kinds, nodes, digests = [], [], [], []
+            rows, same, kinds, nodes, digests = [], [], [], [], []
             for i, source in enumerate(part.column(1).to_pylist()):
                 page = Page(source or "")
-                seen = {(0, node, _digest(node, text)) for node, text, _ in page.content()}
+                read = [(0, node, _digest(node, text)) for node, text, _ in page.content()]
+                whole = 1
+                for _, _, digest in read:
+                    whole = (whole * 1_000_003 + digest) & MASK
+                seen = {(2, 0, 0), *read}
                 seen |= {(1, node, _digest(node, " ".join(tags))) for node, tags in page.styles}
                 for kind, node, digest in seen:
                     rows.append(i)
+                    same.append(whole)
                     kinds.append(kind)
                     nodes.append(node)
                     digests.append(digest)
             yield pa.record_batch(
                 [
-                    part.column(0).take(pa.array(rows, pa.int64())),
+                    part.column(0).take(pa.array(rows, pa.int64())), pa.array(same, pa.int64()),
                     pa.array(kinds, pa.int32()), pa.array(nodes, pa.int64()), pa.array(digests, pa.int64()),
                 ],
-                names=["host", "kind", "node", "digest"],
+                names=["host", "page", "kind", "node", "digest"],
             )
 
-    return batches.bounded(pages).mapInArrow(run, "host string, kind int, node long, digest long")
+    return batches.bounded(pages).mapInArrow(run, "host string, page long, kind int, node long, digest long")
 
 
 def templates(pages: DataFrame, least: float, least_pages: int, weight: float) -> DataFrame:
     """host, low: digests of contents and nodes that are template on a host (host, html given)."""
-    sizes = pages.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= least_pages)
-    known = pages.join(sizes.select("host"), "host", "left_semi").select("host", "html")
-    counted = cut(tree(known).groupBy("host", "kind", "node", "digest").agg(F.count(F.lit(1)).alias("k")).join(sizes, "host"))
-    shared = F.ln("k") / F.ln("m")
-    contents = counted.where((F.col("kind") == 0) & (1 - shared < least)).select("host", F.col("digest").alias("low"))
+    large = pages.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= least_pages)
+    known = pages.join(large.select("host"), "host", "left_semi").select("host", "html")
+    summed = cut(tree(known).distinct().groupBy("host", "kind", "node", "digest").agg(F.count(F.lit(1)).alias("k")))
+    sizes = summed.where((F.col("kind") == 2) & (F.col("k") >= least_pages)).select("host", F.col("k").alias("m"))
+    counted = summed.where("kind < 2").join(sizes, "host")
+    own = F.greatest(F.lit(0.0), 1 - F.col("k") / (EVERY * F.col("m")))
+    contents = counted.where((F.col("kind") == 0) & (own < least)).select("host", F.col("digest").alias("low"))
     per_node = counted.groupBy("host", "node").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("k") * (1 - shared))).alias("own"),
+        F.sum(F.when(F.col("kind") == 0, F.col("k") * own)).alias("own"),
         F.sum(F.when(F.col("kind") == 0, F.col("k"))).alias("n"),
         F.sum(F.when(F.col("kind") == 1, F.col("k"))).alias("s"),
         F.sum(F.when(F.col("kind") == 1, F.col("k") * F.ln("k"))).alias("slog"),
-        F.first("m").alias("m"),
+        F.count_if(F.col("kind") == 1).alias("ways"),
     ).where("n >= 5")
-    styles = F.coalesce((F.ln("s") - F.col("slog") / F.col("s")) / F.ln("m"), F.lit(0.0))
+    entropy = F.ln("s") - F.col("slog") / F.col("s")
+    styles = F.when(F.col("ways") > 1, entropy / F.ln("ways")).otherwise(0.0)
     nodes = per_node.where(weight * F.col("own") / F.col("n") + (1 - weight) * styles < least).select(
         "host", F.col("node").alias("low")
     )
@@ -257,8 +270,8 @@ def main_text(
 
     Blocks of the main text in page order, white space folded, joined by a newline; references
     are decoded. Null and empty pages, and pages without text, give an empty text. Pages whose
-    url is null or has no host are read without templates. Repeated rows count as pages of
-    their own. An empty table gives an empty result; other columns are ignored.
+    url is null or has no host are read without templates. Repeated rows are all
+    read, and count once for templates. An empty table gives an empty result; other columns are ignored.
     """
     hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     low = cut(templates(hosted.select("host", "html"), least, least_pages, weight))
