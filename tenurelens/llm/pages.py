@@ -14,8 +14,8 @@ of a page do not turn its article into a template.
 
 Nodes and contents below `least` are template, and their branches are removed from each page.
 Hosts with fewer than `least_pages` pages say nothing about templates. What an element is for
-(its tag, or a naming class or id: menu, footer, advert, comments, ...) is part of the
-presentation and removes its branch on any host. If a page marks its article, or its main
+(its tag, or a class token or id that names it: menu, footer, advert, comments, ...) is part of the
+presentation and removes its branch on any host, except a marked article or main part in a wrapper. If a page marks its article, or its main
 part, only that is read.
 
 The tree never exists in one place: pages give one row per node and content, which are summed
@@ -41,7 +41,8 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(?:^|[\s/\"'])(class|id|role|hidden|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: one attribute with its value, so that quoted text is never read as a name
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe object svg math select title xmp noembed".split())
@@ -69,12 +70,18 @@ CLOSES = {
 }
 SCOPE = frozenset("html body div section article main aside nav table ul ol dl blockquote form header footer td th button".split())
 
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|ad|ads|advert|adverts|advertisement|"
-    r"adsense|sponsor|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|"
-    r"share|sharing|social|related|recommended|comment|comments|disqus|respond|replies|breadcrumb|breadcrumbs|pagination|pager|"
-    r"newsletter|subscribe|subscription|signup|login|search|widget|toolbar|skip)(?:$|[\s_-])",
-    re.I,
+#: parts of the page around an article; an article or main part inside them is read all the same
+AROUND = frozenset("nav navbar navigation menu header masthead footer sidebar aside banner toolbar notice notices alert overlay skip search login".split())
+#: parts that hold texts of their own kind, also articles
+APART = frozenset(
+    "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion cookie cookies consent gdpr popup modal "
+    "share sharing social related recommended comment comments disqus respond replies breadcrumb breadcrumbs pagination pager "
+    "newsletter subscribe subscription signup widget".split()
+)
+#: what a class token may say besides such a name; any other part (with-, no-, post-) makes it another name
+PLAIN = frozenset(
+    "site page main global primary secondary top bottom left right inner outer box bar area block wrap wrapper container "
+    "section list item items links link posts buttons button form panel slot body text container unit group".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MASK = (1 << 63) - 1
@@ -82,6 +89,16 @@ MASK = (1 << 63) - 1
 EVERY = 0.85
 
 
+def _marked(label: str) -> int:
+    """0, or 1 if a class token or id names a part around an article, 2 if one apart from it."""
+    found = 0
+    for token in label.lower().split():
+        parts = [p.rstrip("0123456789") for p in re.split("[-_]+", token)]
+        if all(not p or p in AROUND or p in APART or p in PLAIN for p in parts):
+            found = max([found, *(2 if p in APART else 1 for p in parts if p in AROUND or p in APART)])
+    return found
+
+
 def _digest(above: int, text: str) -> int:
     raw = text.encode("utf-8", "surrogatepass")
     return (above * 1_000_003 + (zlib.crc32(raw) << 24) + zlib.adler32(raw)) & MASK
@@ -98,7 +115,7 @@ class Page:
         #: nodes above each block, for branches
         self.above: list[tuple[int, ...]] = []
         # tag, node, out (not read), article, main, tags of children
-        self.stack: list[tuple[str, int, bool, bool, bool, list[str]]] = [("", 1, False, False, False, [])]
+        self.stack: list[tuple[str, int, int, bool, bool, list[str]]] = [("", 1, 0, False, False, [])]
         self.text: list[str] = []
         self.read(source)
 
@@ -111,7 +128,7 @@ class Page:
                 self.blocks.append((node, text, article, main))
                 self.above.append(tuple(e[1] for e in self.stack))
 
-    def block(self) -> tuple[str, int, bool, bool, bool, list[str]]:
+    def block(self) -> tuple[str, int, int, bool, bool, list[str]]:
         for element in reversed(self.stack):
             if element[0] not in INLINE:
                 return element
@@ -164,18 +181,27 @@ class Page:
                 break
         if tag in VOID:
             return
-        named = {k.lower(): (a or b or c or "") for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
+        named: dict[str, str] = {}
+        for k, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
+            named.setdefault(k.lower(), a or b or c)  # of equal names the first counts
         label = f"{named.get('class', '')} {named.get('id', '')}".strip()
         _, node, out, article, main, children = self.stack[-1]
         children.append(tag)
         own = _digest(node, f"{tag}.{label}")
-        if tag not in ("html", "body", "article", "main"):
-            out = out or tag in ASIDE or "hidden" in named or named.get("role", "").lower() in ROLES
-            out = out or (tag == "header" and not article) or bool(label and NAMES.search(label))
-        elif tag == "article":
-            out = out or bool(label and re.search(r"(?:^|[\s_-])(?:comment|comments|ad|ads|related|promo|teaser)(?:$|[\s_-])", label, re.I))
+        role = named.get("role", "").lower()
+        if tag == "article" or tag == "main" or role == "main":
+            # out 1 is a wrapper around articles, 2 is not read whatever it holds
+            out = 0 if out < 2 else 2
+            if "hidden" in named or (tag == "article" and label and _marked(label) == 2):
+                out = 2
+        elif tag not in ("html", "body"):
+            if "hidden" in named or role in ROLES or (tag in ASIDE and tag != "form"):
+                out = 2
+            elif tag == "form" or (tag == "header" and not article):
+                out = max(out, 1)
+            out = max(out, _marked(label)) if label else out
         article = article or (tag == "article" and not out)
-        main = main or tag == "main" or named.get("role", "").lower() == "main"
+        main = main or tag == "main" or role == "main"
         self.stack.append((tag, own, out, article, main, []))
 
     def end(self, tag: str) -> None:
