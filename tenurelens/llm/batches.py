@@ -119,3 +119,20 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def same_bytes(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_start: np.ndarray, other_end: np.ndarray
+) -> np.ndarray:
+    """Whether each (non-empty) span of `data` spells the same as its partner in `other`."""
+    same = (end - start) == (other_end - other_start)
+    todo = np.flatnonzero(same)
+    size = (end - start)[todo]
+    for part in np.split(np.arange(len(todo)), np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES)) + 1):
+        if len(part):
+            n = size[part]
+            begin = np.cumsum(n) - n
+            step = np.arange(n.sum()) - np.repeat(begin, n)
+            equal = data[np.repeat(start[todo[part]], n) + step] == other[np.repeat(other_start[todo[part]], n) + step]
+            same[todo[part]] = np.logical_and.reduceat(equal, begin)
+    return same

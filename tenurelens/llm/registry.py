@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenurelens.llm import decontaminate, licenses, minhash, mixing, pages, passages, pii, quality, rules, tokenids
+from tenurelens.llm import (
+    decontaminate, licenses, minhash, mixing, neighbours, pages, passages, pii, quality, ranking, rules, spelling, tokenids,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -92,6 +94,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return ranking.rank(*(_read(spark, sf_dir, t) for t in ("documents", "benchmark")))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest inner products of every hundredth vector with all others."""
+    return neighbours.nearest(_read(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven letters and more, the forms they vary and the roots of those."""
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_minhash": op2_minhash,
@@ -103,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pii": op10_pii,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_nearest": op12_nearest,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
@@ -206,4 +226,7 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
 """,
+    "op11_ranked_search": ranking.ORACLE,
+    "op12_nearest": neighbours.ORACLE,
+    "op13_spelling": spelling.ORACLE,
 }
