@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenurelens.functions.scalars import count_below, double_array
+from tenurelens.functions.scalars import count_below, count_below_in, double_array
+from tenurelens.sources.tables import cut_lineage
 
 POINTS_PER_LINE = 50_000
 
@@ -206,3 +207,134 @@ def _count(placed: DataFrame, rows: int, cols: int) -> tuple[int, int, int]:
         .first()
     )
     return int(row[0]), int(row[1]), int(row[2])
+
+
+# ---------------------------------------------------------------- many groups in one job
+
+GROUP_COUNTS = "_g {kind}, " + COUNTS
+
+
+def _by_group(sweep):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = sweep(pdf)
+        out.insert(0, "_g", [key[0]])
+        return out
+
+    return run
+
+
+def concordance_by(
+    df: DataFrame,
+    group: str,
+    risk: str = "risk",
+    duration: str = "duration_days",
+    event: str = "is_churned",
+    points_per_line: int = POINTS_PER_LINE,
+) -> DataFrame:
+    """(group, comparable, concordant, tied, c_index) of every group; c_index is null without a pair.
+
+    All groups are counted from one table of distinct points and share every shuffle: each has a
+    grid of its own, with as many lines as its points ask for (a power of two). A null group is one.
+    """
+    kind = df.schema[group].dataType.simpleString()
+    stored = (
+        df.groupBy(
+            F.col(group).alias("_g"),
+            F.col(risk).cast("double").alias("r"),
+            F.col(duration).cast("double").alias("t"),
+            (F.coalesce(F.col(event).cast("int"), F.lit(0)) != 1).cast("int").alias("c"),
+        )
+        .agg(F.count(F.lit(1)).alias("w"))
+        .persist()
+    )
+    try:
+        usable = F.col("r").isNotNull() & ~F.isnan("r") & F.col("t").isNotNull()
+        sizes = stored.groupBy("_g").agg(F.count_if(usable).alias("n"))
+        asked = F.greatest(F.lit(1.0), F.ceil(F.col("n") / points_per_line))
+        sizes = sizes.withColumn("_lines", F.pow(F.lit(2.0), F.ceil(F.log2(asked))).cast("int"))
+        steps = sorted(r[0] for r in sizes.select("_lines").distinct().collect())
+        points = stored.where(usable)
+        lined = _join_group(points, sizes.select("_g", "_lines"))
+        marks = None
+        for lines in steps:
+            share = [k / lines for k in range(1, lines)]
+
+            def quantiles(column: str):
+                if not share:
+                    return F.array().cast("array<double>")
+                return F.array_sort(F.array_distinct(F.percentile_approx(column, share, 10 * lines)))
+
+            some = lined.where(F.col("_lines") == lines).groupBy("_g").agg(
+                *([F.count(F.lit(1)).alias("_n")] if not share else []),
+                quantiles("r").alias("rm"), quantiles("t").alias("tm"),
+            ).select("_g", "rm", "tm")
+            marks = some if marks is None else marks.unionAll(some)
+        grids = cut_lineage(sizes.select("_g").limit(0).selectExpr("_g", "array(0D) AS rm", "array(0D) AS tm") if marks is None else marks)
+        counted = cut_lineage(_count_groups(points, sizes.select("_g"), grids, max(steps, default=1), kind))
+    finally:
+        stored.unpersist()
+    # as doubles: a product of two such decimals would lose its whole digits
+    comparable, concordant, tied = (F.col(c).cast("double") for c in ("comparable", "concordant", "tied"))
+    index = F.when(comparable > 0, (concordant + 0.5 * tied) / comparable)
+    return counted.select(F.col("_g").alias(group), "comparable", "concordant", "tied", index.alias("c_index"))
+
+
+def _join_group(left: DataFrame, right: DataFrame) -> DataFrame:
+    other = right.withColumnRenamed("_g", "_other")
+    return left.join(other, F.col("_g").eqNullSafe(F.col("_other"))).drop("_other")
+
+
+def _count_groups(points: DataFrame, groups: DataFrame, marks: DataFrame, most: int, kind: str) -> DataFrame:
+    """(_g, comparable, concordant, tied); a grid per group, as in `_count`."""
+    marked = _join_group(points, marks)
+    r_below = F.when(F.size("rm") > 0, count_below_in(F.col("r"), F.col("rm"), most)).otherwise(F.lit(0))
+    t_below = F.when(F.size("tm") > 0, count_below_in(F.col("t"), F.col("tm"), most)).otherwise(F.lit(0))
+    placed = marked.select(
+        "_g", "r", "t", "c", "w",
+        (2 * r_below + F.array_contains("rm", F.col("r")).cast("int")).alias("a"),
+        (3 * t_below + F.when(F.array_contains("tm", F.col("t")), F.col("c") + 1).otherwise(0)).alias("b"),
+    )
+    schema = GROUP_COUNTS.format(kind=kind)
+    in_time = placed.where(F.col("b") % 3 == 0).groupBy("_g", "b").applyInPandas(_by_group(_inside_time_line), schema)
+    in_risk = placed.where(F.col("a") % 2 == 0).groupBy("_g", "a").applyInPandas(_by_group(_inside_risk_line), schema)
+    cells = placed.groupBy("_g", "a", "b").agg(
+        F.sum("w").alias("n"), F.sum(F.when(F.col("c") == 0, F.col("w")).otherwise(0)).alias("e")
+    )
+    # every cell of every grid, so that running sums meet in each
+    empty = marks.select("_g", F.explode(F.sequence(F.lit(0), 2 * F.size("rm"))).alias("a"), F.size("tm").alias("_m")).select(
+        "_g", "a", F.explode(F.sequence(F.lit(0), 3 * F.col("_m"))).alias("b"), F.lit(0).cast("long").alias("n"),
+        F.lit(0).cast("long").alias("e"),
+    )
+    grid = cells.unionByName(empty).groupBy("_g", "a", "b").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
+    lower = Window.partitionBy("_g", "b").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_g", "b")
+    later = Window.partitionBy("_g", "a").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
+    big, factor = "decimal(38,0)", "decimal(19,0)"
+
+    def times(column: str):
+        return F.col("e").cast(factor) * F.coalesce(column, F.lit(0)).cast(factor)
+
+    across = (
+        grid.withColumn("low", F.sum("n").over(lower))
+        .withColumn("all", F.sum("n").over(whole))
+        .select(
+            "_g", "a", "e",
+            F.sum("low").over(later).alias("low_later"),
+            F.sum("all").over(later).alias("all_later"),
+            F.sum("n").over(later).alias("same_later"),
+        )
+        .where(F.col("e") > 0)
+        .select(
+            "_g", times("all_later").alias("comparable"), times("low_later").alias("concordant"),
+            F.when(F.col("a") % 2 == 1, times("same_later")).otherwise(F.lit(0).cast(big)).alias("tied"),
+        )
+    )
+    counts = ("comparable", "concordant", "tied")
+    none = groups.select("_g", *[F.lit(0).cast(big).alias(c) for c in counts])
+    parts = [
+        part.select("_g", *[F.col(c).cast(big).alias(c) for c in counts]) for part in (in_time, in_risk, across)
+    ]
+    return (
+        none.unionAll(parts[0]).unionAll(parts[1]).unionAll(parts[2])
+        .groupBy("_g").agg(*[F.sum(c).cast(big).alias(c) for c in counts])
+    )

@@ -1,7 +1,7 @@
 """Cox proportional hazards, static or with (start, stop] rows.
 
-One Newton step is one Spark job. Rows are summed per time (Arrow batches, then a normal
-aggregate), risk sets come from running sums over the times, and the information matrix is
+Rows are put into time order once (`risksets`); a Newton step is then two maps over them and
+shuffles nothing. Risk sets come from running sums over the times, and the information matrix is
 split into a part per time and a part per row, so that no risk set is ever built:
 
     information = sum_j c_j x_j x_j'  -  sum_t sum_l z z' / phi^2
@@ -9,7 +9,8 @@ split into a part per time and a part per row, so that no risk set is ever built
 with, for time t of d tied events and share f = l/d (l = 0..d-1, or f = 0 for Breslow),
 phi = S0 - f D0 and z = S1 - f D1, where S and D sum exp(x b) and x exp(x b) over those at
 risk and over the tied events, and c_j = w_j (A(stop) - A(start) - event_j B(stop)) with
-A(t) = sum_{s<=t} sum_l 1/phi and B(t) = sum_l f/phi. The driver sees p + p(p+1)/2 + 1 sums.
+A(t) = sum_{s<=t} sum_l 1/phi and B(t) = sum_l f/phi. With strata every such sum runs within a
+stratum, and each stratum has a baseline of its own.
 """
 
 from __future__ import annotations
@@ -27,11 +28,12 @@ from tenurelens.functions import scalars as S
 from tenurelens.functions.tails import chi2_tail, normal_quantile, normal_two_sided
 from tenurelens.operators import lifetable as LT
 from tenurelens.operators.concordance import concordance
-from tenurelens.operators.design import Design, fit_design, happened, refuse
-from tenurelens.operators.partials import (
-    SLOT_SCHEMA, collect_slots, columns_of, pack_upper, slot_batch, unpack_upper,
-)
+from tenurelens.operators.design import LOW_VARIANCE, Design, category_levels, fit_design, happened, refuse
+from tenurelens.operators import risksets as R
+from tenurelens.operators.asof import asof_join
+from tenurelens.operators.partials import SLOT_SCHEMA, collect_slots, columns_of, slot_batch
 from tenurelens.operators.prefix import group_sums, running_sums
+from tenurelens.operators.ties import tie_sums
 from tenurelens.sources.schemas import COX_CATEGORICAL, COX_NUMERIC, HORIZONS
 from tenurelens.sources.tables import cut_lineage, read_parquet, write_parquet
 
@@ -103,107 +105,19 @@ def risk_table(rows: DataFrame, beta: np.ndarray) -> DataFrame:
     return table.drop(*names("w", p + 1))
 
 
-def tie_sums(d: np.ndarray, s0: np.ndarray, e0: np.ndarray, efron: bool):
-    """Per time: sums over l of ln phi, 1/phi, f/phi, 1/phi^2, f/phi^2, f^2/phi^2."""
-    out = np.zeros((6, len(d)))
-    has = d > 0
-    safe = np.where(has, s0, 1.0)
-    out[0] = np.where(has, d * np.log(safe), 0.0)
-    out[1] = np.where(has, d / safe, 0.0)
-    out[3] = np.where(has, d / safe**2, 0.0)
-    if efron:
-        for k in np.flatnonzero(d > 1):
-            total = np.zeros(6)
-            for lo in range(0, int(d[k]), 1_000_000):
-                f = np.arange(lo, min(int(d[k]), lo + 1_000_000)) / d[k]
-                phi = s0[k] - f * e0[k]
-                inv = 1.0 / phi
-                total += [
-                    np.log(phi).sum(), inv.sum(), (f * inv).sum(),
-                    (inv**2).sum(), (f * inv**2).sum(), (f**2 * inv**2).sum(),
-                ]
-            out[:, k] = total
-    return out
-
-
-def hazard_steps(risk: DataFrame, efron: bool) -> DataFrame:
-    """Per time: a = sum 1/phi and b = sum f/phi, with the running sum of a."""
-    kind = time_type(risk, "time")
-
-    def steps(batches):
-        for batch in batches:
-            d, s0, e0 = columns_of(batch, ["d", "r0", "e0"]).T
-            sums = tie_sums(d, s0, e0, efron)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("time"), pa.array(sums[1]), pa.array(sums[2])], ["time", "a", "b"]
-            )
-
-    table = risk.select("time", "d", "r0", "e0").mapInArrow(steps, f"time {kind}, a double, b double")
-    return running_sums(table, "time", {"a_sum": "a"})
-
-
-def step_sums(rows: DataFrame, risk: DataFrame, beta: np.ndarray, efron: bool):
-    """Log-likelihood, gradient and information at beta."""
-    p = len(beta)
-    size = 1 + p + p * (p + 1) // 2
-    timed = "start" in rows.columns
-
-    def per_time(batches):
-        total = np.zeros(size)
-        for batch in batches:
-            d, s0, e0 = columns_of(batch, ["d", "r0", "e0"]).T
-            s1 = columns_of(batch, names("r", p + 1)[1:])
-            e1 = columns_of(batch, names("e", p + 1)[1:])
-            v = columns_of(batch, names("v", p + 1)[1:])
-            log_phi, a, b, q0, q1, q2 = tie_sums(d, s0, e0, efron)
-            total[0] += float((v @ beta).sum() - log_phi.sum())
-            total[1 : 1 + p] += v.sum(axis=0) - (s1 * a[:, None] - e1 * b[:, None]).sum(axis=0)
-            cross = (s1 * q1[:, None]).T @ e1
-            zz = (s1 * q0[:, None]).T @ s1 - cross - cross.T + (e1 * q2[:, None]).T @ e1
-            total[1 + p :] -= pack_upper(zz)
-        yield slot_batch(total)
-
-    def per_row(batches):
-        gram = np.zeros((p, p))
-        for batch in batches:
-            x = columns_of(batch, names("x", p))
-            event, upto, own = columns_of(batch, ["event", "A_stop", "b_stop"]).T
-            weight = upto - event * own
-            if timed:
-                weight = weight - columns_of(batch, ["A_start"])[:, 0]
-            gram += (x * (np.exp(x @ beta) * weight)[:, None]).T @ x
-        yield slot_batch(pack_upper(gram), 1 + p)
-
-    hazard = hazard_steps(risk, efron)
-    at_stop = hazard.select(
-        F.col("time").alias("stop"), F.col("a_sum").alias("A_stop"), F.col("b").alias("b_stop")
-    )
-    placed = rows.join(at_stop, on="stop")
-    if timed:
-        at_start = hazard.select(F.col("time").alias("start"), F.col("a_sum").alias("A_start"))
-        placed = placed.join(at_start, on="start")
-    slots = collect_slots(
-        risk.mapInArrow(per_time, SLOT_SCHEMA).unionAll(placed.mapInArrow(per_row, SLOT_SCHEMA)), size
+def ratio_table(spark: SparkSession, terms: list[str], beta, covariance, alpha: float) -> DataFrame:
+    """One row per term: coefficient, hazard ratio, deviation, Wald p-value and limits."""
+    z = normal_quantile(1 - alpha / 2)
+    rows = []
+    for k, term in enumerate(terms):
+        b, se = float(beta[k]), float(math.sqrt(max(covariance[k, k], 0.0)))
+        p = normal_two_sided(b / se) if se > 0 else None
+        rows.append((term, b, math.exp(b), se, p, b - z * se, b + z * se))
+    return spark.createDataFrame(
+        rows,
+        "covariate string, coef double, hazard_ratio double, se double, p double, "
+        f"`coef_lower_{100 * (1 - alpha):g}` double, `coef_upper_{100 * (1 - alpha):g}` double",
     )
-    return float(slots[0]), slots[1 : 1 + p], unpack_upper(slots[1 + p :], p)
-
-
-def newton_direction(grad, info, beta, l1: float) -> np.ndarray:
-    """Step for the quadratic model, with an l1 penalty by coordinate descent when asked."""
-    if l1 <= 0:
-        return np.linalg.lstsq(info, grad, rcond=None)[0]
-    target = beta.copy()
-    linear = grad + info @ beta
-    for _ in range(1000):
-        before = target.copy()
-        for k in range(len(beta)):
-            if info[k, k] <= 0:
-                continue
-            rest = linear[k] - info[k] @ target + info[k, k] * target[k]
-            target[k] = np.sign(rest) * max(abs(rest) - l1, 0.0) / info[k, k]
-        if np.max(np.abs(target - before)) < 1e-12:
-            break
-    return target - beta
 
 
 @dataclass
@@ -220,6 +134,7 @@ class CoxModel:
     l1_ratio: float = 0.0
     ties: str = "efron"
     risk: DataFrame | None = None
+    strata: str | None = None
 
     # -- parameters
 
@@ -230,17 +145,7 @@ class CoxModel:
         }
 
     def hazard_ratios(self, alpha: float = 0.05) -> DataFrame:
-        z = normal_quantile(1 - alpha / 2)
-        rows = []
-        for k, term in enumerate(self.design.terms):
-            b, se = float(self.beta[k]), float(math.sqrt(max(self.covariance[k, k], 0.0)))
-            p = normal_two_sided(b / se) if se > 0 else None
-            rows.append((term, b, math.exp(b), se, p, b - z * se, b + z * se))
-        return self.spark.createDataFrame(
-            rows,
-            "covariate string, coef double, hazard_ratio double, se double, p double, "
-            f"`coef_lower_{100 * (1 - alpha):g}` double, `coef_upper_{100 * (1 - alpha):g}` double",
-        )
+        return ratio_table(self.spark, self.design.terms, self.beta, self.covariance, alpha)
 
     def top_hazard_ratios(self, n: int = 20) -> DataFrame:
         """The n largest coefficients, ties kept."""
@@ -259,11 +164,18 @@ class CoxModel:
 
     def baseline_at(self, horizons, how: str = "nearest") -> dict[float, float]:
         """Baseline cumulative hazard at a few horizons."""
+        if self.strata is not None:
+            raise ValueError("a stratified model has one baseline per stratum: use baselines_at")
+        row = self.baselines_at(horizons, how).first()
+        return dict(zip(horizons, row))
+
+    def baselines_at(self, horizons, how: str = "nearest") -> DataFrame:
+        """h0, h1, ...: baseline cumulative hazard at the horizons, one row (per stratum)."""
         pick = LT.nearest_value if how == "nearest" else LT.step_value
-        row = self.baseline.agg(
+        groups = [] if self.strata is None else [self.strata]
+        return self.baseline.groupBy(*groups).agg(
             *[pick("cum_hazard", h).alias(f"h{k}") for k, h in enumerate(horizons)]
-        ).first()
-        return dict(zip(horizons, row))
+        )
 
     def survival_columns(
         self, df: DataFrame, horizons=HORIZONS, how: str = "nearest", hazard: Column | None = None
@@ -274,12 +186,30 @@ class CoxModel:
             for h, h0 in self.baseline_at(horizons, how).items()
         ]
 
+    def with_survival(
+        self, df: DataFrame, horizons=HORIZONS, how: str = "nearest", hazard: Column | None = None
+    ) -> DataFrame:
+        """The rows with one survival column per horizon; null for a stratum the fit did not have."""
+        if self.strata is None:
+            return df.select("*", *self.survival_columns(df, horizons, how, hazard))
+        hazard = self.partial_hazard(df) if hazard is None else hazard
+        mine = self.baselines_at(horizons, how).select(
+            F.col(self.strata).alias("_stratum"), *[F.col(f"h{k}").alias(f"_h{k}") for k in range(len(horizons))]
+        )
+        met = df.join(mine, F.col(self.strata).eqNullSafe(F.col("_stratum")), "left")
+        return met.select(
+            *df.columns,
+            *[F.exp(-F.col(f"_h{k}") * hazard).alias(f"survival_prob_{h:g}d") for k, h in enumerate(horizons)],
+        )
+
     def survival_at_horizons(
         self, df: DataFrame, horizons=HORIZONS, id_col: str = "customer_id", how: str = "nearest"
     ) -> DataFrame:
         ids = [id_col] if id_col in df.columns else []
-        ready = df.select(*ids, self.partial_hazard(df).alias("_hazard"))
-        return ready.select(*ids, *self.survival_columns(ready, horizons, how, F.col("_hazard")))
+        groups = [F.col(self.strata).alias(self.strata)] if self.strata is not None else []
+        ready = df.select(*[c for c in ids if c != self.strata], *groups, self.partial_hazard(df).alias("_hazard"))
+        wanted = [f"survival_prob_{h:g}d" for h in horizons]
+        return self.with_survival(ready, horizons, how, F.col("_hazard")).select(*ids, *wanted)
 
     def with_median(
         self, df: DataFrame, out: str = "median_survival_days", id_col: str = "customer_id",
@@ -289,8 +219,12 @@ class CoxModel:
 
         Rows that need more hazard than the whole curve has are infinite at once. The others
         meet one chunk of the curve, a sorted array, and search it; chunks are copied per salt,
-        so that a chunk many rows need is met in several places. Rows need no id.
+        so that a chunk many rows need is met in several places. Rows need no id. Rows of a
+        stratified model search the curve of their stratum by an as-of join; a stratum the fit
+        did not have gives null.
         """
+        if self.strata is not None:
+            return self._with_median_by_stratum(df, out, hazard)
         needed = F.lit(math.log(2.0)) / (self.partial_hazard(df) if hazard is None else hazard)
         rising = self.baseline.where(F.col("hazard") > 0).select(
             F.col("cum_hazard").alias("h"), F.col("time").cast("double").alias("t")
@@ -317,8 +251,25 @@ class CoxModel:
             out, F.coalesce(found, F.lit(float("inf")))
         ).drop("_part", "_salt", "_needed", "_h", "_t")
 
+    def _with_median_by_stratum(self, df: DataFrame, out: str, hazard: Column | None) -> DataFrame:
+        needed = F.lit(math.log(2.0)) / (self.partial_hazard(df) if hazard is None else hazard)
+        rising = self.baseline.where(F.col("hazard") > 0).select(
+            self.strata, "cum_hazard", F.col("time").cast("double").alias("_median")
+        )
+        known = self.baseline.select(F.col(self.strata).alias("_stratum"), F.lit(True).alias("_known")).distinct()
+        met = asof_join(
+            df.withColumn("_needed", needed), rising, "_needed", "cum_hazard", ["_median"], [self.strata], "forward"
+        ).join(known, F.col(self.strata).eqNullSafe(F.col("_stratum")), "left")
+        median = F.when(F.col("_known"), F.coalesce("_median", F.lit(float("inf"))))
+        return met.withColumn(out, median).select(*[c for c in df.columns if c != out], out)
+
     def with_risk(self, df: DataFrame, horizon: float = 90, out: str = "risk") -> DataFrame:
-        return df.withColumn(out, 1.0 - self.survival_columns(df, (horizon,))[0])
+        if self.strata is None:
+            return df.withColumn(out, 1.0 - self.survival_columns(df, (horizon,))[0])
+        survival = f"survival_prob_{horizon:g}d"
+        own = df.drop(survival)
+        scored = self.with_survival(own, (horizon,)).withColumn(out, 1.0 - F.col(survival)).select(*own.columns, out)
+        return scored
 
     def concordance_index(
         self, df: DataFrame, duration: str = "duration_days", event: str = "is_churned", horizon: float = 90
@@ -337,18 +288,24 @@ class CoxModel:
             raise RuntimeError("the test needs the model as fitted, not one read back")
         p = len(self.beta)
         efron = self.ties == "efron"
-        ranked = running_sums(self.risk, "time", {"so_far": "d"}, totals=True)
+        if self.strata is None:
+            ranked = running_sums(self.risk, "time", {"so_far": "d"}, totals=True).withColumn("tied", F.col("d"))
+        else:
+            # events of one time share a rank whatever their stratum
+            times = group_sums(self.risk, ["time"], {"tied": "d"})
+            ranked = self.risk.join(running_sums(times, "time", {"so_far": "tied"}, totals=True), "time")
 
         def sums(batches):
             total = np.zeros(p + 1)
             for batch in batches:
                 d, s0, e0, so_far, n = columns_of(batch, ["d", "r0", "e0", "so_far", "so_far_total"]).T
+                tied = columns_of(batch, ["tied"])[:, 0]
                 s1 = columns_of(batch, names("r", p + 1)[1:])
                 e1 = columns_of(batch, names("e", p + 1)[1:])
                 v = columns_of(batch, names("v", p + 1)[1:])
                 _, a, b, *_ = tie_sums(d, s0, e0, efron)
                 residual = v - (s1 * a[:, None] - e1 * b[:, None])
-                g = so_far - (d - 1) / 2.0 - (n + 1) / 2.0
+                g = so_far - (tied - 1) / 2.0 - (n + 1) / 2.0
                 total[:p] += (residual * g[:, None])[d > 0].sum(axis=0)
                 total[p] += float((d * g * g).sum())
             yield slot_batch(total)
@@ -384,7 +341,7 @@ class CoxModel:
             "position int, term string, kind string, source string, level string, mean double, "
             "std double, coef double, covariance array<double>, penalizer double, l1_ratio double, "
             "ties string, log_likelihood double, n_rows bigint, n_events bigint",
-        )
+        ).withColumn("strata", F.lit(self.strata).cast("string"))
         write_parquet(coefficients.coalesce(1), f"{path}/coefficients")
         write_parquet(self.baseline, f"{path}/baseline")
 
@@ -400,77 +357,71 @@ class CoxModel:
             design, np.array([r["coef"] for r in rows]),
             np.array([r["covariance"] for r in rows]), read_parquet(spark, f"{path}/baseline"),
             first["log_likelihood"], first["n_rows"], first["n_events"], 0,
-            first["penalizer"], first["l1_ratio"], first["ties"],
+            first["penalizer"], first["l1_ratio"], first["ties"], strata=first["strata"],
         )
 
 
-def breslow_baseline(risk: DataFrame) -> DataFrame:
-    """(time, hazard, cum_hazard, survival) from a risk table, starting at time 0."""
-    steps = risk.select("time", F.when(F.col("d") > 0, F.col("d") / F.col("r0")).otherwise(0.0).alias("hazard"))
-    curve = running_sums(steps, "time", {"cum_hazard": "hazard"})
+def breslow_baseline(risk: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
+    """(time, hazard, cum_hazard, survival) from a risk table, starting at time 0.
+
+    With the numbers of strata, one curve per stratum and its column first.
+    """
+    groups = () if numbers is None else ("g",)
+    step = F.when(F.col("d") > 0, F.col("d") / F.col("r0")).otherwise(0.0).alias("hazard")
+    steps = risk.select(*groups, "time", step)
+    curve = running_sums(steps, "time", {"cum_hazard": "hazard"}, groups)
     kind = curve.schema["time"].dataType
-    origin = steps.agg(F.min("time").alias("_first")).where(F.col("_first") > 0).select(
-        F.lit(0).cast(kind).alias("time"), F.lit(0.0).alias("hazard"), F.lit(0.0).alias("cum_hazard")
+    origin = steps.groupBy(*groups).agg(F.min("time").alias("_first")).where(F.col("_first") > 0).select(
+        *groups, F.lit(0).cast(kind).alias("time"), F.lit(0.0).alias("hazard"), F.lit(0.0).alias("cum_hazard")
     )
-    return curve.unionByName(origin).withColumn("survival", F.exp(-F.col("cum_hazard")))
+    curve = curve.unionByName(origin).withColumn("survival", F.exp(-F.col("cum_hazard")))
+    if numbers is None:
+        return curve
+    name = next(c for c in numbers.columns if c != "g")
+    return curve.join(numbers, "g").select(name, *[c for c in curve.columns if c != "g"])
 
 
 def fit_rows(
     rows: DataFrame, p: int, penalizer: float = 0.1, l1_ratio: float = 0.0, ties: str = "efron",
     penalty: str = "sum", max_steps: int = 500, tolerance: float = 1e-7, max_halvings: int = 30,
-    first: np.ndarray | None = None,
+    first: np.ndarray | None = None, parts: int | None = None,
 ):
-    """Newton iterations over prepared rows (stop, event, x*[, start]), from 0 or from `first`."""
+    """Newton iterations over prepared rows (stop, event, x*[, start, g]), from 0 or from `first`."""
     if ties not in ("efron", "breslow"):
         raise ValueError("ties must be 'efron' or 'breslow'")
-    efron = ties == "efron"
-    n_rows, n_events = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("event"), F.lit(0))).first()
-    strength = penalizer * (n_rows if penalty == "mean" else 1.0)
-    l1, l2 = strength * l1_ratio, strength * (1.0 - l1_ratio)
-
-    def evaluate(beta):
-        risk = risk_table(rows, beta).persist()
-        ll, grad, info = step_sums(rows, risk, beta, efron)
-        objective = ll - 0.5 * l2 * float(beta @ beta) - l1 * float(np.abs(beta).sum())
-        return risk, ll, objective, grad - l2 * beta, info + l2 * np.eye(p)
-
-    beta = np.zeros(p) if first is None or len(first) != p else np.array(first, dtype=float)
-    risk, ll, objective, grad, info = evaluate(beta)
-    taken = 0
-    while taken < max_steps:
-        direction = newton_direction(grad, info, beta, l1)
-        if np.max(np.abs(direction), initial=0.0) < tolerance:
-            break
-        scale, moved = 1.0, False
-        for _ in range(max_halvings):
-            trial = evaluate(beta + scale * direction)
-            if np.isfinite(trial[2]) and trial[2] >= objective - 1e-9 * abs(objective):
-                moved = True
-                break
-            trial[0].unpersist()
-            scale /= 2.0
-        if not moved:
-            break
-        risk.unpersist()
-        gain = trial[2] - objective
-        beta = beta + scale * direction
-        risk, ll, objective, grad, info = trial
-        taken += 1
-        if abs(gain) < 1e-11 * (abs(objective) + 1.0):
-            break
-    kept = cut_lineage(risk)
-    risk.unpersist()
-    return beta, np.linalg.pinv(info), kept, ll, int(n_rows), int(n_events), taken
-
-
-def build(design, fitted, penalizer, l1_ratio, ties) -> CoxModel:
+    kind = time_type(rows, "stop")
+    layout = R.lay_out(rows, p, parts=parts)
+    try:
+        strength = penalizer * (layout.n_rows[0] if penalty == "mean" else 1.0)
+        begin = np.zeros(p) if first is None or len(first) != p else np.array(first, dtype=float)
+        problem = R.Problem(strength * l1_ratio, np.full(p, strength * (1.0 - l1_ratio)), np.ones(p, bool), begin)
+        found = R.solve(layout, [problem], ties == "efron", max_steps, tolerance, max_halvings)[0]
+        risk = R.risk_tables(layout, [found.beta]).drop("model", *([] if "g" in rows.columns else ["g"]))
+        kept = cut_lineage(risk.withColumn("time", F.col("time").cast(kind)))
+    finally:
+        layout.drop()
+    return (
+        found.beta, np.linalg.pinv(found.information), kept, found.log_likelihood,
+        layout.n_rows[0], layout.n_events[0], found.steps,
+    )
+
+
+def build(design, fitted, penalizer, l1_ratio, ties, strata=None, numbers=None) -> CoxModel:
     beta, covariance, risk, ll, n_rows, n_events, taken = fitted
-    baseline = cut_lineage(breslow_baseline(risk))
+    baseline = cut_lineage(breslow_baseline(risk, numbers))
     return CoxModel(
-        design, beta, covariance, baseline, ll, n_rows, n_events, taken, penalizer, l1_ratio, ties, risk
+        design, beta, covariance, baseline, ll, n_rows, n_events, taken, penalizer, l1_ratio, ties, risk, strata
     )
 
 
+def with_strata(df: DataFrame, strata: str | None) -> tuple[list[Column], DataFrame | None]:
+    """The column that numbers the strata, and the table of numbers."""
+    if strata is None:
+        return [], None
+    numbers, seed = R.stratum_numbers(df, strata)
+    return [F.xxhash64(F.lit(seed), F.col(strata)).alias("g")], cut_lineage(numbers)
+
+
 def fit_cox(
     df: DataFrame,
     duration: str = "duration_days",
@@ -483,24 +434,150 @@ def fit_cox(
     penalty: str = "sum",
     max_steps: int = 500,
     first: "CoxModel | None" = None,
+    strata: str | None = None,
+    parts: int | None = None,
 ) -> CoxModel:
     """Fit on one row per subject. The ridge weight applies to the summed likelihood
     (`penalty="sum"`) or to the mean one (`penalty="mean"`). A model of the same terms given
-    as `first` is where the iterations begin."""
+    as `first` is where the iterations begin. With `strata` rows are at risk only with rows of
+    the same value of that column (null is one of them), and every value has its own baseline.
+    `parts` sets the number of parts the rows are laid out in."""
     numeric = COX_NUMERIC if numeric is None else numeric
     categorical = COX_CATEGORICAL if categorical is None else categorical
-    design = fit_design(df, numeric, categorical)
-    rows = design.matrix(df, [F.col(duration).alias("stop"), happened(event).alias("event")]).persist()
+    design = fit_design(df, [c for c in numeric if c != strata], [c for c in categorical if c != strata])
+    number, numbers = with_strata(df, strata)
+    # the hash of the whole row tells rows of one day apart
+    keep = [F.col(duration).alias("stop"), happened(event).alias("event"), *number, F.xxhash64(*df.columns).alias("salt")]
+    rows = design.matrix(df, keep).persist()
     known_terms = first is not None and first.design.terms == design.terms
     try:
         refuse(rows, F.col("stop").isNull(), "a null duration")
         fitted = fit_rows(
             rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps,
-            first=first.beta if known_terms else None,
+            first=first.beta if known_terms else None, parts=parts,
         )
     finally:
         rows.unpersist()
-    return build(design, fitted, penalizer, l1_ratio, ties)
+    return build(design, fitted, penalizer, l1_ratio, ties, strata, numbers)
+
+
+def score_vector(
+    model: CoxModel, df: DataFrame, duration: str = "duration_days", event: str = "is_churned"
+) -> np.ndarray:
+    """The gradient of the log partial likelihood of df at the model's coefficients, without penalty.
+
+    It is summed over a table per time (`risk_table`) and shares nothing with the laid-out rows
+    of the fit, so it can check one. Not for strata.
+    """
+    p, efron = len(model.beta), model.ties == "efron"
+    rows = model.design.matrix(df, [F.col(duration).alias("stop"), happened(event).alias("event")])
+
+    def sums(batches):
+        total = np.zeros(p)
+        for batch in batches:
+            d, s0, e0 = columns_of(batch, ["d", "r0", "e0"]).T
+            s1, e1, v = (columns_of(batch, names(c, p + 1)[1:]) for c in "rev")
+            _, a, b, *_ = tie_sums(d, s0, e0, efron)
+            total += v.sum(0) - a @ s1 + b @ e1
+        yield slot_batch(total)
+
+    return collect_slots(risk_table(rows, model.beta).mapInArrow(sums, SLOT_SCHEMA), p)
+
+
+@dataclass
+class Folds:
+    """Models that left out one fold each, over one design; `scale` is their own deviation over its."""
+
+    design: Design
+    betas: np.ndarray
+    baseline_hazard: list[float]
+    n_rows: list[int]
+    steps: list[int]
+
+    def held_out_risk(self, df: DataFrame, fold: str = "fold") -> Column:
+        """1 - S(horizon) of every row by the model that did not see its fold."""
+        own = [F.get(F.array(*[F.lit(float(b)) for b in column]), F.col(fold)) for column in self.betas.T]
+        linear = sum((w * x for w, x in zip(own, self.design.columns(df), strict=True)), F.lit(0.0))
+        base = F.get(F.array(*[F.lit(float(h)) for h in self.baseline_hazard]), F.col(fold))
+        return 1.0 - F.exp(-base * F.exp(linear))
+
+
+def fold_designs(df: DataFrame, k: int, numeric: list[str], categorical: list[str], fold: str = "fold"):
+    """The design of all rows, and per fold's training rows the terms it has and their scale.
+
+    A model of a fold would standardise by the deviation of its own rows and leave out what is
+    constant in them. In the terms of the common design that is a factor on its penalty, and a
+    coefficient that stays 0.
+    """
+    numeric = [c for c in numeric if c in df.columns]
+    categorical = [c for c in categorical if c in df.columns]
+    design = fit_design(df, numeric, categorical)
+    scale, active = np.ones((k, len(design.terms))), np.zeros((k, len(design.terms)), bool)
+    if design.numeric:
+        spread = df.agg(*[
+            F.stddev_samp(F.when(F.col(fold) != m, S.finite_or_zero(F.col(c)))) for m in range(k) for c, _, _ in design.numeric
+        ]).first()
+        own = np.array([0.0 if v is None else v for v in spread]).reshape(k, len(design.numeric))
+        active[:, : len(design.numeric)] = own > LOW_VARIANCE
+        scale[:, : len(design.numeric)] = own / np.array([std for _, _, std in design.numeric])
+    if design.levels:
+        columns = sorted({c for c, _ in design.levels})
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
+        seen = {
+            (r["c"], r["v"]): set(r["folds"])
+            for r in df.select(fold, pairs.alias("p")).where(F.col("p.v").isNotNull())
+            .groupBy("p.c", "p.v").agg(F.collect_set(fold).alias("folds")).collect()
+        }
+        order = category_levels(df, columns)
+        for m in range(k):
+            for c in columns:
+                # a level is among the training rows if any other fold has it; the first one is the base
+                there = [v for v in order[c] if seen.get((c, v), set()) - {m}]
+                for n, (column, level) in enumerate(design.levels, len(design.numeric)):
+                    if column == c:
+                        active[m, n] = level in there[1:]
+    return design, scale, active
+
+
+def fit_cox_folds(
+    df: DataFrame, k: int, duration: str = "duration_days", event: str = "is_churned", numeric=None,
+    categorical=None, penalizer: float = 0.1, l1_ratio: float = 0.0, ties: str = "efron", penalty: str = "sum",
+    max_steps: int = 500, horizon: float = 90, how: str = "nearest", fold: str = "fold", parts: int | None = None,
+) -> Folds:
+    """The k models that leave out the rows of one fold each, fitted side by side.
+
+    `fold` is 0..k-1. Rows are laid out once, and one Newton round of all models is one pass.
+    """
+    numeric = COX_NUMERIC if numeric is None else numeric
+    categorical = COX_CATEGORICAL if categorical is None else categorical
+    design, scale, active = fold_designs(df, k, numeric, categorical, fold)
+    p = len(design.terms)
+    keep = [F.col(duration).alias("stop"), happened(event).alias("event"), F.col(fold).alias("fold"),
+            F.xxhash64(*df.columns).alias("salt")]
+    rows = design.matrix(df, keep)
+    refuse(rows, F.col("stop").isNull(), "a null duration")
+    refuse(rows, ~F.coalesce(F.col("fold").between(0, k - 1), F.lit(False)), "no fold")
+    layout = R.lay_out(rows, p, folds=k, parts=parts)
+    try:
+        problems = []
+        for m in range(k):
+            strength = penalizer * (layout.n_rows[m] if penalty == "mean" else 1.0)
+            problems.append(R.Problem(
+                strength * l1_ratio * scale[m], strength * (1 - l1_ratio) * scale[m] ** 2, active[m], np.zeros(p)
+            ))
+        found = R.solve(layout, problems, ties == "efron", max_steps)
+        risk = R.risk_tables(layout, [s.beta for s in found])
+        step = F.when(F.col("d") > 0, F.col("d") / F.col("r0")).otherwise(0.0).alias("hazard")
+        # times of left-out rows stand on the curves as well, with hazard 0
+        curve = running_sums(risk.select("model", "time", step), "time", {"cum_hazard": "hazard"}, ("model",))
+        pick = LT.nearest_value if how == "nearest" else LT.step_value
+        at = dict(curve.groupBy("model").agg(pick("cum_hazard", horizon)).collect())
+    finally:
+        layout.drop()
+    return Folds(
+        design, np.stack([s.beta for s in found]), [at.get(m) or 0.0 for m in range(k)], layout.n_rows,
+        [s.steps for s in found],
+    )
 
 
 def fit_cox_intervals(
@@ -515,6 +592,8 @@ def fit_cox_intervals(
     penalty: str = "sum",
     max_steps: int = 500,
     standardise: bool = True,
+    strata: str | None = None,
+    parts: int | None = None,
 ) -> CoxModel:
     """Fit on counting-process rows (start, stop]; covariates may differ between rows."""
     covariates = covariates or [c for c in COX_NUMERIC if c in df.columns]
@@ -523,25 +602,38 @@ def fit_cox_intervals(
     else:
         design = Design([(c, 0.0, 1.0) for c in covariates])
     kind = time_type(df, stop)
+    number, numbers = with_strata(df, strata)
     rows = design.matrix(
         df,
         [F.col(start).cast(kind).alias("start"), F.col(stop).cast(kind).alias("stop"),
-         happened(event).alias("event")],
+         happened(event).alias("event"), *number, F.xxhash64(*df.columns).alias("salt")],
     ).persist()
     try:
         broken = F.col("start").isNull() | F.col("stop").isNull() | (F.col("start") >= F.col("stop"))
         refuse(rows, broken, "an interval that does not end after its start")
-        fitted = fit_rows(rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps)
+        fitted = fit_rows(rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps, parts=parts)
     finally:
         rows.unpersist()
-    return build(design, fitted, penalizer, l1_ratio, ties)
+    return build(design, fitted, penalizer, l1_ratio, ties, strata, numbers)
 
 
 def fixed_model(
-    df: DataFrame, design: Design, beta, duration: str = "duration_days", event: str = "is_churned"
+    df: DataFrame, design: Design, beta, duration: str = "duration_days", event: str = "is_churned",
+    strata: str | None = None, parts: int | None = None,
 ) -> CoxModel:
-    """Given coefficients with the Breslow baseline of the given rows."""
+    """Given coefficients with the Breslow baseline of the given rows, one per value of `strata`."""
     beta = np.asarray(beta, dtype=float)
+    if strata is not None:
+        number, numbers = with_strata(df, strata)
+        keep = [F.col(duration).alias("stop"), happened(event).alias("event"), *number, F.xxhash64(*df.columns).alias("salt")]
+        rows = design.matrix(df, keep)
+        layout = R.lay_out(rows, len(beta), parts=parts)
+        try:
+            risk = R.risk_tables(layout, [beta]).withColumn("time", F.col("time").cast(time_type(rows, "stop")))
+            baseline = cut_lineage(breslow_baseline(risk, numbers))
+        finally:
+            layout.drop()
+        return CoxModel(design, beta, np.zeros((len(beta), len(beta))), baseline, strata=strata)
     rows = design.matrix(df, [F.col(duration).alias("stop"), happened(event).alias("event")])
     baseline = cut_lineage(breslow_baseline(risk_table(rows, beta)))
     return CoxModel(design, beta, np.zeros((len(beta), len(beta))), baseline)

@@ -150,7 +150,11 @@ def numeric_drift(
     open_ends: bool = False,
 ) -> DataFrame:
     """(feature, psi, kl, ks_stat, ref_n, cur_n), unrounded."""
-    counts = counted(reference, current, columns, "double")
+    return numeric_figures(counted(reference, current, columns, "double"), columns, bins, open_ends)
+
+
+def numeric_figures(counts: DataFrame, columns: list[str], bins: int = BINS, open_ends: bool = False) -> DataFrame:
+    """The figures of `numeric_drift` from counted values (feature, value, n_ref, n_cur)."""
     profile = feature_profile(distribution(counts), bins)
     shares = histogram(counts, profile, open_ends).groupBy("feature").agg(
         F.sum(S.psi_term(F.col("ref_share"), F.col("cur_share"))).alias("psi"),
@@ -159,7 +163,7 @@ def numeric_drift(
     # without values on a side nothing can be said; too few distinct values are no drift
     both = (F.col("ref_n") > 0) & (F.col("cur_n") > 0)
     found = profile.join(shares, on="feature", how="left")
-    return asked(reference.sparkSession, columns).join(found, on="feature", how="left").select(
+    return asked(counts.sparkSession, columns).join(found, on="feature", how="left").select(
         "feature",
         F.when(both, F.coalesce("psi", F.lit(0.0))).alias("psi"),
         F.when(both, F.coalesce("kl", F.lit(0.0))).alias("kl"),
@@ -175,7 +179,11 @@ def asked(spark: SparkSession, columns: list[str]) -> DataFrame:
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, psi, chi2_stat, degrees), unrounded; Yates' correction for 2 x 2 only."""
-    counts = counted(reference, current, columns, "string")
+    return categorical_figures(counted(reference, current, columns, "string"), columns)
+
+
+def categorical_figures(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """The figures of `categorical_drift` from counted values (feature, value, n_ref, n_cur)."""
     sizes = counts.groupBy("feature").agg(
         F.sum("n_ref").alias("all_ref"), F.sum("n_cur").alias("all_cur"), F.count(F.lit(1)).alias("k")
     )
@@ -197,7 +205,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, columns: list[st
         F.when(known, F.sum(part("n_ref", "all_ref") + part("n_cur", "all_cur"))).alias("chi2_stat"),
         (F.max("k") - 1).alias("degrees"),
     )
-    return asked(reference.sparkSession, columns).join(found, on="feature", how="left")
+    return asked(counts.sparkSession, columns).join(found, on="feature", how="left")
 
 
 def drift_report(
@@ -211,28 +219,34 @@ def drift_report(
     """
     numeric = [c for c in (numeric or DRIFT_NUMERIC) if c in reference.columns]
     categorical = [c for c in (categorical or DRIFT_CATEGORICAL) if c in reference.columns]
+    if not numeric and not categorical:
+        raise ValueError("none of the features is in the reference")
+    return verdicts(
+        numeric_drift(reference, current, numeric, bins) if numeric else None,
+        categorical_drift(reference, current, categorical) if categorical else None, psi_limit, alpha,
+    )
+
+
+def verdicts(
+    numeric: DataFrame | None, categorical: DataFrame | None, psi_limit: float = PSI_LIMIT, alpha: float = ALPHA
+) -> DataFrame:
+    """The report of the figures of numeric and of categorical features."""
     nothing = F.lit(None).cast("double")
     parts = []
-    if numeric:
-        n = numeric_drift(reference, current, numeric, bins).withColumn(
-            "p", ks_pvalue("ks_stat", "ref_n", "cur_n")
-        )
+    if numeric is not None:
+        n = numeric.withColumn("p", ks_pvalue("ks_stat", "ref_n", "cur_n"))
         parts.append(n.select(
             "feature", F.lit("numeric").alias("type"), F.col("psi"),
             F.round("ks_stat", 4).alias("ks_stat"), F.round("p", 4).alias("ks_pvalue"),
             nothing.alias("chi2_stat"), nothing.alias("chi2_pvalue"), "p",
         ))
-    if categorical:
-        c = categorical_drift(reference, current, categorical).withColumn(
-            "p", chi2_pvalue("chi2_stat", "degrees")
-        )
+    if categorical is not None:
+        c = categorical.withColumn("p", chi2_pvalue("chi2_stat", "degrees"))
         parts.append(c.select(
             "feature", F.lit("categorical").alias("type"), F.col("psi"),
             nothing.alias("ks_stat"), nothing.alias("ks_pvalue"),
             F.round("chi2_stat", 4).alias("chi2_stat"), F.round("p", 4).alias("chi2_pvalue"), "p",
         ))
-    if not parts:
-        raise ValueError("none of the features is in the reference")
     report = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     flag = (F.col("psi") > psi_limit) | F.coalesce(F.col("p") < alpha, F.lit(False))
     return report.select(

@@ -6,14 +6,17 @@ that table with running sums, so no task ever sorts the raw rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenurelens.functions.tails import chi2_tail, normal_quantile
-from tenurelens.operators.partials import SLOT_SCHEMA, collect_slots, columns_of, pack_upper, slot_batch, unpack_upper
+from tenurelens.operators.asof import asof_join
+from tenurelens.operators.partials import SLOT_SCHEMA, collect_slots, pack_upper, slot_batch, unpack_upper
 from tenurelens.operators.prefix import running_sums
 
 
@@ -121,21 +124,6 @@ def group_labels(df: DataFrame, group: str) -> list:
     return sorted(r[0] for r in df.select(group).where(F.col(group).isNotNull()).distinct().collect())
 
 
-def grouped_risk_sets(
-    df: DataFrame, group: str, labels: list, duration: str, event: str
-) -> DataFrame:
-    """One row per time: events `d_k` and numbers at risk `n_k` of every group k."""
-    known = df.where(F.col(group).isNotNull() & F.col(duration).isNotNull())
-    aggs = []
-    for k, label in enumerate(labels):
-        here = F.col(group) == F.lit(label)
-        aggs.append(F.count_if(here & (F.col(event) == 1)).alias(f"d_{k}"))
-        aggs.append(F.count_if(here).alias(f"x_{k}"))
-    wide = known.groupBy(F.col(duration).alias("time")).agg(*aggs)
-    sums = {f"n_{k}": f"x_{k}" for k in range(len(labels))}
-    return running_sums(wide, "time", sums, descending=True)
-
-
 def logrank_groups(
     df: DataFrame, group: str, duration: str = "duration_days", event: str = "is_churned"
 ) -> DataFrame:
@@ -172,39 +160,114 @@ class LogRank:
         return self.p_value < 0.05
 
 
+class Exits(NamedTuple):
+    """Events and exits per (time, group number) in ranges of time, and those at risk after each range."""
+
+    cells: DataFrame
+    after: dict[int, np.ndarray]
+
+
+def _exits_in_order(df: DataFrame, group: str, labels: list, duration: str, event: str) -> Exits:
+    """One row per time and group, sorted by time in ranges; a time lies in one range."""
+    spark, k = df.sparkSession, len(labels)
+    numbers = spark.createDataFrame(list(enumerate(labels)), f"_k int, _label {df.schema[group].dataType.simpleString()}")
+    known = df.where(F.col(group).isNotNull() & F.col(duration).isNotNull())
+    cells = known.groupBy(F.col(group).alias("_label"), F.col(duration).cast("double").alias("t")).agg(
+        F.count_if(F.col(event) == 1).cast("double").alias("d"), F.count(F.lit(1)).cast("double").alias("x")
+    )
+    ordered = (
+        cells.join(numbers, "_label").select("t", "_k", "d", "x")
+        .repartitionByRange("t").sortWithinPartitions("t").withColumn("part", F.spark_partition_id()).persist()
+    )
+    sums: dict[int, np.ndarray] = {}
+    for part, number, x in ordered.groupBy("part", "_k").agg(F.sum("x")).toLocalIterator():
+        sums.setdefault(part, np.zeros(k))[number] = x
+    carry, after = np.zeros(k), {}
+    for part in sorted(sums, reverse=True):
+        after[part], carry = carry, carry + sums[part]
+    return Exits(ordered, after)
+
+
+def _logrank_sums(batches, after, k: int, times: int):
+    """Observed, expected and upper covariance of a range, some times at once from its end."""
+    parts = [np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in ("t", "_k", "d", "x", "part")]) for b in batches]
+    total = np.zeros(2 * k + k * (k + 1) // 2)
+    rows = np.concatenate(parts) if parts else np.empty((0, 5))
+    if len(rows):
+        at_risk = after.value[int(rows[0, 4])].copy()
+        distinct, place = np.unique(rows[:, 0], return_inverse=True)
+        number = rows[:, 1].astype(int)
+        v = np.zeros((k, k))
+        for end in range(len(distinct), 0, -times):
+            begin = max(0, end - times)
+            on = slice(*np.searchsorted(place, [begin, end]))
+            d, n = np.zeros((end - begin, k)), np.zeros((end - begin, k))
+            np.add.at(d, (place[on] - begin, number[on]), rows[on, 2])
+            np.add.at(n, (place[on] - begin, number[on]), rows[on, 3])
+            n = np.cumsum(n[::-1], axis=0)[::-1] + at_risk
+            at_risk = n[0]
+            dead, all_ = d.sum(1), n.sum(1)
+            share = n / all_[:, None]
+            spread = np.where(all_ > 1, dead * (all_ - dead) / np.maximum(all_ - 1, 1), 0.0)
+            v += np.diag(spread @ share) - (share * spread[:, None]).T @ share
+            total[:k] += d.sum(0)
+            total[k : 2 * k] += dead @ share
+        total[2 * k :] = pack_upper(v)
+    return total
+
+
 def logrank_test(
-    df: DataFrame, group: str, duration: str = "duration_days", event: str = "is_churned"
+    df: DataFrame, group: str, duration: str = "duration_days", event: str = "is_churned", times: int = 256
 ) -> LogRank:
-    """Log-rank test over all groups (two or more)."""
+    """Log-rank test over all groups (two or more).
+
+    Groups stay rows, so the plan is the same for any number of them. Rows are sorted into ranges
+    of time once; each range is told how many of every group are at risk after it and adds up its
+    share of the covariance, `times` times at once. The covariance is a groups x groups matrix
+    in each task and on the driver; nothing else grows with the groups there.
+    """
     labels = group_labels(df, group)
     k = len(labels)
     if k < 2:
         raise ValueError(f"{group} needs at least two groups")
-    table = grouped_risk_sets(df, group, labels, duration, event)
+    cells, after = _exits_in_order(df, group, labels, duration, event)
+    sent = df.sparkSession.sparkContext.broadcast(after)
     size = 2 * k + k * (k + 1) // 2
 
     def sums(batches):
-        total = np.zeros(size)
-        for batch in batches:
-            dk = columns_of(batch, [f"d_{i}" for i in range(k)])
-            nk = columns_of(batch, [f"n_{i}" for i in range(k)])
-            d, n = dk.sum(axis=1), nk.sum(axis=1)
-            share = nk / n[:, None]
-            spread = np.where(n > 1, d * (n - d) / np.maximum(n - 1, 1), 0.0)
-            v = np.diag((spread[:, None] * share).sum(axis=0)) - (share * spread[:, None]).T @ share
-            total[:k] += dk.sum(axis=0)
-            total[k : 2 * k] += (d[:, None] * share).sum(axis=0)
-            total[2 * k :] += pack_upper(v)
-        yield slot_batch(total)
-
-    slots = collect_slots(table.mapInArrow(sums, SLOT_SCHEMA), size)
+        yield slot_batch(_logrank_sums(batches, sent, k, times))
+
+    try:
+        slots = collect_slots(cells.mapInArrow(sums, SLOT_SCHEMA), size)
+    finally:
+        cells.unpersist()
+        sent.destroy()
     observed, expected = slots[:k], slots[k : 2 * k]
     cov = unpack_upper(slots[2 * k :], k)
-    diff = (observed - expected)[:-1]
-    stat = float(diff @ np.linalg.pinv(cov[:-1, :-1]) @ diff)
+    diff, inner = (observed - expected)[:-1], cov[:-1, :-1]
+    try:
+        stat = float(diff @ np.linalg.solve(inner, diff))
+    except np.linalg.LinAlgError:
+        stat = math.nan
+    if not stat >= 0 or np.linalg.cond(inner, 1) > 1e12:
+        # groups that are never at risk together with another leave the matrix without full rank
+        stat = float(diff @ np.linalg.pinv(inner, hermitian=True) @ diff)
     return LogRank(labels, observed, expected, cov, stat, k - 1, chi2_tail(stat, k - 1))
 
 
+def survival_at(
+    df: DataFrame, curve: DataFrame, time: str, strata: tuple[str, ...] | list[str] = (), how: str = "step",
+    value: str = "survival", out: str | None = None,
+) -> DataFrame:
+    """The rows with the curve's value at each row's own time, from the curve of their stratum.
+
+    `step` takes the last time not after it, `nearest` the nearest one (of two the later). Null
+    where the time is null, before the curve or of a stratum without one.
+    """
+    found = asof_join(df, curve, time, "time", [value], strata, "backward" if how == "step" else "nearest", prefix="_at_")
+    return found.withColumnRenamed(f"_at_{value}", out or value)
+
+
 def logrank_report(df: DataFrame, group: str, **columns) -> DataFrame:
     t = logrank_test(df, group, **columns)
     name = f"{t.groups[0]}_vs_{t.groups[1]}" if len(t.groups) == 2 else "multivariate"

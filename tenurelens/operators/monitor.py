@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tenurelens.operators.concordance import concordance
+from tenurelens.operators.concordance import concordance, concordance_by
 from tenurelens.operators.evaluate import brier_terms
 from tenurelens.sources.tables import read_parquet, write_parquet
 
@@ -40,6 +40,27 @@ def evaluate(
     return realised_rows.sparkSession.createDataFrame([row], RECORD)
 
 
+def evaluate_runs(
+    realised_rows: DataFrame, run: str = "run_date", survival: str = "survival_prob_90d",
+    duration: str = "duration_days", event: str = "is_churned", horizon: float = 90,
+    c_index_min: float = C_INDEX_MIN,
+) -> DataFrame:
+    """One unrounded performance record per value of `run`, all of them from one job."""
+    known, error = brier_terms(survival, horizon, duration, event)
+    sums = realised_rows.groupBy(F.col(run).cast("string").alias("run_date")).agg(
+        F.avg(F.when(known, error)).alias("brier_score"), F.count(F.lit(1)).alias("n_customers"),
+        F.coalesce(F.sum(event), F.lit(0)).cast("bigint").alias("n_churned"),
+    )
+    scored = realised_rows.select(
+        F.col(run).cast("string").alias("_run"), (1.0 - F.col(survival)).alias("risk"), duration, event
+    )
+    found = concordance_by(scored, "_run", "risk", duration, event).select("_run", "c_index")
+    return sums.join(found, F.col("run_date").eqNullSafe(F.col("_run"))).select(
+        "run_date", "c_index", "brier_score", "n_customers", "n_churned",
+        (F.col("c_index") < c_index_min).alias("below_threshold"),
+    )
+
+
 def append_history(record: DataFrame, path: str) -> None:
     write_parquet(record.coalesce(1), path, mode="append")
 

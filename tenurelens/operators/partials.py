@@ -25,8 +25,8 @@ def slot_batch(values: np.ndarray, first: int = 0) -> pa.RecordBatch:
 
 def collect_slots(partials: DataFrame, size: int) -> np.ndarray:
     out = np.zeros(size)
-    for slot, value in partials.groupBy("slot").agg(F.sum("value")).collect():
-        out[slot] = value
+    sums = partials.groupBy("slot").agg(F.sum("value").alias("value")).toArrow()
+    out[sums.column("slot").to_numpy()] = sums.column("value").to_numpy()
     return out
 
 

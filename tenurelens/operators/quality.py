@@ -7,7 +7,7 @@ Every report has the columns (dataset, check, column, value, threshold, severity
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tenurelens.sources.schemas import COLUMN_RULES, MIN_ROWS
@@ -81,8 +81,8 @@ def null_audit(df: DataFrame, dataset: str, limit: float = NULL_LIMIT) -> DataFr
     return melt_report(summary, dataset, rows)
 
 
-def scan_checks(df: DataFrame, dataset: str, min_rows: int, rules) -> DataFrame:
-    """Row rules, null shares, row count and dataset-specific counters in one aggregate."""
+def scan_plan(df: DataFrame, dataset: str, min_rows: int, rules) -> tuple[list[Column], list[Column]]:
+    """The aggregates of one scan, and the report rows made of them."""
     checks = row_rules(df, rules)
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(broken).alias(f"_rule{k}") for k, (_, _, broken) in enumerate(checks)]
@@ -110,9 +110,40 @@ def scan_checks(df: DataFrame, dataset: str, min_rows: int, rules) -> DataFrame:
     if counter in df.columns:
         aggs.append(F.count_if(F.col(counter) <= 0).alias("_nonpositive"))
         rows.append(report_row("non_positive", counter, F.col("_nonpositive"), 0, "error", F.col("_nonpositive") == 0))
+    return aggs, rows
+
+
+def scan_checks(df: DataFrame, dataset: str, min_rows: int, rules) -> DataFrame:
+    """Row rules, null shares, row count and dataset-specific counters in one aggregate."""
+    aggs, rows = scan_plan(df, dataset, min_rows, rules)
     return melt_report(df.agg(*aggs), dataset, rows)
 
 
+def write_checked(
+    df: DataFrame, dataset: str, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = (),
+    min_rows: int | None = None, rules=None, raise_on_failure: bool = False,
+) -> DataFrame:
+    """Write a table and return the report of `scan_checks` on what was written.
+
+    The rules are observed metrics of the write itself, so the table is computed and read once.
+    Uniqueness and orphans need a shuffle and are left to `validate`. With `raise_on_failure` a
+    failed hard check raises after the write; the rows stay for inspection.
+    """
+    rules = COLUMN_RULES.get(dataset, []) if rules is None else rules
+    least = MIN_ROWS.get(dataset, 0) if min_rows is None else min_rows
+    aggs, rows = scan_plan(df, dataset, least, rules)
+    kinds = df.limit(0).agg(*aggs).schema
+    seen = Observation()
+    writer = df.observe(seen, *aggs).write.mode(mode).option("compression", "snappy")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    found = seen.get
+    summary = df.sparkSession.createDataFrame([tuple(found.get(f.name) for f in kinds)], kinds)
+    report = melt_report(summary, dataset, rows)
+    if raise_on_failure and not report.where(~F.col("passed") & (F.col("severity") == "error")).isEmpty():
+        raise DataValidationError(f"failed tables: {[dataset]}")
+    return report
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

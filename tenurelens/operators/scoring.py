@@ -25,16 +25,14 @@ def score(
     if id_col not in features.columns:
         features = features.withColumn(id_col, F.monotonically_increasing_id().cast("string"))
     hazard = F.col("partial_hazard")
+    groups = [] if model.strata in (None, "customer_id") else [model.strata]
     ready = features.select(
-        F.col(id_col).alias("customer_id"), model.partial_hazard(features).alias("partial_hazard")
+        F.col(id_col).alias("customer_id"), *groups, model.partial_hazard(features).alias("partial_hazard")
     )
-    scored = model.with_median(ready, "median_survival_days", "customer_id", hazard).select(
-        "customer_id",
-        F.lit(score_date).alias("score_date"),
-        *model.survival_columns(ready, HORIZONS, how, hazard),
-        "median_survival_days",
-        "partial_hazard",
+    scored = model.with_median(ready, "median_survival_days", "customer_id", hazard).withColumn(
+        "score_date", F.lit(score_date)
     )
+    scored = model.with_survival(scored, HORIZONS, how, hazard)
     segment = S.risk_segment(F.col("survival_prob_90d"), high, medium)
     return scored.withColumn("churn_risk_segment", segment).select(*SCORE_COLUMNS)
 

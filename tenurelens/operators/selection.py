@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tenurelens.operators import aft, cox, evaluate
 from tenurelens.operators import lifetable as LT
-from tenurelens.operators.concordance import concordance
+from tenurelens.operators.concordance import concordance, concordance_by
 
 REPORT = (
     "model string, concordance_index double, aic double, bic double, median_survival_days double, "
@@ -51,17 +51,20 @@ def cross_validate(
     if model != "cox_ph" and model.removeprefix("parametric_") not in aft.FAMILIES:
         raise ValueError(f"cross-validation is not available for {model}")
     folds = evaluate.with_folds(df, k, stratify, event, id_col, seed).persist()
-    rows, fitted = [], None
+    schema = "model string, fold int, c_index double"
     try:
-        for fold in range(k):
-            train, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
-            if model == "cox_ph":
-                # folds share most rows, so the last fold's model is a good place to begin
-                fitted = cox.fit_cox(train, duration, event, numeric, categorical, penalizer, first=fitted)
-            else:
-                family = model.removeprefix("parametric_")
+        if model == "cox_ph":
+            fitted = cox.fit_cox_folds(folds, k, duration, event, numeric, categorical, penalizer, horizon=horizon)
+            scored = folds.select("fold", fitted.held_out_risk(folds).alias("risk"), duration, event)
+        else:
+            scored = None
+            family = model.removeprefix("parametric_")
+            for fold in range(k):
+                train, held = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
                 fitted = aft.fit_aft(train, family, duration, event, aft_covariates)
-            rows.append((model, fold, fitted.concordance_index(held, duration, event, horizon)))
+                one = held.select("fold", (1.0 - fitted.survival(held, horizon)).alias("risk"), duration, event)
+                scored = one if scored is None else scored.unionByName(one)
+        found = dict(concordance_by(scored, "fold", "risk", duration, event).select("fold", "c_index").collect())
     finally:
         folds.unpersist()
-    return df.sparkSession.createDataFrame(rows, "model string, fold int, c_index double")
+    return df.sparkSession.createDataFrame([(model, fold, found.get(fold)) for fold in range(k)], schema)

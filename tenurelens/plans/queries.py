@@ -506,11 +506,6 @@ def logrank_two(spark, root):
     return tidy(LT.logrank_report(V.customers(spark, root), "amc_active").select("test", "test_statistic"))
 
 
-@query()
-def logrank_pvalue(spark, root):
-    return LT.logrank_report(V.customers(spark, root), "segment")
-
-
 # ---------------------------------------------------------------- models with given parameters
 
 # Coefficients of the demonstration model.
@@ -855,11 +850,6 @@ def drift_report(spark, root):
     return report.select("feature", "type", "psi", "ks_stat", "chi2_stat", "psi_band")
 
 
-@query()
-def drift_pvalues(spark, root):
-    return drift.drift_report(*order_sides(spark, root), NUMERIC_DRIFT, CATEGORY_DRIFT)
-
-
 def score_batches(spark, root) -> DataFrame:
     """Scores of three dates, made from the values of the events of each third of the month."""
     day = F.dayofmonth("ts")
@@ -927,16 +917,10 @@ def history(spark, root) -> DataFrame:
     """One evaluation run per market segment."""
     people = V.customers(spark, root).withColumn(
         "survival_prob_90d", F.exp(-F.floor(F.col("product_price_inr") / 5000) / 100)
-    ).persist()
-    runs = None
-    try:
-        for k, segment in enumerate(SEGMENTS, 1):
-            rows = people.where(F.col("segment") == segment)
-            run = monitor.evaluate(rows, f"2001-0{k}-01", horizon=1500)
-            runs = run if runs is None else runs.unionAll(run)
-    finally:
-        people.unpersist()
-    return runs
+    )
+    dates = F.create_map(*[F.lit(x) for k, segment in enumerate(SEGMENTS, 1) for x in (segment, f"2001-0{k}-01")])
+    runs = people.where(F.col("segment").isin(*SEGMENTS)).withColumn("run_date", F.element_at(dates, F.col("segment")))
+    return monitor.evaluate_runs(runs, horizon=1500)
 
 
 HISTORY = """
