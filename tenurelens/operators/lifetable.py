@@ -6,7 +6,6 @@ that table with running sums, so no task ever sorts the raw rows.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -246,10 +245,13 @@ def logrank_test(
     cov = unpack_upper(slots[2 * k :], k)
     diff, inner = (observed - expected)[:-1], cov[:-1, :-1]
     try:
-        stat = float(diff @ np.linalg.solve(inner, diff))
+        root = np.linalg.cholesky(inner)
+        full = root.diagonal().min() > 1e-6 * root.diagonal().max()
     except np.linalg.LinAlgError:
-        stat = math.nan
-    if not stat >= 0 or np.linalg.cond(inner, 1) > 1e12:
+        full = False
+    if full:
+        stat = float((np.linalg.solve(root, diff) ** 2).sum())
+    else:
         # groups that are never at risk together with another leave the matrix without full rank
         stat = float(diff @ np.linalg.pinv(inner, hermitian=True) @ diff)
     return LogRank(labels, observed, expected, cov, stat, k - 1, chi2_tail(stat, k - 1))
