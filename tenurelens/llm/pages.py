@@ -18,15 +18,15 @@ Hosts with fewer than `least_pages` pages say nothing about templates. What an e
 presentation and removes its branch on any host, except a marked article or main part in a wrapper. If a page marks its article, or its main
 part, only that is read.
 
-The tree never exists in one place: pages give one row per node and content, which are summed
-by key on the map side; only the digests of template nodes go back to the pages.
+The tree never exists in one place: pages give one row per node and content (digests of 64 bits,
+no text), which are summed by key; only the digests of template nodes go back to the pages.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,10 +45,14 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe object svg math select title xmp noembed".split())
+RAW = frozenset("script style noscript template textarea iframe object svg select title noembed annotation annotation-xml".split())
+#: their content is text as it stands
+PLAINTEXT = frozenset(["xmp"])
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q s samp small span "
-    "strike strong sub sup time tt u var wbr ruby rb rt rp".split()
+    "strike strong sub sup time tt u var wbr ruby rb rt rp "
+    "math mi mo mn ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd semantics".split()
 )
 #: elements whose content is never the article's
 ASIDE = frozenset("head nav footer aside form button menu dialog fieldset audio video canvas".split())
@@ -84,7 +88,6 @@ PLAIN = frozenset(
     "section list item items links link posts buttons button form panel slot body text container unit group".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-MASK = (1 << 63) - 1
 #: a content that this share of pages has counts as on every page
 EVERY = 0.85
 
@@ -100,22 +103,22 @@ def _marked(label: str) -> int:
 
 
 def _digest(above: int, text: str) -> int:
-    raw = text.encode("utf-8", "surrogatepass")
-    return (above * 1_000_003 + (zlib.crc32(raw) << 24) + zlib.adler32(raw)) & MASK
+    raw = above.to_bytes(8, "little", signed=True) + text.encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
 class Page:
     """Blocks of text in page order, and the presentations of elements."""
 
     def __init__(self, source: str):
-        #: (node, text, in an article, in a main part)
-        self.blocks: list[tuple[int, str, bool, bool]] = []
+        #: (node, text, in an article, in a main part, innermost element)
+        self.blocks: list[tuple[int, str, bool, bool, int]] = []
         #: node -> tags of its children
         self.styles: list[tuple[int, list[str]]] = []
-        #: nodes above each block, for branches
-        self.above: list[tuple[int, ...]] = []
-        # tag, node, out (not read), article, main, tags of children
-        self.stack: list[tuple[str, int, int, bool, bool, list[str]]] = [("", 1, 0, False, False, [])]
+        #: (element above, node) of every element; the one above has the smaller number
+        self.elements: list[tuple[int, int]] = [(0, 1)]
+        # tag, node, out (not read), article, main, tags of children, element
+        self.stack: list[tuple[str, int, int, bool, bool, list[str], int]] = [("", 1, 0, False, False, [], 0)]
         self.text: list[str] = []
         self.read(source)
 
@@ -123,12 +126,11 @@ class Page:
         if self.text:
             text = " ".join(html.unescape("".join(self.text)).split())
             self.text = []
-            tag, node, out, article, main, _ = self.block()
+            _, node, out, article, main, *_ = self.block()
             if text and not out:
-                self.blocks.append((node, text, article, main))
-                self.above.append(tuple(e[1] for e in self.stack))
+                self.blocks.append((node, text, article, main, self.stack[-1][6]))
 
-    def block(self) -> tuple[str, int, int, bool, bool, list[str]]:
+    def block(self) -> tuple[str, int, int, bool, bool, list[str], int]:
         for element in reversed(self.stack):
             if element[0] not in INLINE:
                 return element
@@ -157,6 +159,12 @@ class Page:
             elif tag in RAW:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 at = close.end() if close else end
+            elif tag in PLAINTEXT:
+                close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                self.start(tag, found.group(3) or "")
+                self.say(html.escape(source[at : close.start() if close else end], quote=False))
+                self.end(tag)
+                at = close.end() if close else end
             else:
                 self.start(tag, found.group(3) or "")
         self.flush()
@@ -185,7 +193,7 @@ class Page:
         for k, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
             named.setdefault(k.lower(), a or b or c)  # of equal names the first counts
         label = f"{named.get('class', '')} {named.get('id', '')}".strip()
-        _, node, out, article, main, children = self.stack[-1]
+        _, node, out, article, main, children, element = self.stack[-1]
         children.append(tag)
         own = _digest(node, f"{tag}.{label}")
         role = named.get("role", "").lower()
@@ -202,7 +210,8 @@ class Page:
             out = max(out, _marked(label)) if label else out
         article = article or (tag == "article" and not out)
         main = main or tag == "main" or role == "main"
-        self.stack.append((tag, own, out, article, main, []))
+        self.elements.append((element, own))
+        self.stack.append((tag, own, out, article, main, [], len(self.elements) - 1))
 
     def end(self, tag: str) -> None:
         if tag not in INLINE:
@@ -215,14 +224,21 @@ class Page:
             if tag in INLINE and self.stack[i][0] not in INLINE:
                 return
 
-    def content(self) -> list[tuple[int, str, tuple[int, ...]]]:
-        """(node, text, nodes above) of the blocks that are read."""
-        rows = list(zip(self.blocks, self.above, strict=True))
+    def content(self) -> list[tuple[int, str, int]]:
+        """(node, text, innermost element) of the blocks that are read."""
+        rows = self.blocks
         for flag in (2, 3):
-            if any(b[flag] for b, _ in rows):
-                rows = [r for r in rows if r[0][flag]]
+            if any(b[flag] for b in rows):
+                rows = [b for b in rows if b[flag]]
                 break
-        return [(b[0], b[1], a) for b, a in rows]
+        return [(node, text, element) for node, text, _, _, element in rows]
+
+    def kept(self, gone: set[int]) -> list[str]:
+        """The texts that are read and neither template themselves nor below a template node."""
+        under: list[bool] = []
+        for above, node in self.elements:
+            under.append(node in gone or bool(under) and under[above])
+        return [text for node, text, element in self.content() if not under[element] and _digest(node, text) not in gone]
 
 
 def host_of(url: Column) -> Column:
@@ -239,9 +255,7 @@ def tree(pages: DataFrame) -> DataFrame:
             for i, source in enumerate(part.column(1).to_pylist()):
                 page = Page(source or "")
                 read = [(0, node, _digest(node, text)) for node, text, _ in page.content()]
-                whole = 1
-                for _, _, digest in read:
-                    whole = (whole * 1_000_003 + digest) & MASK
+                whole = _digest(len(read), " ".join(str(digest) for _, _, digest in read))
                 seen = {(2, 0, 0), *read}
                 seen |= {(1, node, _digest(node, " ".join(tags))) for node, tags in page.styles}
                 for kind, node, digest in seen:
@@ -263,11 +277,11 @@ def tree(pages: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame, least: float, least_pages: int, weight: float) -> DataFrame:
     """host, low: digests of contents and nodes that are template on a host (host, html given)."""
-    large = pages.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= least_pages)
-    known = pages.join(large.select("host"), "host", "left_semi").select("host", "html")
-    summed = cut(tree(known).distinct().groupBy("host", "kind", "node", "digest").agg(F.count(F.lit(1)).alias("k")))
+    seen = tree(pages.where("host is not null").select("host", "html")).distinct()
+    summed = cut(seen.groupBy("host", "kind", "node", "digest").agg(F.count(F.lit(1)).alias("k")))
     sizes = summed.where((F.col("kind") == 2) & (F.col("k") >= least_pages)).select("host", F.col("k").alias("m"))
-    counted = summed.where("kind < 2").join(sizes, "host")
+    # whichever way they meet, no host has all its rows in one task
+    counted = _with_host(summed.where("kind < 2"), sizes, sizes.count() * ROW_BYTES, ["kind", "node", "digest"], "inner")
     own = F.greatest(F.lit(0.0), 1 - F.col("k") / (EVERY * F.col("m")))
     contents = counted.where((F.col("kind") == 0) & (own < least)).select("host", F.col("digest").alias("low"))
     per_node = counted.groupBy("host", "node").agg(
@@ -285,8 +299,17 @@ def templates(pages: DataFrame, least: float, least_pages: int, weight: float) -
     return contents.unionAll(nodes).groupBy("host").agg(F.collect_set("low").alias("low"))
 
 
-#: hosts with templates that are broadcast at most; beyond, the join shuffles
-BROADCAST_HOSTS = 100_000
+#: a table of hosts is broadcast up to this size, beyond it is copied to SALTS parts of each host
+BROADCAST_BYTES, ROW_BYTES, SALTS = 32 << 20, 128, 64
+
+
+def _with_host(rows: DataFrame, hosts: DataFrame, size: int, spread: list[str], how: str) -> DataFrame:
+    """Join on `host` with a table of one row per host, `size` bytes long."""
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(hosts), "host", how)
+    copies = hosts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, ["host", "_salt"], how).drop("_salt")
 
 
 def main_text(
@@ -301,25 +324,20 @@ def main_text(
     """
     hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     low = cut(templates(hosted.select("host", "html"), least, least_pages, weight))
-    low = F.broadcast(low) if low.count() <= BROADCAST_HOSTS else low
+    size = low.agg(F.sum(8 * F.size("low") + F.octet_length("host") + F.lit(ROW_BYTES))).first()[0] or 0
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = []
             for source, template in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                gone = set(template or ())
-                texts.append(
-                    "\n".join(
-                        text
-                        for node, text, above in Page(source or "").content()
-                        if not gone or (_digest(node, text) not in gone and gone.isdisjoint(above))
-                    )
-                )
+                page = Page(source or "")
+                texts.append("\n".join(page.kept(set(template)) if template else [text for _, text, _ in page.content()]))
             yield pa.record_batch(
                 [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    return batches.bounded(hosted).join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
+    joined = _with_host(batches.bounded(hosted), low, size, ["page_id", "url"], "left")
+    return joined.select("page_id", "url", "html", "low").mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )
