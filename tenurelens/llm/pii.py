@@ -4,22 +4,25 @@ Generators are patterns of high recall whose spans may overlap: the base kinds (
 card, phone), and wider ones (secrets after an assignment, long keys, dotted or spaced number
 groups, addresses spelled with "at" and "dot", account and document numbers). Every candidate
 gets features of its format (lengths, shares of digits and letters, separators, Luhn) and of
-its context (what stands before it). Gradient-boosted trees learn from these features which
-candidates look like personal data; their labels are weak and come from checks that the
-features do not hold directly: a base kind that passes its own test, or a naming word before
-the span, is positive. Per generator the threshold is the lowest score at which the training
-candidates reach the precision asked for.
+its context (what stands before it). No labels exist, so gradient-boosted trees learn in two views
+that check each other: trees on the format learn which spans a naming word introduces, and trees
+on the context learn which spans pass the test of their format. No tree sees what its own label
+is made of; the score joins both by their log-odds.
 
-Spans of the base kinds are redacted whenever their test passes, whatever the trees say.
-Chosen wider spans that meet another chosen span give way to base spans and to spans of higher
-score or earlier start.
+Candidates of one document in five train nothing. Per generator the threshold is the lowest
+score at which those held-out candidates reach the precision asked for, counting as good what
+is introduced or passes its test.
+
+Spans of the base kinds are redacted whenever their test passes, whatever the trees say. Chosen
+wider spans are kept unless they lie inside another span that is kept or redacted.
 
 The trees are fitted on the driver. Candidates of equal label, kind and features are one row with
 their number as its weight, so that all candidates count; of more rows than the driver takes, each
 label and kind keeps its share, by priority sampling, where frequent rows stay and the others stand
 for those left out. All texts and candidates are handled by DataFrame functions, the trees as
-nested CASE expressions. Repetitions in the patterns are possessive and runs are entered at their start only, so the
-time of a search is linear in the text, also in runs of a million digits.
+nested CASE expressions. Repetitions in the patterns are possessive and runs are entered at their
+start only, and offsets are running sums over the rows of a text's matches, so the time is linear
+in the text, also with a million numbers in it.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tenurelens.llm.scratch import cut
 
@@ -53,38 +57,34 @@ WIDE = {
 #: what a match must hold besides
 NEEDS = {"key": lambda s: s["value"].rlike("[0-9]")}
 
-FEATURES = (
-    "length", "digits", "letters", "uppers", "spaces", "dots", "dashes", "ats", "luhn", "hexes", "named",
-    "signed", "opens", "is_email", "is_ip", "is_card", "is_phone", "is_wide",
-)
+KINDS = tuple(f"is_{kind}" for kind in (*BASE, "wide", *WIDE))
+FORMAT = ("length", "digits", "letters", "uppers", "spaces", "dots", "dashes", "ats", "luhn", "hexes", "signed", *KINDS)
+CONTEXT = ("named", "assigned", "opens", "begins", "spoken", "counted", *KINDS)
+FEATURES = (*FORMAT, *(f for f in CONTEXT if f not in FORMAT))
+#: characters before a span that are its context
+REACH = 16
 
 NAMING = r"(?i)(?:token|secret|password|passwd|key|auth|mail|phone|tel|fax|mobile|card|visa|account|iban|ssn|passport|id)[\"']?[ ]{0,3}[:=#]?[ ]{0,3}[\"']?$"
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """(start, stop, value) of all leftmost non-overlapping matches; code points, stop exclusive.
+def matches(text: Column, kind: str, pattern: str) -> Column:
+    """(kind, nth, gap, tail, value) of all leftmost non-overlapping matches.
 
-    The pieces between matches give the offsets: match k starts after k + 1 pieces and k matches.
+    `gap` is the number of code points since the match before, `tail` the last of them.
     """
     pieces = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.zip_with(F.slice(pieces, 1, F.size(values)), values, lambda p, v: F.struct(F.length(p).alias("gap"), v.alias("v")))
-    kind = "array<struct<start:int,stop:int,value:string>>"
-    return F.when(
-        F.size(values) > 0,
-        F.aggregate(
-            zipped,
-            F.array().cast(kind),
-            lambda done, x: _push(done, x),
+    # one piece more than values: the last one follows the last match
+    zipped = F.zip_with(
+        pieces, values, lambda p, v: F.struct(F.length(p).alias("gap"), F.right(p, F.lit(REACH)).alias("tail"), v.alias("value"))
+    )
+    numbered = F.transform(
+        zipped,
+        lambda x, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("nth"), x["gap"].alias("gap"), x["tail"].alias("tail"), x["value"].alias("value")
         ),
-    ).otherwise(F.array().cast(kind))
-
-
-def _push(done: Column, x: Column) -> Column:
-    start = F.coalesce(F.get(done, F.size(done) - 1)["stop"], F.lit(0)) + x["gap"]
-    return F.concat(
-        done, F.array(F.struct(start.alias("start"), (start + F.length(x["v"])).alias("stop"), x["v"].alias("value")))
     )
+    return F.filter(numbered, lambda x: x["value"].isNotNull())
 
 
 def digits(value: Column) -> Column:
@@ -116,49 +116,95 @@ HINTS = {
 }
 
 
-def _of_kind(kind: str):
-    return lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"))
+MATCH = "array<struct<kind:string,nth:int,gap:int,tail:string,value:string>>"
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """One row per candidate: row id, doc_id, kind, start, stop, value, before (text before it).
+def matched(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, found): the matches of all generators in every row of docs.
 
-    `id` names the row of docs; it is fixed where it is written, so callers cut this table.
+    `row` names the row of docs; it is fixed where it is written, so callers cut this table.
     """
-    text = F.coalesce("text", F.lit(""))
-    known = docs.select("doc_id", text.alias("text"))
-    # without a digit only spelled addresses and letter-only emails can occur
+    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = []
     for kind, pattern in (BASE | WIDE).items():
-        matches = spans(F.col("text"), pattern)
-        if kind in NEEDS:
-            matches = F.filter(matches, NEEDS[kind])
+        # without a digit only spelled addresses and letter-only emails can occur
         hint = HINTS.get(kind, lambda t: t.rlike("[0-9]"))(F.col("text"))
-        found.append(
-            F.when(
-                hint,
-                F.transform(matches, _of_kind(kind)),
-            ).otherwise(F.array().cast("array<struct<kind:string,start:int,stop:int,value:string>>"))
-        )
-    lists = known.withColumn("found", F.flatten(F.array(*found)))
-    before = F.transform(
-        "found",
-        lambda s: s.withField("before", F.substring(F.col("text"), F.greatest(F.lit(1), s["start"] - 15), F.least(F.lit(16), s["start"]))),
+        found.append(F.when(hint, matches(F.col("text"), kind, pattern)).otherwise(F.array().cast(MATCH)))
+    return known.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.flatten(F.array(*found)).alias("found"))
+
+
+def located(rows: DataFrame) -> DataFrame:
+    """One row per candidate: row, doc_id, kind, start, stop, value, before (the text before it).
+
+    Offsets are code points, stop exclusive: running sums of gaps and lengths over a text's matches.
+    """
+    each = rows.select("row", "doc_id", F.explode("found").alias("m")).select("row", "doc_id", "m.*")
+    so_far = Window.partitionBy("row", "kind").orderBy("nth")
+    upto = so_far.rowsBetween(Window.unboundedPreceding, 0)
+    size = F.length("value")
+    placed = each.select(
+        "row", "doc_id", "kind", F.sum(F.col("gap") + size).over(upto).cast("int").alias("stop"), "value",
+        F.right(F.concat(F.coalesce(F.lag("value").over(so_far), F.lit("")), F.col("tail")), F.lit(REACH)).alias("before"),
+    )
+    needed = F.lit(True)
+    for kind, holds in NEEDS.items():
+        needed = needed & ((F.col("kind") != kind) | holds(F.struct("value")))
+    return placed.where(needed).select(
+        "row", "doc_id", "kind", (F.col("stop") - size).alias("start"), "stop", "value", "before"
+    )
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """doc_id, found: every candidate (kind, start, stop, value, before) of every row of docs, by kind and start."""
+    rows = cut(matched(docs))
+    spans = located(rows).groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("kind", "start", "stop", "value", "before"))).alias("spans")
     )
-    return lists.select("doc_id", before.alias("found"))
+    none = F.array().cast("array<struct<kind:string,start:int,stop:int,value:string,before:string>>")
+    return rows.select("row", "doc_id").join(spans, "row", "left").select("doc_id", F.coalesce("spans", none).alias("found"))
+
+
+def format_test(kind: str, value: Column) -> Column:
+    """The test of a kind: that of a base kind, and for wider ones whether the span has a usual format."""
+    n = F.length(digits(value))
+    if kind in BASE:
+        return passes(kind, value)
+    if kind == "number":
+        return n.between(8, 19)
+    if kind == "account":
+        # the remainder that international account numbers have
+        letters = F.upper(F.regexp_replace(value, " ", ""))
+        turned = F.concat(F.substring(letters, F.lit(5), F.length(letters)), F.substring(letters, 1, 4))
+        spelled_out = F.transform(
+            F.split(turned, ""), lambda c: F.when(c.rlike("[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c)
+        )
+        rest = F.aggregate(
+            F.split(F.array_join(spelled_out, ""), ""), F.lit(0), lambda r, c: F.when(c == "", r).otherwise((r * 10 + c.try_cast("int")) % 97)
+        )
+        return rest == 1
+    if kind == "spelled":
+        return value.rlike(r"(?i)[\[(]dot[\])][ ]{0,2}[a-z]{2,12}$")
+    # secrets and keys: letters of both cases or hexadecimal, with digits
+    body = F.regexp_replace(value, r"^[^:=]*[:=][ ]{0,3}", "")
+    return body.rlike("[0-9]") & (body.rlike("^[\"']?[0-9a-fA-F]{16,}[\"']?$") | (body.rlike("[a-z]") & body.rlike("[A-Z]")) | body.rlike("[a-z].*[0-9].*[a-z]"))
 
 
 def described(found: DataFrame) -> DataFrame:
-    """Candidates with `ok` (base test passed) and the features of the trees."""
-    v, n = F.col("value"), F.length("value")
+    """Candidates with `ok` (base test passed), the features, and the labels of both views:
+    `label` (the test of the format) and `introduced` (a naming word stands before it or begins it)."""
+    v, n, before = F.col("value"), F.length("value"), F.col("before")
 
     def share(pattern: str) -> Column:
         return F.regexp_count(v, F.lit(pattern)) / n
 
-    ok = F.lit(False)
-    for kind in BASE:
-        ok = F.when(F.col("kind") == kind, passes(kind, v)).otherwise(ok)
-    named = F.col("before").rlike(NAMING)
+    def tail(pattern: str) -> Column:
+        return F.regexp_count(before, F.lit(pattern)) / float(REACH)
+
+    tested = F.lit(False)
+    for kind in BASE | WIDE:
+        tested = F.when(F.col("kind") == kind, format_test(kind, v)).otherwise(tested)
+    tested = F.coalesce(tested, F.lit(False))
+    named = before.rlike(NAMING)
     columns = {
         "length": n.cast("double"),
         "digits": share("[0-9]"),
@@ -170,21 +216,21 @@ def described(found: DataFrame) -> DataFrame:
         "ats": share("@"),
         "luhn": luhn(v).cast("double"),
         "hexes": share("[0-9a-fA-F]"),
-        "named": named.cast("double"),
         "signed": v.startswith("+").cast("double"),
-        "opens": F.col("before").rlike(r"(?:^|[\s(\[<\"':])$").cast("double"),
-        "is_email": (F.col("kind") == "email").cast("double"),
-        "is_ip": (F.col("kind") == "ip").cast("double"),
-        "is_card": (F.col("kind") == "card").cast("double"),
-        "is_phone": (F.col("kind") == "phone").cast("double"),
+        "named": named.cast("double"),
+        "assigned": before.rlike("[:=#][ \"']*$").cast("double"),
+        "opens": before.rlike(r"(?:^|[\s(\[<\"':])$").cast("double"),
+        "begins": (before == "").cast("double"),
+        "spoken": tail("[A-Za-z]"),
+        "counted": tail("[0-9]"),
         "is_wide": F.col("kind").isin(*WIDE).cast("double"),
+        **{f"is_{kind}": (F.col("kind") == kind).cast("double") for kind in (*BASE, *WIDE)},
     }
-    filled = {k: F.coalesce(c, F.lit(0.0)) for k, c in columns.items()}
-    # a wide span is positive for training where a name or an assignment introduces it
-    weak = F.col("kind").isin("secret", "spelled") | ((F.col("kind").isin("key", "number", "account")) & named)
-    return found.withColumns({"ok": F.coalesce(ok, F.lit(False)), **filled}).withColumn(
-        "label", (F.col("ok") | weak).cast("double")
-    )
+    filled = {k: F.coalesce(columns[k], F.lit(0.0)) for k in FEATURES}
+    introduced = F.coalesce(named, F.lit(False)) | (F.col("kind") == "secret")
+    return found.withColumns({
+        "ok": tested & F.col("kind").isin(*BASE), **filled, "label": tested.cast("double"), "introduced": introduced.cast("double"),
+    })
 
 
 class Tree(NamedTuple):
@@ -196,10 +242,11 @@ class Tree(NamedTuple):
     left: "Tree | None" = None
     right: "Tree | None" = None
 
-    def column(self) -> Column:
+    def column(self, features: tuple[str, ...]) -> Column:
         if self.feature is None:
             return F.lit(self.value)
-        return F.when(F.col(FEATURES[self.feature]) <= self.at, self.left.column()).otherwise(self.right.column())
+        left, right = self.left.column(features), self.right.column(features)
+        return F.when(F.col(features[self.feature]) <= self.at, left).otherwise(right)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         if self.feature is None:
@@ -258,58 +305,90 @@ def shares(sizes: dict, most: int) -> dict:
     return out
 
 
-def training_rows(found: DataFrame, sample: int) -> list[tuple[float, ...]]:
+def training_rows(
+    found: DataFrame, sample: int, features: tuple[str, ...] = FEATURES, label: str = "label"
+) -> list[tuple[float, ...]]:
     """(weight, label, features) rows that stand for all candidates, at most `sample` (one per stratum at least).
 
     Of a stratum (label and kind) with too many rows those with the highest n / u stay, u a hash
     in (0, 1]; their weight is n, or the next priority if that is more, which keeps sums unbiased.
     """
-    vectors = found.groupBy("label", "kind", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    u = (F.pmod(F.xxhash64("label", "kind", *FEATURES), F.lit(1 << 52)) + 1) / float(1 << 52)
+    vectors = found.groupBy(F.col(label).alias("label"), "kind", *features).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    u = (F.pmod(F.xxhash64("label", "kind", *features), F.lit(1 << 52)) + 1) / float(1 << 52)
     vectors = cut(vectors.withColumn("priority", F.col("n") / u))
     sizes = {(r["label"], r["kind"]): r["count"] for r in vectors.groupBy("label", "kind").count().collect()}
-    columns = ("n", "label", *FEATURES)
+    columns = ("n", "label", *features)
     if sum(sizes.values()) <= sample:
         return sorted(tuple(r) for r in vectors.select(*columns).collect())
     out = []
     for (label, kind), share in sorted(shares(sizes, sample).items()):
         mine = vectors.where((F.col("label") == label) & (F.col("kind") == kind))
-        rows = mine.orderBy(F.desc("priority"), *FEATURES).select("priority", *columns).limit(share + 1).collect()
+        rows = mine.orderBy(F.desc("priority"), *features).select("priority", *columns).limit(share + 1).collect()
         least = rows[share]["priority"] if len(rows) > share else 0.0
         out += [(max(r["n"], least), *r[2:]) for r in rows[:share]]
     return out
 
 
-def train(found: DataFrame, sample: int, trees: int, depth: int, rate: float = 0.3) -> Column | None:
-    """The score as a column, from at most `sample` weighted rows; None if only one class is there."""
-    data = np.array(training_rows(found, sample)).reshape(-1, len(FEATURES) + 2)
+def train(
+    found: DataFrame, sample: int, trees: int, depth: int, rate: float = 0.3,
+    features: tuple[str, ...] = FEATURES, label: str = "label",
+) -> Column | None:
+    """The log-odds as a column, from at most `sample` weighted rows; None if only one class is there."""
+    data = np.array(training_rows(found, sample, features, label)).reshape(-1, len(features) + 2)
     w, y, x = data[:, 0], data[:, 1], data[:, 2:]
     if len(np.unique(y)) < 2:
         return None
     first, grown = boost(x, y, w, trees, depth, rate)
     total = F.lit(first)
     for tree in grown:
-        total = total + rate * tree.column()
-    return 1 / (1 + F.exp(-total))
+        total = total + rate * tree.column(features)
+    return total
+
 
+def is_held_out() -> Column:
+    """One document in five; its candidates train nothing."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
 
-def with_score(found: DataFrame, score: Column | None) -> DataFrame:
-    return found.withColumn("score", F.col("label") if score is None else score)
+
+def with_score(found: DataFrame, sample: int, trees: int, depth: int) -> DataFrame:
+    """Candidates with the joint score of both views; a view of one class says nothing, and where
+    both say nothing the labels decide."""
+    learnt = found.where(~is_held_out())
+    views = [
+        train(learnt, sample, trees, depth, features=FORMAT, label="introduced"),
+        train(learnt, sample, trees, depth, features=CONTEXT, label="label"),
+    ]
+    views = [v for v in views if v is not None]
+    good = F.greatest("label", "introduced")
+    if not views:
+        return found.withColumn("score", good)
+    total = views[0] if len(views) == 1 else views[0] + views[1]
+    return found.withColumn("score", 1 / (1 + F.exp(-total)))
 
 
 def thresholds(rated: DataFrame, precision: float) -> dict[str, float]:
-    """Per kind, the lowest of 100 scores from which on candidates reach the precision."""
+    """Per kind, the lowest of 100 scores from which on held-out candidates reach the precision.
+
+    A kind without held-out candidates is calibrated on all of its own.
+    """
+    good = F.greatest("label", "introduced")
+    held = is_held_out()
     steps = rated.groupBy("kind", F.floor(F.col("score") * 100).alias("step")).agg(
-        F.sum("label").alias("good"), F.count(F.lit(1)).alias("all")
+        F.sum(F.when(held, good)).alias("good"), F.count_if(held).alias("all"),
+        F.sum(good).alias("all_good"), F.count(F.lit(1)).alias("whole"),
     )
-    out: dict[str, float] = {}
-    sums: dict[str, list[float]] = {}
+    rows: dict[str, list] = {}
     for r in steps.orderBy("kind", F.desc("step")).collect():  # at most 101 rows per kind
-        total = sums.setdefault(r["kind"], [0.0, 0.0])
-        total[0] += r["good"]
-        total[1] += r["all"]
-        if total[0] >= precision * total[1]:
-            out[r["kind"]] = r["step"] / 100
+        rows.setdefault(r["kind"], []).append(r)
+    out: dict[str, float] = {}
+    for kind, mine in rows.items():
+        names = ("good", "all") if sum(r["all"] for r in mine) else ("all_good", "whole")
+        total = [0.0, 0.0]
+        for r in mine:
+            total[0] += r[names[0]] or 0.0
+            total[1] += r[names[1]]
+            if total[1] and total[0] >= precision * total[1]:
+                out[kind] = r["step"] / 100
     return out
 
 
@@ -325,14 +404,13 @@ def find(
     Base spans come first by kind as listed, then the added ones; each kind by start. At most
     `sample` distinct weighted candidates train the trees; all are scored. Null and empty texts have no spans;
     repeated rows are searched alike, a null doc_id as well; an empty table gives an empty
-    result; other columns are ignored. Where no candidate or only one class exists, the weak
-    labels decide.
+    result; other columns are ignored. Where no view has two classes to learn, the labels decide.
+    Kept wider spans may overlap each other and base spans; `redact` joins them.
     """
-    rows = cut(candidates(docs).withColumn("row", F.monotonically_increasing_id()))
-    each = rows.select("row", "doc_id", F.explode("found").alias("c")).select("row", "doc_id", "c.*")
-    features = cut(described(each).drop("before"))
-    rated = with_score(features, train(features, sample, trees, depth)).select(
-        "row", "kind", "start", "stop", "value", "ok", "label", "score"
+    rows = cut(matched(docs))
+    features = cut(described(located(rows)).drop("before"))
+    rated = with_score(features, sample, trees, depth).select(
+        "row", "doc_id", "kind", "start", "stop", "value", "ok", "label", "introduced", "score"
     )
     limits = thresholds(rated, precision)
     enough = F.lit(False)
@@ -341,25 +419,16 @@ def find(
     picked = rated.where(F.col("ok") | enough)
     order = F.lit(len(BASE))
     for i, kind in enumerate(BASE):
-        order = F.when(F.col("kind") == kind, i).otherwise(order)
-    span = F.struct(
-        order.alias("rank"), F.when(F.col("ok"), 0.0).otherwise(-F.col("score")).alias("worth"),
-        "start", "stop", "kind", "value", F.col("ok").alias("base"),
-    )
-    lists = picked.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("all"))
-    clear = F.aggregate(
-        "all",
-        F.array().cast("array<struct<rank:int,worth:double,start:int,stop:int,kind:string,value:string,base:boolean>>"),
-        lambda done, x: F.when(
-            x["base"] | ~F.exists(done, lambda y: (y["start"] < x["stop"]) & (x["start"] < y["stop"])),
-            F.concat(done, F.array(x)),
-        ).otherwise(done),
+        order = F.when(F.col("ok") & (F.col("kind") == kind), i).otherwise(order)
+    # a wider span inside one that begins before it, or with it and ends later, adds nothing
+    before = Window.partitionBy("row").orderBy("start", F.desc("stop"), "rank", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    reached = picked.withColumn("rank", order).withColumn("reached", F.max("stop").over(before))
+    span = F.struct("rank", F.when(F.col("ok"), "").otherwise(F.col("kind")).alias("k"), "start", "stop", "kind", "value", F.col("ok").alias("base"))
+    lists = reached.where(F.col("ok") | (F.coalesce("reached", F.lit(-1)) < F.col("stop"))).groupBy("row").agg(
+        F.sort_array(F.collect_list(span)).alias("all")
     )
     final = F.transform(
-        F.array_sort(F.transform(clear, lambda x: F.struct(
-            x["rank"].alias("rank"), F.when(x["base"], "").otherwise(x["kind"]).alias("k"), x["start"].alias("start"),
-            x["stop"].alias("stop"), x["kind"].alias("kind"), x["value"].alias("value"), x["base"].alias("base"),
-        ))),
+        "all",
         lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), x["value"].alias("value"), x["base"].alias("base")),
     )
     none = F.array().cast("array<struct<kind:string,start:int,stop:int,value:string,base:boolean>>")

@@ -91,6 +91,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *counts,
         F.sha2(pii.spelled(base).cast("binary"), 256).alias("base_sha256"),
         pii.spelled(F.col("found")).alias("spans"),
+        F.size("found").cast("long").alias("n_spans"),
+        (F.size("found") > 0).alias("has_personal"),
     )
 
 
