@@ -18,6 +18,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tenurelens.llm.rules import let
 from tenurelens.llm.scratch import cut
@@ -100,6 +101,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
+#: what separates paragraphs, and the least number of words in a run of them
+PARAGRAPHS = r"\n[\x20\x09-\x0D]*\n"
+SHORTEST_RUN = 40
+
+
 def bigrams(text: str) -> list[str]:
     words = re.findall("[a-z0-9]+", text.lower())
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
@@ -133,19 +139,52 @@ def units(text: Column) -> Column:
     return F.array_distinct(
         F.concat(
             F.array(text),
-            F.split(F.regexp_replace(text, r"\n[\x20\x09-\x0D]*\n", "\u0001"), "\u0001"),
+            F.split(text, PARAGRAPHS),
             F.split(text, "\n"),
             sentences,
         )
     )
 
 
+def longest_run(threshold: float, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> int:
+    """Words that a run of paragraphs may have: the upper size bound of the largest template."""
+    return math.ceil((2 - threshold) / threshold * max(len(bigrams(text)) for _, text in templates)) + 1
+
+
+def runs(hits: DataFrame, longest: int, is_marked) -> DataFrame:
+    """doc_id, unit: every run of two and more neighbouring paragraphs of SHORTEST_RUN to `longest` words.
+
+    Paragraphs without words do not count. Runs without a mark are left out early; a mark may also
+    lie across two paragraphs. A paragraph begins at most as many runs as `longest` has words.
+    """
+    order = Window.partitionBy("row").orderBy("pos")
+    paragraphs = hits.select("row", "doc_id", F.posexplode(F.split(F.col("text"), PARAGRAPHS)).alias("pos", "para"))
+    counted = paragraphs.withColumn("w", _words(F.col("para"))).withColumn("n", F.size("w")).where(F.col("n") > 0)
+    placed = counted.select(
+        "row", "doc_id", "para", "n",
+        (F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("begin"),
+        let(F.concat("w", F.coalesce(F.slice(F.lead("w").over(order), 1, 1), F.array().cast("array<string>"))), is_marked).alias("marked"),
+    )
+    ahead = Window.partitionBy("row").orderBy("begin").rangeBetween(0, longest)
+    listed = placed.select("doc_id", F.collect_list(F.struct("para", "n", "begin", "marked")).over(ahead).alias("run"))
+    longer = listed.where((F.size("run") > 1) & F.exists("run", lambda p: p["marked"]))
+    each = longer.select("doc_id", "run", F.explode(F.sequence(F.lit(2), F.size("run"))).alias("k"))
+    last, first = F.get("run", F.col("k") - 1), F.get("run", F.lit(0))
+    size = last["begin"] + last["n"] - first["begin"]
+    part = each.where(size.between(SHORTEST_RUN, longest)).select("doc_id", F.slice("run", F.lit(1), F.col("k")).alias("run"))
+    return part.where(F.exists("run", lambda p: p["marked"])).select(
+        "doc_id", F.array_join(F.transform("run", lambda p: p["para"]), "\n\n").alias("unit")
+    )
+
+
 def scan(
     docs: DataFrame, threshold: float = 0.8, templates: tuple[tuple[str, str], ...] = TEMPLATES
 ) -> DataFrame:
     """doc_id, license, dice, n_units: the licences of docs (doc_id, text) with their best match.
 
-    Every unit counts for the template it is nearest to (of equals, the first licence by name),
+    Units are the text, its paragraphs, lines and sentences, and runs of neighbouring paragraphs
+    whose words lie between SHORTEST_RUN and the largest template's size bound, as licences are
+    published in several paragraphs. Every unit counts for the template it is nearest to (of equals, the first licence by name),
     if Dice reaches the threshold. n_units are the units of a document found for a licence.
     Null and empty texts and texts without a licence have no row; rows that share a doc_id are
     reported together, null ids as well. An empty table gives an empty result; other columns
@@ -158,12 +197,13 @@ def scan(
     def is_mark(w: Column):
         return lambda i: F.lower(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))).isin(wanted)
 
+    def is_marked(w: Column):
+        return (F.size(w) >= 2) & F.exists(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), is_mark(w))
+
     # words are bound once: a filter would else split the text anew for each of them
-    hit = let(
-        _words(F.col("text")),
-        lambda w: (F.size(w) >= 2) & F.exists(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), is_mark(w)),
-    )
-    cut_up = known.where(hit).select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
+    hits = cut(known.where(let(_words(F.col("text")), is_marked)).withColumn("row", F.monotonically_increasing_id()))
+    single = hits.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
+    cut_up = single.unionAll(runs(hits, longest_run(threshold, templates), is_marked))
     sizes = [len(bigrams(text)) for _, text in templates]
     of_size = F.filter(
         F.array(let(_words(F.col("unit")), _pairs)),
@@ -188,15 +228,26 @@ def scan(
 def oracle(threshold: float = 0.8, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> str:
     """The scan as DuckDB SQL: every unit against every template, without size bounds or marks."""
     lines = ", ".join(f"({i}, '{name}', '{' '.join(text.split())}')" for i, (name, text) in enumerate(templates))
+    longest = longest_run(threshold, templates)
     return rf"""
 WITH t AS (SELECT * FROM (VALUES {lines}) v(k, license, body)),
 tw AS (SELECT k, license, string_split(body, ' ') AS w FROM t),
 tg AS (SELECT k, license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM tw),
-u AS (
+para AS (
+  SELECT doc_id, row_number() OVER () AS r, list_filter(string_split(regexp_replace(text, '\n[\x20\x09-\x0D]*\n', chr(1), 'g'), chr(1)),
+    lambda p: regexp_matches(p, '[A-Za-z0-9]')) AS p FROM documents
+), sized AS (
+  SELECT doc_id, r, p, list_transform(p, lambda x: len(list_filter(regexp_split_to_array(x, '[^A-Za-z0-9]+'), lambda w: w <> ''))) AS n FROM para
+), run AS (
+  SELECT doc_id, array_to_string(p[i:j], chr(10) || chr(10)) AS unit
+  FROM (SELECT *, unnest(range(i + 1, least(len(p), i + {longest}) + 1)) AS j FROM (SELECT *, unnest(range(1, len(p))) AS i FROM sized))
+  WHERE list_sum(n[i:j]) BETWEEN {SHORTEST_RUN} AND {longest}
+), u AS (
   SELECT doc_id, unnest(list_distinct(list_concat([text], list_concat(
     string_split(regexp_replace(text, '\n[\x20\x09-\x0D]*\n', chr(1), 'g'), chr(1)), list_concat(string_split(text, chr(10)),
     string_split(regexp_replace(text, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1))))))) AS unit
   FROM documents
+  UNION ALL SELECT doc_id, unit FROM run
 ), uw AS (
   SELECT doc_id, row_number() OVER () AS id, list_filter(regexp_split_to_array(
     translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM u
