@@ -27,22 +27,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenurelens.llm import batches
+from tenurelens.llm.scratch import aside, cut
 
 TABLE_BITS = 20
 LANE = 48
 
 
+class Items(NamedTuple):
+    """All words of the items, one after another: hashes, and where each lies in `text`.
+
+    In `text` the words of an item are joined by one space, so a window is a piece of it.
+    """
+
+    hashes: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    text: bytes
+    names: list[str]
+
+
 class Tables(NamedTuple):
-    """Search tables of the patterns of one length."""
+    """Search tables of the patterns of one length; pattern p is the words from first[p] on and
+    belongs to the items owner[bound[p]:bound[p + 1]]."""
 
     length: int
     block: int
     shift: np.ndarray
     suffix: np.ndarray
     order: np.ndarray
-    words: np.ndarray
-    texts: list[bytes]
-    items: list[list[str]]
+    first: np.ndarray
+    owner: np.ndarray
+    bound: np.ndarray
+    items: Items
 
 
 def _split(text: str) -> tuple[np.ndarray, list[bytes]]:
@@ -59,26 +75,42 @@ def _blocks(ends: np.ndarray, before: np.ndarray | None) -> np.ndarray:
 
 def build(items: list[tuple[str, str]], window: int) -> list[Tables]:
     """Tables for all windows of (item id, text); an item shorter than a window is one itself."""
-    by_length: dict[int, dict[bytes, tuple[np.ndarray, set[str]]]] = {}
+    hashes, texts, sizes, names = [], [], [], []
+    by_length: dict[int, dict[bytes, tuple[int, set[int]]]] = {}
+    at = 0
     for ident, text in items:
-        hashes, tokens = _split(text or "")
+        mine, tokens = _split(text or "")
         size = min(window, len(tokens))
         for i in range(len(tokens) - size + 1 if size else 0):
             key = b" ".join(tokens[i : i + size])
-            by_length.setdefault(size, {}).setdefault(key, (hashes[i : i + size], set()))[1].add(ident)
+            by_length.setdefault(size, {}).setdefault(key, (at + i, set()))[1].add(len(names))
+        if size:
+            hashes.append(mine)
+            texts.append(b" ".join(tokens))
+            sizes.append(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+            names.append(ident)
+            at += len(tokens)
+    if not names:
+        return []
+    # words and items are one space apart
+    size = np.concatenate(sizes)
+    end = np.cumsum(size + 1) - 1
+    whole = Items(np.concatenate(hashes), end - size, end, b" ".join(texts), names)
     out = []
     for length, patterns in sorted(by_length.items()):
-        matrix = np.stack([p[0] for p in patterns.values()])
+        first = np.fromiter((p[0] for p in patterns.values()), np.int64, len(patterns))
         block = min(2, length)
-        shift = np.full(1 << TABLE_BITS, length - block + 1, np.int64)
+        shift = np.full(1 << TABLE_BITS, length - block + 1, np.min_scalar_type(length))
         for j in range(block - 1, length):
-            keys = _blocks(matrix[:, j], matrix[:, j - 1] if block == 2 else None)
-            np.minimum.at(shift, (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64), length - 1 - j)
-        last = _blocks(matrix[:, -1], matrix[:, -2] if block == 2 else None)
+            keys = _blocks(whole.hashes[first + j], whole.hashes[first + j - 1] if block == 2 else None)
+            np.minimum.at(shift, (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64), shift.dtype.type(length - 1 - j))
+        ends = first + length - 1
+        last = _blocks(whole.hashes[ends], whole.hashes[ends - 1] if block == 2 else None)
         order = np.argsort(last, kind="stable")
-        out.append(
-            Tables(length, block, shift, last[order], order, matrix, list(patterns), [sorted(p[1]) for p in patterns.values()])
-        )
+        owners = [sorted(p[1]) for p in patterns.values()]
+        owner = np.fromiter((i for mine in owners for i in mine), np.int32)
+        bound = np.r_[0, np.cumsum([len(mine) for mine in owners])]
+        out.append(Tables(length, block, shift, last[order], order, first, owner, bound, whole))
     return out
 
 
@@ -92,7 +124,7 @@ def search(hashes: np.ndarray, bound: np.ndarray, table: Tables) -> tuple[np.nda
     at, found_at, found = begin, [], []
     while len(at):
         key = _blocks(hashes[at], hashes[at - 1] if table.block == 2 else None)
-        step = table.shift[(key >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+        step = table.shift[(key >> np.uint64(64 - TABLE_BITS)).astype(np.int64)].astype(np.int64)
         stops = np.flatnonzero(step == 0)
         if len(stops):
             low = np.searchsorted(table.suffix, key[stops], "left")
@@ -101,7 +133,7 @@ def search(hashes: np.ndarray, bound: np.ndarray, table: Tables) -> tuple[np.nda
             bucket = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             pattern = table.order[bucket]
             for j in range(m):
-                same = hashes[where - (m - 1) + j] == table.words[pattern, j]
+                same = hashes[where - (m - 1) + j] == table.items.hashes[table.first[pattern] + j]
                 where, pattern = where[same], pattern[same]
             found_at.append(where)
             found.append(pattern)
@@ -128,10 +160,12 @@ def scan(data: np.ndarray, offsets: np.ndarray, tables: list[Tables]) -> tuple[n
             spelled = b" ".join(
                 whole[s:e] for s, e in zip(found.start[begin : last + 1].tolist(), found.end[begin : last + 1].tolist(), strict=True)
             )
-            if spelled == table.texts[pattern]:
+            known, at = table.items, int(table.first[pattern])
+            if spelled == known.text[known.start[at] : known.end[at + table.length - 1]]:
                 cover[begin] += 1
                 cover[last + 1] -= 1
-                items[int(np.searchsorted(found.bound, last, "right")) - 1].update(table.items[pattern])
+                owners = table.owner[table.bound[pattern] : table.bound[pattern + 1]]
+                items[int(np.searchsorted(found.bound, last, "right")) - 1].update(known.names[i] for i in owners)
     hit = np.cumsum(cover[:-1]) > 0
     spans: list[list[int]] = [[] for _ in range(n)]
     for t in np.flatnonzero(np.add.reduceat(np.r_[hit, False], found.bound[:-1]) > 0).tolist() if hit.any() else []:
@@ -211,6 +245,9 @@ def find_passages(
         mine = items.where(F.pmod(F.xxhash64("i"), F.lit(chunks)) == c) if chunks > 1 else items
         tables = build([(r[0], r[1]) for r in mine.toLocalIterator()], window)
         out = _pass(out, spark.sparkContext.broadcast(tables), state, text)
+        if c + 1 < chunks:
+            # else the tables of all passes would be in memory together
+            out = cut(out)
     s = F.col(f"{state}.spans")
     hit = F.aggregate(
         F.sequence(F.lit(0), F.size(s) - 2, F.lit(2)), F.lit(0).cast("long"), lambda a, i: a + F.get(s, i + 1) - F.get(s, i)
@@ -227,10 +264,12 @@ def find_passages(
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that are not contaminated, with the columns of docs.
+    """The rows of docs that are not contaminated, with the columns of docs as they are.
 
-    A column of docs named `found` passes through like any other.
+    A column of docs named `found` passes through like any other. Null and empty texts and rows
+    with a null doc_id stay, repeated rows are judged alike, without items all rows stay; an
+    empty table gives an empty result.
     """
-    own = docs.withColumnRenamed("found", "_found") if "found" in docs.columns else docs
-    kept = find_passages(own, benchmark).where(~F.col("found.contaminated")).drop("found")
-    return kept.withColumnRenamed("_found", "found") if "found" in docs.columns else kept
+    other = aside(docs.columns, ("found",))
+    kept = find_passages(docs.withColumnsRenamed(other), benchmark).where(~F.col("found.contaminated")).drop("found")
+    return kept.withColumnsRenamed({v: k for k, v in other.items()}).select(*[f"`{c}`" for c in docs.columns])

@@ -201,9 +201,11 @@ def scan(
         return (F.size(w) >= 2) & F.exists(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), is_mark(w))
 
     # words are bound once: a filter would else split the text anew for each of them
-    hits = cut(known.where(let(_words(F.col("text")), is_marked)).withColumn("row", F.monotonically_increasing_id()))
+    hits = known.where(let(_words(F.col("text")), is_marked))
     single = hits.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
-    cut_up = single.unionAll(runs(hits, longest_run(threshold, templates), is_marked))
+    # the number of a row is fixed where it is written
+    several = cut(hits.where(F.col("text").rlike(PARAGRAPHS)).withColumn("row", F.monotonically_increasing_id()))
+    cut_up = single.unionAll(runs(several, longest_run(threshold, templates), is_marked))
     sizes = [len(bigrams(text)) for _, text in templates]
     of_size = F.filter(
         F.array(let(_words(F.col("unit")), _pairs)),

@@ -220,6 +220,10 @@ def check_pairs(pairs: DataFrame, plan: Plan) -> DataFrame:
     return batches.bounded(pairs).select("a", "b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+#: shingles (8 bytes each) of the members of a block, on average
+BLOCK_SHINGLES = 1 << 20
+
+
 def block_links(left: list, right: list, plan: Plan, looks: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Links between two lists of (id, component, sig, set): one per pair of merged components."""
     parent: dict[int, int] = {}
@@ -315,15 +319,22 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     grouped = components(first)
 
     labelled = members.where("m > 2").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "m", F.coalesce("component", "id").alias("component")
+        "key", "id", "n", "m", F.coalesce("component", "id").alias("component")
+    )
+    shares = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("size"))
+    largest = F.max(F.struct("c", "component", "size"))
+    mixed = cut(
+        shares.groupBy("key")
+        .agg(largest.alias("x"), F.sum("c").alias("all"), F.sum("size").alias("whole"))
+        .select("key", "all", "whole", F.col("x.component").alias("major"), F.col("x.c").alias("most"), F.col("x.size").alias("size"))
+        .where("most < all")
     )
-    shares = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    mixed = cut(shares.groupBy("key").agg(
-        F.max_by("component", F.struct("c", "component")).alias("major"), F.max("c").alias("most"), F.sum("c").alias("all")
-    ).where("most < all"))
-    open_members = labelled.join(mixed, "key")
-    left_blocks = F.ceil((F.col("all") - F.col("most")) / plan.block).cast("int")
-    right_blocks = F.ceil(F.col("all") / plan.block).cast("int")
+    open_members = labelled.join(mixed, "key").drop("n")
+    # a block holds a bounded number of members and of shingles
+    left_blocks = F.ceil(F.greatest(
+        (F.col("all") - F.col("most")) / plan.block, (F.col("whole") - F.col("size")) / BLOCK_SHINGLES
+    )).cast("int")
+    right_blocks = F.ceil(F.greatest(F.col("all") / plan.block, F.col("whole") / BLOCK_SHINGLES)).cast("int")
     minors = (
         open_members.where("component != major")
         .withColumn("i", F.pmod(F.xxhash64("id"), left_blocks).cast("int"))

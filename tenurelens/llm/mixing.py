@@ -224,9 +224,19 @@ def _deal(sources: DataFrame, blocks: DataFrame, shards: int, seed: int) -> Data
     )
 
 
+#: words in an output shard, and the least number of shards
+SHARD_WORDS, LEAST_SHARDS = 16_000_000, 64
+
+
+def shard_count(sources: DataFrame, shard_words: int = SHARD_WORDS) -> int:
+    """Shards of about `shard_words` words for what the mix takes."""
+    words = sources.agg(F.sum(F.round("target"))).first()[0] or 0
+    return max(LEAST_SHARDS, -(-int(words) // shard_words))
+
+
 def dealt_quotas(
     docs: DataFrame,
-    shards: int = 64,
+    shards: int | None = None,
     key: str = "mix",
     weights: Sequence[int] = WEIGHTS,
     most: int = MOST,
@@ -239,6 +249,7 @@ def dealt_quotas(
     """
     lean = cut(docs.select("doc_id", "source", size(F.col("text")).alias("size")))
     sources, blocks = _plan(lean, key, weights, most)
+    shards = shards or shard_count(sources)
     copies = _deal(sources, blocks, shards, seed).groupBy("nth", "rank").agg(F.collect_list("copy").alias("copies"))
     placed = _taken(_place(lean, sources, key), blocks.join(copies, ["nth", "rank"], "left"))
     words = F.aggregate(
@@ -251,7 +262,7 @@ def dealt_quotas(
 
 def mix(
     docs: DataFrame,
-    shards: int = 64,
+    shards: int | None = None,
     key: str = "mix",
     weights: Sequence[int] = WEIGHTS,
     most: int = MOST,
@@ -260,12 +271,14 @@ def mix(
     """The mixed rows: the columns of docs, then copy, words and shard, shuffled in each shard.
 
     A document appears once per epoch it is taken in; a copy that is cut holds the first
-    `words` words. Documents without words are never taken. Own columns named like the ones
+    `words` words. The number of shards follows from the words taken (SHARD_WORDS each) unless it
+    is given, and each shard is one partition. Documents without words are never taken. Own columns named like the ones
     added are replaced. Nulls, ties and empty tables as in `quotas`.
     """
     own = [c for c in docs.columns if c not in ("copy", "words", "shard")]
     lean = cut(docs.select("doc_id", "source", size(F.col("text")).alias("size")))
     sources, blocks = _plan(lean, key, weights, most)
+    shards = shards or shard_count(sources)
     whole = docs.select(
         "doc_id", "source", size(F.col("text")).alias("size"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("own")
     )
@@ -281,6 +294,6 @@ def mix(
     tick = keyed(key, F.col("shard"), F.col("copy"), F.col("doc_id"))
     return (
         out.select(*columns, F.col("copy").cast("int").alias("copy"), "words", "shard")
-        .repartition(shards, "shard")
+        .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", tick)
     )

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenurelens.llm import batches
-from tenurelens.llm.scratch import cut
+from tenurelens.llm.scratch import cut, unused
 
 SHORT, JOINED, LONG, GAP = 4, 8, 32, 12
 
@@ -191,13 +191,14 @@ def remove_repeats(
     Every row stays, with an empty array where nothing was removed; an own column `removed` is
     replaced. Nulls, ties and repeated rows as in `repeated_runs`.
     """
+    ident, th, cuts = (unused(docs.columns, name) for name in ("id", "th", "spans"))
     runs = repeated_runs(docs, unit, least_words, unit_words).select(
-        F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans"
+        F.col("doc_id").alias(ident), F.col("th").alias(th), F.col("spans").alias(cuts)
     )
     joined = docs.drop("removed").join(
-        runs, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash() == F.col("_th")), "left"
+        runs, F.col("doc_id").eqNullSafe(F.col(ident)) & (text_hash() == F.col(th)), "left"
     )
-    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int,words:bigint>>"))
+    spans = F.coalesce(cuts, F.array().cast("array<struct<start:int,stop:int,words:bigint>>"))
     columns = [
         without(F.col("text"), spans).alias("text") if c == "text" else F.col(f"`{c}`")
         for c in docs.columns

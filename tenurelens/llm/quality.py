@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenurelens.llm import batches
+from tenurelens.llm.scratch import aside
 from tenurelens.llm.scratch import cut
 
 FEATURES = (
@@ -327,5 +328,14 @@ def score_documents(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs that the model predicts to be good, with the columns of docs."""
-    return scored(docs, learn(docs, labels, sample), threshold).where("predicted = 1").select(*docs.columns)
+    """The rows of docs that the model predicts to be good, with the columns of docs as they are.
+
+    Own columns named `score` or `predicted` pass through like any other. Null and empty texts
+    are judged by features that are all 0, rows with a null doc_id and repeated rows like others;
+    an empty table gives an empty result.
+    """
+    other = aside(docs.columns, ("score", "predicted"))
+    rows = scored(docs.withColumnsRenamed(other), learn(docs, labels, sample), threshold).where("predicted = 1")
+    return rows.drop("score", "predicted").withColumnsRenamed({v: k for k, v in other.items()}).select(
+        *[f"`{c}`" for c in docs.columns]
+    )

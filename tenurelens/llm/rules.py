@@ -126,6 +126,26 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
+def _references(usual: DataFrame, least: int) -> DataFrame:
+    """chars, common: mean shares of each language with `least` documents, and of all others together.
+
+    A language of few documents has no reference of its own, so junk cannot vouch for itself; nor
+    have the others together if they are fewer than that.
+    """
+    n_chars, n_common = len(CLASSES) + 3, len(WORDS) + 1
+    sums = [F.sum(F.get(c, F.lit(i))).alias(f"{c}{i}") for c, n in (("p_chars", n_chars), ("p_common", n_common)) for i in range(n)]
+    by_lang = usual.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *sums)
+    own = F.when(F.col("n") >= least, F.struct("lang"))
+    merged = by_lang.groupBy(own.alias("own")).agg(
+        F.sum("n").alias("n"),
+        *[F.sum(f"{c}{i}").alias(f"{c}{i}") for c, n in (("p_chars", n_chars), ("p_common", n_common)) for i in range(n)],
+    ).where(F.col("n") >= least)
+    return merged.select(
+        F.array(*[F.col(f"p_chars{i}") / F.col("n") for i in range(n_chars)]).alias("chars"),
+        F.array(*[F.col(f"p_common{i}") / F.col("n") for i in range(n_common)]).alias("common"),
+    )
+
+
 def judge(
     docs: DataFrame,
     least_words: int = 50,
@@ -133,6 +153,7 @@ def judge(
     char_words: int = 50,
     common_words: int = 100,
     reference_words: int = 200,
+    reference_documents: int = 20,
     char_distance: float = 0.3,
     word_distance: float = 0.5,
 ) -> DataFrame:
@@ -142,7 +163,8 @@ def judge(
     in repeated three-word windows. kept: not base_failed, and neither distance above its
     limit; a distance is null, and counts as passed, for texts below `char_words` or
     `common_words` words and when no language has a reference. Null and empty texts have counts
-    of 0 and fail the base rule; null languages are a language of their own; repeated rows are
+    of 0 and fail the base rule; null languages are a language of their own; a reference needs
+    `reference_documents` usual documents, and languages with fewer share one; repeated rows are
     judged alike; an empty table gives an empty result; other columns are ignored.
     """
     rows = cut(measured(docs))
@@ -153,20 +175,16 @@ def judge(
         (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words")),
     ).withColumns({"p_chars": chars, "p_common": common})
     usual = rows.where(~F.col("base_failed") & (F.col("n_words") >= reference_words))
-    means = [F.avg(F.get("p_chars", F.lit(i))) for i in range(len(CLASSES) + 3)]
-    means += [F.avg(F.get("p_common", F.lit(i))) for i in range(len(WORDS) + 1)]
-    references = usual.groupBy("lang").agg(*means).orderBy("lang").collect()
-    k = len(CLASSES) + 4
+    references = _references(usual, reference_documents)
+    rows = rows.withColumn("known", references.agg(F.collect_list(F.struct("chars", "common"))).scalar())
 
-    def nearest(p: str, first: int, last: int) -> Column:
-        known = [F.array(*[F.lit(float(x)) for x in r[first:last]]) for r in references]
-        if not known:
-            return F.lit(None).cast("double")
-        return F.array_min(F.transform(F.array(*known), lambda q: distance(F.col(p), q)))
+    def nearest(p: str, field: str) -> Column:
+        # null without any reference
+        return F.array_min(F.transform("known", lambda q: distance(F.col(p), q[field])))
 
     far = {
-        "char_distance": F.when(F.col("n_words") >= char_words, nearest("p_chars", 1, k)),
-        "word_distance": F.when(F.col("n_words") >= common_words, nearest("p_common", k, None)),
+        "char_distance": F.when(F.col("n_words") >= char_words, nearest("p_chars", "chars")),
+        "word_distance": F.when(F.col("n_words") >= common_words, nearest("p_common", "common")),
     }
     judged = rows.withColumns(far)
     usual_enough = F.coalesce(F.col("char_distance") <= char_distance, F.lit(True)) & F.coalesce(
