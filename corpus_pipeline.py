@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tenurelens.llm import decontaminate, minhash, mixing, quality, tokenids
-from tenurelens.llm.scratch import shared_folder
+from tenurelens.llm.scratch import aside, shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,27 +15,49 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model rejects go."""
+    """Documents that the quality model rejects go.
+
+    Null and empty texts are judged like any other, rows with a null doc_id and repeated rows as
+    well; without labels every score is one half and all rows stay. Own columns stay as they are.
+    """
     return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of each group linked at similarity 0.8 over five-word shingles."""
+    """One document stays of each group linked at similarity 0.8 over five-word shingles.
+
+    It is the one of smallest doc_id. Null and empty texts and rows with a null doc_id stay, of
+    rows that share a doc_id one stays; own columns stay as they are.
+    """
     return minhash.keep_one(docs, minhash.Plan(size=5, percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go of whose words one in twenty lies in a passage of the benchmark."""
+    """Documents go of whose words one in twenty lies in a passage of the benchmark.
+
+    Null and empty texts and rows with a null doc_id stay, repeated rows are judged alike, and
+    without items all rows stay; own columns stay as they are.
+    """
     return decontaminate.without_benchmark(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; a copy that is cut holds its first words."""
-    return mixing.mix(docs).select(*docs.columns)
+    """Documents as often as the mix takes them; a copy that is cut holds its first words.
+
+    Null and empty texts have no words and are not taken; a null source is one, the last; rows
+    with a null doc_id and repeated rows are taken like others; own columns stay as they are.
+    """
+    other = aside(docs.columns, ("copy", "words", "shard"))
+    mixed = mixing.mix(docs.withColumnsRenamed(other)).drop("copy", "words", "shard")
+    return mixed.withColumnsRenamed({v: k for k, v in other.items()}).select(*[f"`{c}`" for c in docs.columns])
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of token ids in training order."""
+    """Sequences of token ids in training order.
+
+    Null and empty texts give no sequence, rows with a null doc_id and repeated rows are encoded
+    like others; the columns are those of `tokenids.training_order`, own ones are not read.
+    """
     return tokenids.training_order(docs, tokenids.vocabulary())
 
 
