@@ -9,13 +9,15 @@ import time
 
 from pyspark.sql import SparkSession
 
+from tenurelens.plans import fitted  # noqa: F401  (registers its queries)
 from tenurelens.plans.queries import QUERIES
 
 HEADLINES = [
     "feature_matrix", "churn_label", "quality_report", "quarantine", "counting_process",
     "km_by_segment", "km_ci", "logrank_multi", "baseline_breslow", "score_table", "cox_fit",
     "cox_tvc_fit", "aft_comparison", "c_index", "auc_horizon", "integrated_brier", "drift_report",
-    "batch_drift", "perf_history", "cross_validate",
+    "batch_drift", "perf_history", "cross_validate", "cox_fit_matrix", "drift_features",
+    "cox_stratified_fit", "survival_at_own_time",
 ]
 
 

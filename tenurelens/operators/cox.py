@@ -40,6 +40,8 @@ from tenurelens.sources.tables import cut_lineage, read_parquet, write_parquet
 FLUSH_TIMES = 100_000
 #: buckets of the baseline curve, and copies of each, in the search for medians
 CHUNKS, SALTS = 256, 8
+#: keys over which rows that no chunk can serve are spread
+NOWHERE = 4096
 
 
 def sum_by_key(keys: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,13 +245,18 @@ class CoxModel:
             "_part", "_salt", F.col("_steps.h").alias("_h"), F.col("_steps.t").alias("_t")
         )
         reachable = F.col("_needed") <= F.lit(float(top))
-        placed = ready.withColumn("_part", F.when(reachable, S.count_below(F.col("_needed"), ends))).withColumn(
-            "_salt", F.pmod(F.xxhash64("_needed", F.monotonically_increasing_id()), F.lit(salts)).cast("int")
-        )
+        spread = F.xxhash64("_needed", F.monotonically_increasing_id())
+        placed = ready.withColumn("_spread", spread).withColumn(
+            # rows out of reach meet no chunk; keys of many values keep them from a few tasks
+            "_part",
+            F.when(reachable, S.count_below(F.col("_needed"), ends)).otherwise(
+                (-1 - F.pmod("_spread", F.lit(NOWHERE))).cast("int")
+            ),
+        ).withColumn("_salt", F.pmod("_spread", F.lit(salts)).cast("int"))
         found = F.get("_t", S.count_below_in(F.col("_needed"), F.col("_h"), longest))
         return placed.join(copies, on=["_part", "_salt"], how="left").withColumn(
             out, F.coalesce(found, F.lit(float("inf")))
-        ).drop("_part", "_salt", "_needed", "_h", "_t")
+        ).drop("_part", "_salt", "_spread", "_needed", "_h", "_t")
 
     def _with_median_by_stratum(self, df: DataFrame, out: str, hazard: Column | None) -> DataFrame:
         needed = F.lit(math.log(2.0)) / (self.partial_hazard(df) if hazard is None else hazard)
@@ -414,6 +421,13 @@ def build(design, fitted, penalizer, l1_ratio, ties, strata=None, numbers=None)
     )
 
 
+def needed(df: DataFrame, columns, id_col: str = "customer_id") -> DataFrame:
+    """The columns a fit reads, once each, and a hash that tells rows of one day apart."""
+    have = list(dict.fromkeys(c for c in columns if c in df.columns))
+    told = [id_col] if id_col in df.columns else []
+    return df.select(*have, F.xxhash64(*dict.fromkeys([*told, *have])).alias("_salt"))
+
+
 def with_strata(df: DataFrame, strata: str | None) -> tuple[list[Column], DataFrame | None]:
     """The column that numbers the strata, and the table of numbers."""
     if strata is None:
@@ -444,20 +458,20 @@ def fit_cox(
     `parts` sets the number of parts the rows are laid out in."""
     numeric = COX_NUMERIC if numeric is None else numeric
     categorical = COX_CATEGORICAL if categorical is None else categorical
-    design = fit_design(df, [c for c in numeric if c != strata], [c for c in categorical if c != strata])
-    number, numbers = with_strata(df, strata)
-    # the hash of the whole row tells rows of one day apart
-    keep = [F.col(duration).alias("stop"), happened(event).alias("event"), *number, F.xxhash64(*df.columns).alias("salt")]
-    rows = design.matrix(df, keep).persist()
-    known_terms = first is not None and first.design.terms == design.terms
+    used = needed(df, [duration, event, *numeric, *categorical, *([] if strata is None else [strata])]).persist()
     try:
+        design = fit_design(used, [c for c in numeric if c != strata], [c for c in categorical if c != strata])
+        number, numbers = with_strata(used, strata)
+        keep = [F.col(duration).alias("stop"), happened(event).alias("event"), *number, F.col("_salt").alias("salt")]
+        rows = design.matrix(used, keep)
+        known_terms = first is not None and first.design.terms == design.terms
         refuse(rows, F.col("stop").isNull(), "a null duration")
         fitted = fit_rows(
             rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps,
             first=first.beta if known_terms else None, parts=parts,
         )
     finally:
-        rows.unpersist()
+        used.unpersist()
     return build(design, fitted, penalizer, l1_ratio, ties, strata, numbers)
 
 
@@ -550,15 +564,16 @@ def fit_cox_folds(
     """
     numeric = COX_NUMERIC if numeric is None else numeric
     categorical = COX_CATEGORICAL if categorical is None else categorical
-    design, scale, active = fold_designs(df, k, numeric, categorical, fold)
-    p = len(design.terms)
-    keep = [F.col(duration).alias("stop"), happened(event).alias("event"), F.col(fold).alias("fold"),
-            F.xxhash64(*df.columns).alias("salt")]
-    rows = design.matrix(df, keep)
-    refuse(rows, F.col("stop").isNull(), "a null duration")
-    refuse(rows, ~F.coalesce(F.col("fold").between(0, k - 1), F.lit(False)), "no fold")
-    layout = R.lay_out(rows, p, folds=k, parts=parts)
+    used = needed(df, [duration, event, fold, *numeric, *categorical]).persist()
+    layout = None
     try:
+        design, scale, active = fold_designs(used, k, numeric, categorical, fold)
+        p = len(design.terms)
+        keep = [F.col(duration).alias("stop"), happened(event).alias("event"), F.col(fold).alias("fold"), F.col("_salt").alias("salt")]
+        rows = design.matrix(used, keep)
+        refuse(rows, F.col("stop").isNull(), "a null duration")
+        refuse(rows, ~F.coalesce(F.col("fold").between(0, k - 1), F.lit(False)), "no fold")
+        layout = R.lay_out(rows, p, folds=k, parts=parts)
         problems = []
         for m in range(k):
             strength = penalizer * (layout.n_rows[m] if penalty == "mean" else 1.0)
@@ -573,7 +588,9 @@ def fit_cox_folds(
         pick = LT.nearest_value if how == "nearest" else LT.step_value
         at = dict(curve.groupBy("model").agg(pick("cum_hazard", horizon)).collect())
     finally:
-        layout.drop()
+        used.unpersist()
+        if layout is not None:
+            layout.drop()
     return Folds(
         design, np.stack([s.beta for s in found]), [at.get(m) or 0.0 for m in range(k)], layout.n_rows,
         [s.steps for s in found],
@@ -597,23 +614,21 @@ def fit_cox_intervals(
 ) -> CoxModel:
     """Fit on counting-process rows (start, stop]; covariates may differ between rows."""
     covariates = covariates or [c for c in COX_NUMERIC if c in df.columns]
-    if standardise:
-        design = fit_design(df, covariates, [])
-    else:
-        design = Design([(c, 0.0, 1.0) for c in covariates])
     kind = time_type(df, stop)
-    number, numbers = with_strata(df, strata)
-    rows = design.matrix(
-        df,
-        [F.col(start).cast(kind).alias("start"), F.col(stop).cast(kind).alias("stop"),
-         happened(event).alias("event"), *number, F.xxhash64(*df.columns).alias("salt")],
-    ).persist()
+    used = needed(df, [start, stop, event, *covariates, *([] if strata is None else [strata])]).persist()
     try:
+        design = fit_design(used, covariates, []) if standardise else Design([(c, 0.0, 1.0) for c in covariates])
+        number, numbers = with_strata(used, strata)
+        rows = design.matrix(
+            used,
+            [F.col(start).cast(kind).alias("start"), F.col(stop).cast(kind).alias("stop"),
+             happened(event).alias("event"), *number, F.col("_salt").alias("salt")],
+        )
         broken = F.col("start").isNull() | F.col("stop").isNull() | (F.col("start") >= F.col("stop"))
         refuse(rows, broken, "an interval that does not end after its start")
         fitted = fit_rows(rows, len(design.terms), penalizer, l1_ratio, ties, penalty, max_steps, parts=parts)
     finally:
-        rows.unpersist()
+        used.unpersist()
     return build(design, fitted, penalizer, l1_ratio, ties, strata, numbers)
 
 
@@ -624,9 +639,11 @@ def fixed_model(
     """Given coefficients with the Breslow baseline of the given rows, one per value of `strata`."""
     beta = np.asarray(beta, dtype=float)
     if strata is not None:
-        number, numbers = with_strata(df, strata)
-        keep = [F.col(duration).alias("stop"), happened(event).alias("event"), *number, F.xxhash64(*df.columns).alias("salt")]
-        rows = design.matrix(df, keep)
+        columns = [c for c, *_ in (*design.numeric, *design.levels)]
+        used = needed(df, [duration, event, strata, *columns])
+        number, numbers = with_strata(used, strata)
+        keep = [F.col(duration).alias("stop"), happened(event).alias("event"), *number, F.col("_salt").alias("salt")]
+        rows = design.matrix(used, keep)
         layout = R.lay_out(rows, len(beta), parts=parts)
         try:
             risk = R.risk_tables(layout, [beta]).withColumn("time", F.col("time").cast(time_type(rows, "stop")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame
@@ -443,3 +444,80 @@ def cox_matrix_optimum(spark, root):
 def aft_fit_matrix(spark, root):
     """The Weibull model on its covariates of the feature matrix."""
     return aft.fit_aft(fit_matrix(spark, root), "weibull", covariates=AFT_COVARIATES, penalizer=RIDGE).coefficients()
+
+
+# ---------------------------------------------------------------- accelerated failure times
+
+AFT_ONE = "warranty_months"
+#: how each family walks: where it begins, z, what it sums (gradient and minus Hessian), and how its
+#: parameters a, b, s become slope, intercept and ln sigma; `longest` bounds a step. The Weibull likelihood is concave in
+#: 1 / sigma and the coefficients over -sigma, so Newton's steps are safe there.
+AFT_WALKS = {
+    "weibull": {
+        "begin": "SELECT 0.0::DOUBLE AS a, -avg(t) / stddev_pop(t) AS b, 1 / stddev_pop(t) AS s FROM pts",
+        "z": "s * t + b + a * x",
+        "sums": """sum(x * (e - w)) AS ga, sum(e - w) AS gb, sum(t * (e - w) + e / s) AS gs, sum(w * x * x) AS aa, sum(w * x) AS ab,
+  sum(w * x * t) AS ac, sum(w) AS bb, sum(w * t) AS bc, sum(w * t * t + e / (s * s)) AS cc FROM (SELECT *, exp(z) AS w FROM""",
+        "end": "-a / s AS a, -b / s AS b, -ln(s) AS s",
+        "ll": "e * z - exp(z)",
+        "longest": 5.0,
+    },
+    "log_logistic": {
+        "begin": "SELECT 0.0::DOUBLE AS a, avg(t) AS b, ln(stddev_pop(t)) AS s FROM pts",
+        "z": "(t - b - a * x) / exp(s)",
+        "sums": """sum(-g * x / sg) AS ga, sum(-g / sg) AS gb, sum(-g * z - e) AS gs, -sum(h * x * x / (sg * sg)) AS aa,
+  -sum(h * x / (sg * sg)) AS ab, -sum(x * (h * z + g) / sg) AS ac, -sum(h / (sg * sg)) AS bb, -sum((h * z + g) / sg) AS bc, -sum(h * z * z + g * z) AS cc
+  FROM (SELECT *, exp(s) AS sg, e - (1 + e) / (1 + exp(-z)) AS g, -(1 + e) * (1 / (1 + exp(-z))) * (1 - 1 / (1 + exp(-z))) AS h FROM""",
+        "end": "a, b, s",
+        "ll": "e * z - (1 + e) * ln(1 + exp(z))",
+        "longest": 0.5,
+    },
+}
+
+
+def aft_newton_sql(family: str, rounds: int = 25) -> str:
+    """One covariate (standardised), an intercept and the log of sigma, by Newton steps of bounded length."""
+    walk = AFT_WALKS[family]
+    x = f"({AFT_ONE} - (SELECT avg({AFT_ONE}) FROM customers)) / (SELECT stddev_samp({AFT_ONE}) FROM customers)"
+    out = [
+        f"pts AS MATERIALIZED (SELECT ln(duration_days) AS t, CAST(is_churned AS DOUBLE) AS e, {x} AS x FROM customers)",
+        f"th0 AS ({walk['begin']})",
+    ]
+    for k in range(rounds):
+        out += [
+            f"h{k} AS MATERIALIZED (SELECT {walk['sums']} (SELECT pts.*, s, {walk['z']} AS z FROM pts, th{k})))",
+            f"""d{k} AS MATERIALIZED (SELECT (ga * (bb * cc - bc * bc) - ab * (gb * cc - bc * gs) + ac * (gb * bc - bb * gs)) / det AS da,
+  (aa * (gb * cc - bc * gs) - ga * (ab * cc - bc * ac) + ac * (ab * gs - gb * ac)) / det AS db,
+  (aa * (bb * gs - gb * bc) - ab * (ab * gs - gb * ac) + ga * (ab * bc - bb * ac)) / det AS ds
+  FROM (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM h{k}))""",
+            f"""th{k + 1} AS MATERIALIZED (SELECT a + f * da AS a, b + f * db AS b, s + f * ds AS s
+  FROM th{k}, (SELECT *, least(1.0, {walk['longest']} / greatest(abs(da), abs(db), abs(ds), 1e-300)) AS f FROM d{k}))""",
+        ]
+    out.append(f"last AS MATERIALIZED (SELECT {walk['end']} FROM th{rounds})")
+    select = f"""
+, fin AS (SELECT a / sd AS beta, b - a / sd * m AS intercept, s,
+  (SELECT sum({walk['ll']} - e * (s + t)) FROM (SELECT pts.*, (t - b - a * x) / exp(s) AS z, s FROM pts, last)) AS ll
+  FROM last, (SELECT avg({AFT_ONE}) AS m, stddev_samp({AFT_ONE}) AS sd FROM customers))
+SELECT round(beta, 5) AS coef, round(intercept, 5) AS intercept, round(s, 5) AS log_sigma, round(ll, 4) AS log_likelihood,
+  round(6 - 2 * ll, 4) AS aic FROM fin"""
+    sql = with_views("", "customers").rstrip() + ",\n" + ",\n".join(out) + select
+    return sql.replace("customers AS (", "customers AS MATERIALIZED (", 1)
+
+
+def one_aft(spark, root, family: str) -> DataFrame:
+    m = aft.fit_aft(V.customers(spark, root), family, covariates=[AFT_ONE], tolerance=1e-9)
+    row = (float(m.beta[0]), m.intercept, math.log(m.sigma), m.log_likelihood, m.aic)
+    found = spark.createDataFrame([row], "coef double, intercept double, log_sigma double, log_likelihood double, aic double")
+    places = {"log_likelihood": 4, "aic": 4}
+    return found.select(*[F.round(c, places.get(c, 5)).alias(c) for c in found.columns])
+
+
+@query(aft_newton_sql("weibull"))
+def aft_weibull_one(spark, root):
+    """One covariate, against Newton's method in SQL."""
+    return one_aft(spark, root, "weibull")
+
+
+@query(aft_newton_sql("log_logistic"))
+def aft_loglogistic_one(spark, root):
+    return one_aft(spark, root, "log_logistic")
