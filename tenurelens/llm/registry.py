@@ -49,7 +49,8 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and distance verdict of every document."""
-    return rules.judge(_read(spark, sf_dir, "documents"))
+    judged = rules.judge(_read(spark, sf_dir, "documents"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +201,7 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, words AS source_size, target,
   CAST(epochs * size + greatest(0, least(size, left_over)) AS BIGINT) AS taken
 FROM f
 """,
+    "op7_quality_rules": rules.oracle(),
     "op8_decontaminate": r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(

@@ -8,7 +8,7 @@ the nearest reference is too far. Texts below the minimum lengths are not judged
 histogram of few counts says little.
 
 Only DataFrame functions are used. A text is read once; from then on there are counts only.
-The references are one row per language, kept in a literal.
+References are summed per language, and reach the rows as one value of a scalar subquery.
 """
 
 from __future__ import annotations
@@ -194,3 +194,67 @@ def judge(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & usual_enough).alias("kept"), "char_distance", "word_distance",
     )
+
+
+def oracle(
+    char_distance: float = 0.3, word_distance: float = 0.5, reference_words: int = 200, reference_documents: int = 20
+) -> str:
+    """`judge` as DuckDB SQL, distances rounded to six digits."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    classes = ", ".join(f"len(regexp_extract_all(t, {quoted(c)}))" for c in CLASSES)
+    listed = "[" + ", ".join(map(quoted, WORDS)) + "]"
+    n_chars, n_common = len(CLASSES) + 3, len(WORDS) + 1
+
+    def distances(p: str, q: str) -> str:
+        def part(x: str, y: str) -> str:
+            return f"CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / ({x} + {y})) ELSE 0 END"
+
+        terms = f"{part('z[1]', 'z[2]')} + {part('z[2]', 'z[1]')}"
+        return f"sqrt(greatest(0.0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {terms})) / 2))"
+
+    sums = ", ".join(
+        f"sum({c}[{i}]) AS {c}{i}" for c, n in (("p", n_chars), ("q", n_common)) for i in range(1, n + 1)
+    )
+    again = ", ".join(f"sum({c}{i}) AS {c}{i}" for c, n in (("p", n_chars), ("q", n_common)) for i in range(1, n + 1))
+    means = ", ".join(
+        "[" + ", ".join(f"{c}{i} / n" for i in range(1, n + 1)) + f"] AS r{c}" for c, n in (("p", n_chars), ("q", n_common))
+    )
+    return rf"""
+WITH d AS (
+  SELECT doc_id, lang, row_number() OVER () AS r, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents
+), win AS (
+  SELECT r, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c FROM win) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM twice) GROUP BY r),
+lines AS (
+  SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM d
+), c AS (
+  SELECT d.doc_id, lang, d.r, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    len(regexp_extract_all(t, '{SYMBOLS}')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    coalesce(rep.n, 0) AS n_repeat_words, [len(regexp_extract_all(t, '{SYMBOLS}')), strlen(t) - length(t), {classes}] AS chars,
+    list_transform({listed}, lambda x: len(list_filter(w, lambda y: lower(y) = x))) AS common
+  FROM d JOIN lines USING (r) LEFT JOIN rep USING (r)
+), s AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    list_transform(list_append(chars, greatest(greatest(word_chars, 1) - list_sum(chars), 0)), lambda x: x / CAST(greatest(word_chars, 1) AS DOUBLE)) AS p,
+    list_transform(list_append(common, greatest(greatest(n_words, 1) - list_sum(common), 0)), lambda x: x / CAST(greatest(n_words, 1) AS DOUBLE)) AS q
+  FROM c
+), langs AS (
+  SELECT lang, CAST(count(*) AS DOUBLE) AS n, {sums} FROM s WHERE NOT base_failed AND n_words >= {reference_words} GROUP BY lang
+), merged AS (
+  SELECT CASE WHEN n >= {reference_documents} THEN coalesce('x' || lang, 'n') ELSE '' END AS own, n AS m, * FROM langs
+), refs AS (
+  SELECT {means} FROM (SELECT own, sum(m) AS n, {again} FROM merged GROUP BY own) WHERE n >= {reference_documents}
+), far AS (
+  SELECT s.r, min({distances('p', 'rp')}) AS dc, min({distances('q', 'rq')}) AS dw FROM s JOIN refs ON true GROUP BY s.r
+), j AS (
+  SELECT s.*, CASE WHEN n_words >= 50 THEN dc END AS dc, CASE WHEN n_words >= 100 THEN dw END AS dw FROM s LEFT JOIN far USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(dc <= {char_distance}, true) AND coalesce(dw <= {word_distance}, true) AS kept,
+  round(dc, 6) AS char_distance, round(dw, 6) AS word_distance
+FROM j
+"""
