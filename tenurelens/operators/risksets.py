@@ -551,9 +551,12 @@ class _State:
 
 def solve(
     layout: Layout, problems: list[Problem], efron: bool = True, max_steps: int = 500,
-    tolerance: float = 1e-7, max_halvings: int = 30,
+    tolerance: float = 1e-7, max_halvings: int = 30, evaluate=evaluate,
 ) -> list[Solution]:
-    """Every model's penalised optimum; one round evaluates all models that are not done."""
+    """Every model's penalised optimum; one round evaluates all models that are not done.
+
+    `evaluate` may be that of rows laid out in another way.
+    """
     states = [_State(q) for q in problems]
     while True:
         open_ = [m for m, s in enumerate(states) if not s.done]

@@ -306,3 +306,40 @@ def test_asof_equals_search(spark, direction, later):
         assert got[i] == (None if want is None else mine[want]), (i, at, k)
     with pytest.raises(ValueError):
         asof_join(a, b, "at", "t", ["value"], ["k"], "sideways")
+
+
+def test_a_fit_with_moving_covariates_makes_no_split_rows(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    n = 300
+    pdf = pd.DataFrame({
+        "customer_id": np.arange(n), "duration_days": rng.integers(1, 40, n), "is_churned": rng.integers(0, 2, n),
+        "u": rng.normal(size=n), "v": rng.normal(size=n),
+    })
+    df = spark.createDataFrame(pdf)
+    plain = episodes.fit_time_effects(df, ["u"], "sqrt", numeric=["v"], categorical=[], penalizer=0.5)
+
+    def never(*_, **__):
+        raise AssertionError("rows were split")
+
+    monkeypatch.setattr(episodes, "split_at", never)
+    # small pieces and chunks: several of both in every part
+    monkeypatch.setattr(episodes, "HELD", 64)
+    monkeypatch.setattr(episodes, "CHUNK", 3)
+    cut = episodes.fit_time_effects(df, ["u"], "sqrt", numeric=["v"], categorical=[], penalizer=0.5, parts=5)
+    assert np.allclose(cut.model.beta, plain.model.beta, atol=1e-9) and cut.model.log_likelihood == pytest.approx(plain.model.log_likelihood)
+    z = {c: ((pdf[c] - pdf[c].mean()) / pdf[c].std(ddof=1)).to_numpy() for c in "uv"}
+    t, e = pdf.duration_days.to_numpy(), pdf.is_churned.to_numpy()
+
+    def loss(beta):
+        total = 0.25 * beta @ beta
+        for time in np.unique(t[e > 0]):
+            at_risk, tied = t >= time, (t == time) & (e > 0)
+            eta = beta[0] * z["v"] + beta[1] * z["u"] * math.sqrt(time)
+            w, d = np.exp(eta), int(tied.sum())
+            total -= eta[tied].sum() - sum(math.log(w[at_risk].sum() - k / d * w[tied].sum()) for k in range(d))
+        return total
+
+    best, beta = loss(cut.model.beta), cut.model.beta
+    for step in np.vstack([np.eye(2), -np.eye(2)]) * 1e-3:
+        assert loss(beta + step) > best
+    assert cut.model.log_likelihood == pytest.approx(0.25 * beta @ beta - best)
