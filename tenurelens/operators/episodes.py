@@ -1,10 +1,9 @@
 """Covariates that change along the risk sets: rows split at event times, and Cox fits on them.
 
-Splitting is a range join (times up to a row's own end). Times are cut into buckets at quantiles
-of themselves; a row meets the buckets up to its end by an equi-join and only in the last one
-has to be compared. Times are copied per salt, so that no bucket is one task's work. A row
-comes out once per event time it was at risk at, which is what the definition asks for; a given
-short list of times bounds that.
+A row counts at every event time up to its own end, so the work is rows times times. The rows a
+split gives are made where they are used and never shuffled: all times stand in every task
+(16 bytes each), and rows are dealt out evenly before they are split. A given short list of times
+bounds their number.
 
 A fit makes no split rows at all. Rows are packed once, without times; a task weighs a piece of
 its rows at all their times as one matrix and keeps sums per time. A Newton step is two such maps:
@@ -37,9 +36,8 @@ from tenurelens.operators.ties import tie_sums
 from tenurelens.sources.schemas import COX_CATEGORICAL, COX_NUMERIC
 from tenurelens.sources.tables import cut_lineage
 
-SALTS = 8
-#: weights a task holds at once, times in a chunk, weights of a part
-HELD, CHUNK, PART_WEIGHTS = 1 << 18, 256, 1 << 27
+#: tasks per core that split rows, weights a task holds at once, times in a chunk, weights of a part
+TASKS, HELD, CHUNK, PART_WEIGHTS = 4, 1 << 18, 256, 1 << 27
 
 def event_times(df: DataFrame, duration: str = "duration_days", event: str = "is_churned") -> DataFrame:
     """(time, before): distinct times of events, and the one before each (0 for the first)."""
@@ -65,30 +63,26 @@ def _with_before(times: DataFrame) -> DataFrame:
     return placed.withColumn("_near", inside).join(ends, "_b").select("time", F.coalesce("_near", "_carried", zero).alias("before"))
 
 
-def split_at(
-    df: DataFrame, times: DataFrame, duration: str = "duration_days", event: str = "is_churned", salts: int = SALTS,
-) -> DataFrame:
+def split_at(df: DataFrame, times: DataFrame, duration: str = "duration_days", event: str = "is_churned") -> DataFrame:
     """One row per row of df and time up to its duration: df's columns, start, stop, happened.
 
     (start, stop] runs from the time before (`before` of `times`) to the time; `happened` is 1
     where the row's event falls on stop; own columns of these names give way. What lies after the last time is in no risk set and
     left out, and so is a row that ends before the first time or has no duration.
     """
-    marks = _marks(times)
-    copies = times.select(
-        F.col("time").alias("_stop"), F.col("before").alias("_start"),
-        S.count_below(F.col("time").cast("double"), marks).alias("_b"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    upto = S.count_below(F.col(duration).cast("double"), marks)
-    rows = df.where(F.col(duration).isNotNull()).select(
-        "*", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int").alias("_salt"),
-        F.explode(F.sequence(F.lit(0), upto)).alias("_b"),
+    # one row that holds all times, so it is broadcast
+    held = times.agg(F.collect_list(F.struct("time", "before")).alias("_times"))
+    # tables of few bytes come in few parts, but the work is in the rows they are split into
+    dealt = df.where(F.col(duration).isNotNull()).repartition(
+        TASKS * df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(*df.columns)
     )
-    met = rows.join(copies, ["_b", "_salt"]).where(F.col("_stop") <= F.col(duration))
-    last = (F.col("_stop") == F.col(duration)) & (happened(event) > 0)
+    met = dealt.crossJoin(F.broadcast(held)).select(*df.columns, F.explode("_times").alias("_time"))
+    met = met.where(F.col("_time.time") <= F.col(duration))
+    last = (F.col("_time.time") == F.col(duration)) & (happened(event) > 0)
     own = [c for c in df.columns if c not in ("start", "stop", "happened")]
-    return met.select(*own, F.col("_start").alias("start"), F.col("_stop").alias("stop"), last.cast("int").alias("happened"))
+    return met.select(
+        *own, F.col("_time.before").alias("start"), F.col("_time.time").alias("stop"), last.cast("int").alias("happened")
+    )
 
 
 def at_times(spark, times: list) -> DataFrame:

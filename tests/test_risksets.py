@@ -343,3 +343,10 @@ def test_a_fit_with_moving_covariates_makes_no_split_rows(spark, monkeypatch):
     for step in np.vstack([np.eye(2), -np.eye(2)]) * 1e-3:
         assert loss(beta + step) > best
     assert cut.model.log_likelihood == pytest.approx(0.25 * beta @ beta - best)
+
+
+def test_rows_of_one_part_are_split_in_many(spark):
+    df = spark.range(200, numPartitions=1).select(F.col("id").alias("customer_id"), (F.col("id") % 20 + 1).cast("int").alias("duration_days"), F.lit(1).alias("is_churned"))
+    split = episodes.split_at(df, episodes.event_times(df))
+    assert split.select(F.spark_partition_id()).distinct().count() > 4
+    assert split.count() == 10 * sum(range(1, 21))
