@@ -1,27 +1,33 @@
 """Accelerated failure time regressions: Weibull, log-normal and log-logistic.
 
 With z = (ln T - mu) / sigma and mu = b + x beta, an event adds log f(z) - ln sigma - ln T and
-a censored row log S(z). Tasks sum the log-likelihood, its gradient and Hessian in
-(beta, b, ln sigma) over their Arrow batches; one Newton step is one such job. Covariates are
-standardised inside the fit and mapped back after it.
+a censored row log S(z). Covariates are standardised inside the fit and mapped back after it.
+
+Rows are read once and packed into blocks of about 16 MB a part. Tasks sum the log-likelihood, its
+gradient and Hessian in (beta, b, ln sigma) over their block; one Newton step is one such map
+without a shuffle, and families fitted together share it. The driver sees (p + 3)(p + 4) / 2
+numbers per part and family.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenurelens.functions import scalars as S
 from tenurelens.operators.concordance import concordance
+from tenurelens.operators.cox import needed
 from tenurelens.operators.design import Design, fit_design, happened, refuse
 from tenurelens.operators.evaluate import sample_rows
-from tenurelens.operators.partials import (
-    SLOT_SCHEMA, collect_slots, columns_of, pack_upper, slot_batch, unpack_upper,
-)
+from tenurelens.operators.partials import columns_of, pack_upper, unpack_upper
+from tenurelens.operators.risksets import LEAST_ENTRIES, PART_BYTES
 from tenurelens.sources.schemas import AFT_COVARIATES, HORIZONS
 from tenurelens.sources.tables import read_parquet, write_parquet
 
@@ -60,34 +66,67 @@ def family_terms(family: str, z: np.ndarray, event: np.ndarray):
     )
 
 
-def likelihood_sums(rows: DataFrame, family: str, theta: np.ndarray):
-    """(log-likelihood, gradient, Hessian) in (beta..., b, ln sigma)."""
-    p = len(theta) - 2
-    size = 1 + (p + 2) + (p + 2) * (p + 3) // 2
-    sigma = math.exp(theta[-1])
-    xs = [f"x{k}" for k in range(p)]
+class Prepared(NamedTuple):
+    """Packed rows (log_t, event, x0..), their design, number, and mean and deviation of log_t."""
+
+    rows: DataFrame
+    design: Design
+    n: int
+    mean: float | None
+    spread: float | None
+
 
-    def sums(batches):
-        total = np.zeros(size)
-        hess = np.zeros((p + 2, p + 2))
+def pack(rows: DataFrame, p: int, n: int) -> DataFrame:
+    """Rows (log_t, event, x0.., _salt) as blocks of numbers, kept until the caller drops them."""
+    spark = rows.sparkSession
+    parts = max(
+        math.ceil(n * 8 * (p + 2) / PART_BYTES), min(spark.sparkContext.defaultParallelism, math.ceil(n / LEAST_ENTRIES)), 1,
+    )
+    columns = ["log_t", "event", *[f"x{k}" for k in range(p)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            design = np.hstack([columns_of(batch, xs), np.ones((batch.num_rows, 1))])
-            log_t, event = columns_of(batch, ["log_t", "event"]).T
-            z = (log_t - design @ theta[:-1]) / sigma
-            ll, g, h = family_terms(family, z, event)
-            total[0] += float(ll.sum() - (event * (theta[-1] + log_t)).sum())
-            total[1 : p + 2] += design.T @ (-g / sigma)
-            total[p + 2] += float((-g * z - event).sum())
-            hess[: p + 1, : p + 1] += (design * (h / sigma**2)[:, None]).T @ design
-            mixed = design.T @ ((h * z + g) / sigma)
-            hess[: p + 1, p + 1] += mixed
-            hess[p + 1, : p + 1] += mixed
-            hess[p + 1, p + 1] += float((h * z * z + g * z).sum())
+            if batch.num_rows:
+                yield pa.record_batch([pa.array([columns_of(batch, columns).tobytes()], pa.binary())], names=["block"])
+
+    return rows.repartition(parts, "_salt").select(columns).mapInArrow(run, "block binary").persist()
+
+
+def likelihood_sums(rows: DataFrame, p: int, asked: list[tuple[str, np.ndarray]]):
+    """(log-likelihood, gradient, Hessian) of every family at its parameters, from packed rows."""
+    size = 1 + (p + 2) + (p + 2) * (p + 3) // 2
+
+    def block_sums(block: np.ndarray, family: str, theta: np.ndarray) -> np.ndarray:
+        total, hess = np.zeros(size), np.zeros((p + 2, p + 2))
+        sigma = math.exp(theta[-1])
+        design = np.hstack([block[:, 2:], np.ones((len(block), 1))])
+        log_t, event = block[:, 0], block[:, 1]
+        z = (log_t - design @ theta[:-1]) / sigma
+        ll, g, h = family_terms(family, z, event)
+        total[0] = float(ll.sum() - (event * (theta[-1] + log_t)).sum())
+        total[1 : p + 2] = design.T @ (-g / sigma)
+        total[p + 2] = float((-g * z - event).sum())
+        hess[: p + 1, : p + 1] = (design * (h / sigma**2)[:, None]).T @ design
+        mixed = design.T @ ((h * z + g) / sigma)
+        hess[: p + 1, p + 1] = mixed
+        hess[p + 1, : p + 1] = mixed
+        hess[p + 1, p + 1] = float((h * z * z + g * z).sum())
         total[p + 3 :] = pack_upper(hess)
-        yield slot_batch(total)
+        return total
 
-    slots = collect_slots(rows.mapInArrow(sums, SLOT_SCHEMA), size)
-    return float(slots[0]), slots[1 : p + 3], unpack_upper(slots[p + 3 :], p + 2)
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(asked), size))
+        with np.errstate(over="ignore", invalid="ignore"):
+            for batch in batches:
+                for packed in batch.column("block"):
+                    block = np.frombuffer(packed.as_buffer()).reshape(-1, p + 2)
+                    total += np.stack([block_sums(block, family, theta) for family, theta in asked])
+        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    total = np.zeros((len(asked), size))
+    for row in rows.mapInArrow(sums, "sums binary").collect():
+        total += np.frombuffer(row["sums"]).reshape(total.shape)
+    return [(float(s[0]), s[1 : p + 3], unpack_upper(s[p + 3 :], p + 2)) for s in total]
 
 
 def ascent_direction(grad: np.ndarray, hess: np.ndarray) -> np.ndarray:
@@ -207,28 +246,30 @@ class AftModel:
 
 def prepare(df: DataFrame, design: Design, duration: str, event: str) -> DataFrame:
     return design.matrix(
-        df, [F.ln(F.col(duration).cast("double")).alias("log_t"), F.col(event).cast("double").alias("event")]
+        df, [F.ln(F.col(duration).cast("double")).alias("log_t"), F.col(event).cast("double").alias("event"), F.col("_salt")]
     )
 
 
-def maximise(rows: DataFrame, family: str, p: int, penalizer: float, max_steps: int, tolerance: float, theta=None):
-    if theta is None:
-        mean, spread = rows.agg(F.avg("log_t"), F.stddev_pop("log_t")).first()
-        theta = np.concatenate([np.zeros(p), [mean or 0.0, math.log(max(spread or 1.0, 1e-3))]])
+def walk(
+    prepared: Prepared, penalizer: float, max_steps: int, tolerance: float
+) -> Generator[np.ndarray, tuple, tuple[np.ndarray, float, int]]:
+    """Newton's method: yields parameters, is sent what `likelihood_sums` has for them, returns the optimum."""
+    p = len(prepared.design.terms)
+    theta = np.concatenate([np.zeros(p), [prepared.mean or 0.0, math.log(max(prepared.spread or 1.0, 1e-3))]])
     ridge = np.concatenate([np.full(p, penalizer), [0.0, 0.0]])
 
-    def evaluate(at):
-        with np.errstate(over="ignore", invalid="ignore"):
-            ll, grad, hess = likelihood_sums(rows, family, at)
+    def penalised(at, value):
+        ll, grad, hess = value
         return ll, ll - 0.5 * float(ridge @ (at * at)), grad - ridge * at, hess - np.diag(ridge)
 
-    ll, objective, grad, hess = evaluate(theta)
+    ll, objective, grad, hess = penalised(theta, (yield theta))
     taken = 0
     while taken < max_steps:
         direction = ascent_direction(grad, hess)
         scale, trial = 1.0, None
         for _ in range(40):
-            trial = evaluate(theta + scale * direction)
+            at = theta + scale * direction
+            trial = penalised(at, (yield at))
             if np.isfinite(trial[1]) and trial[1] >= objective - 1e-10 * abs(objective):
                 break
             scale, trial = scale / 2.0, None
@@ -243,6 +284,22 @@ def maximise(rows: DataFrame, family: str, p: int, penalizer: float, max_steps:
     return theta, ll, taken
 
 
+def maximise(prepared: Prepared, families, penalizer: float, max_steps: int, tolerance: float) -> dict[str, tuple]:
+    """(parameters, log-likelihood, steps) per family; one round evaluates all families that are not done."""
+    p, found = len(prepared.design.terms), {}
+    walks = {f: walk(prepared, penalizer, max_steps, tolerance) for f in families}
+    asked = {f: next(w) for f, w in walks.items()}
+    while asked:
+        values = likelihood_sums(prepared.rows, p, list(asked.items()))
+        for family, value in zip(list(asked), values, strict=True):
+            try:
+                asked[family] = walks[family].send(value)
+            except StopIteration as end:
+                found[family] = end.value
+                del asked[family]
+    return found
+
+
 def fit_aft(
     df: DataFrame,
     family: str = "weibull",
@@ -252,35 +309,53 @@ def fit_aft(
     penalizer: float = 0.0,
     max_steps: int = 100,
     tolerance: float = 1e-7,
-    prepared: tuple[DataFrame, Design, int] | None = None,
 ) -> AftModel:
-    """Covariates without variance are left out. `prepared` shares rows between families."""
-    if family not in FAMILIES:
-        raise ValueError(f"family must be one of {FAMILIES}, got {family!r}")
-    own = prepared is None
-    rows, design, n = prepared or shared_rows(df, duration, event, covariates)
+    """Covariates without variance are left out."""
+    return fit_families(df, [family], duration, event, covariates, penalizer, max_steps, tolerance)[family]
+
+
+def fit_families(
+    df: DataFrame, families, duration: str, event: str, covariates: list[str] | None, penalizer: float,
+    max_steps: int = 100, tolerance: float = 1e-7,
+) -> dict[str, AftModel]:
+    """The families on rows prepared once, side by side."""
+    for family in families:
+        if family not in FAMILIES:
+            raise ValueError(f"family must be one of {FAMILIES}, got {family!r}")
+    prepared = shared_rows(df, duration, event, covariates)
     try:
-        theta, ll, taken = maximise(rows, family, len(design.terms), penalizer, max_steps, tolerance)
+        found = maximise(prepared, families, penalizer, max_steps, tolerance)
     finally:
-        if own:
-            rows.unpersist()
-    mean = np.array([m for _, m, _ in design.numeric])
-    std = np.array([s for _, _, s in design.numeric])
-    beta = theta[:-2] / std if len(std) else theta[:-2]
-    intercept = float(theta[-2] - (beta @ mean if len(std) else 0.0))
-    return AftModel(
-        family, [c for c, _, _ in design.numeric], beta, intercept, float(math.exp(theta[-1])),
-        ll, n, df.sparkSession, penalizer, taken,
-    )
+        prepared.rows.unpersist()
+    numeric = prepared.design.numeric
+    mean = np.array([m for _, m, _ in numeric])
+    std = np.array([s for _, _, s in numeric])
+    models = {}
+    for family in families:
+        theta, ll, taken = found[family]
+        beta = theta[:-2] / std if len(std) else theta[:-2]
+        intercept = float(theta[-2] - (beta @ mean if len(std) else 0.0))
+        models[family] = AftModel(
+            family, [c for c, _, _ in numeric], beta, intercept, float(math.exp(theta[-1])),
+            ll, prepared.n, df.sparkSession, penalizer, taken,
+        )
+    return models
 
 
-def shared_rows(df: DataFrame, duration: str, event: str, covariates: list[str] | None):
+def shared_rows(df: DataFrame, duration: str, event: str, covariates: list[str] | None) -> Prepared:
     covariates = AFT_COVARIATES if covariates is None else covariates
-    refuse(df, ~F.coalesce(F.col(duration) > 0, F.lit(False)), "a null or non-positive duration")
-    known = df.withColumn(event, happened(event))
-    design = fit_design(known, covariates, [])
-    rows = prepare(known, design, duration, event).persist()
-    return rows, design, rows.count()
+    used = needed(df, [duration, event, *covariates]).persist()
+    try:
+        refuse(used, ~F.coalesce(F.col(duration) > 0, F.lit(False)), "a null or non-positive duration")
+        known = used.withColumn(event, happened(event))
+        design = fit_design(known, covariates, [])
+        rows = prepare(known, design, duration, event)
+        mean, spread, n = rows.agg(F.avg("log_t"), F.stddev_pop("log_t"), F.count(F.lit(1))).first()
+        packed = pack(rows, len(design.terms), n)
+        packed.count()
+    finally:
+        used.unpersist()
+    return Prepared(packed, design, n, mean, spread)
 
 
 def fit_all_aft(
@@ -288,13 +363,7 @@ def fit_all_aft(
     covariates: list[str] | None = None, penalizer: float = 0.0,
 ) -> dict[str, AftModel]:
     """All three families on one prepared table."""
-    prepared = shared_rows(df, duration, event, covariates)
-    try:
-        return {
-            f: fit_aft(df, f, duration, event, penalizer=penalizer, prepared=prepared) for f in FAMILIES
-        }
-    finally:
-        prepared[0].unpersist()
+    return fit_families(df, FAMILIES, duration, event, covariates, penalizer)
 
 
 def aft_report(models: dict[str, AftModel]) -> DataFrame:

@@ -115,3 +115,27 @@ def test_all_families_report_save_and_mean_curve(spark, tmp_path):
 def test_unknown_family_is_rejected(spark):
     with pytest.raises(ValueError):
         A.fit_aft(spark.range(1), "gamma")
+
+
+def test_families_side_by_side_read_the_rows_once(spark, monkeypatch):
+    rows = [(k, float(1 + (k * 37) % 90), k % 3 > 0, float(k % 7)) for k in range(200)]
+    df = spark.createDataFrame(rows, "customer_id int, duration_days double, is_churned boolean, u double")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    jobs = []
+    plain = A.likelihood_sums
+    monkeypatch.setattr(A, "likelihood_sums", lambda *a, **b: jobs.append(1) or plain(*a, **b))
+    found = A.fit_all_aft(df.withColumn("is_churned", df.is_churned.cast("int")).mapInArrow(
+        counted, "customer_id int, duration_days double, is_churned int, u double"
+    ), covariates=["u"])
+    assert read.value == 200
+    rounds = len(jobs)
+    assert rounds < sum(m.steps for m in found.values())
+    for family, model in found.items():
+        one = A.fit_aft(df.withColumn("is_churned", df.is_churned.cast("int")), family, covariates=["u"])
+        assert np.allclose(one.beta, model.beta, atol=1e-9) and one.log_likelihood == pytest.approx(model.log_likelihood)
