@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tenurelens.operators import aft, cox, evaluate
 from tenurelens.operators import lifetable as LT
 from tenurelens.operators.concordance import concordance, concordance_by
+from tenurelens.sources.schemas import AFT_COVARIATES, COX_CATEGORICAL, COX_NUMERIC
 
 REPORT = (
     "model string, concordance_index double, aic double, bic double, median_survival_days double, "
@@ -23,7 +24,26 @@ def compare_models(
     train: DataFrame, test: DataFrame, duration: str = "duration_days", event: str = "is_churned",
     numeric=None, categorical=None, aft_covariates=None, penalizer: float = 0.1, horizon: float = 90,
 ) -> DataFrame:
-    """Kaplan-Meier, Cox and the parametric families, fitted on train and ranked on test."""
+    """Kaplan-Meier, Cox and the parametric families, fitted on train and ranked on test.
+
+    Of both tables the columns that the models read are kept for all of them.
+    """
+    numeric = COX_NUMERIC if numeric is None else numeric
+    categorical = COX_CATEGORICAL if categorical is None else categorical
+    aft_covariates = AFT_COVARIATES if aft_covariates is None else aft_covariates
+    wanted = ("customer_id", duration, event, *numeric, *categorical, *aft_covariates)
+    train, test = (df.select(*dict.fromkeys(c for c in wanted if c in df.columns)).persist() for df in (train, test))
+    try:
+        rows = _compared(train, test, duration, event, numeric, categorical, aft_covariates, penalizer, horizon)
+    finally:
+        train.unpersist()
+        test.unpersist()
+    return evaluate.ranked_report(train.sparkSession.createDataFrame(rows, REPORT))
+
+
+def _compared(
+    train: DataFrame, test: DataFrame, duration: str, event: str, numeric, categorical, aft_covariates, penalizer: float, horizon: float
+) -> list[tuple]:
     km = LT.km_summary(LT.kaplan_meier(train, duration, event), horizons=(90,), never=None).first()
     # a constant prediction ties on every comparable pair; without one there is no index
     same = test.select(F.lit(0.0).alias("risk"), duration, event)
@@ -39,7 +59,7 @@ def compare_models(
         rows.append((
             f"parametric_{family}", round_to(c, 4), round(m.aic, 2), round(m.bic, 2), None, None, None, None,
         ))
-    return evaluate.ranked_report(train.sparkSession.createDataFrame(rows, REPORT))
+    return rows
 
 
 def cross_validate(

@@ -48,3 +48,23 @@ def test_time_varying_fit_predicts(df):
     long = df.selectExpr("customer_id", "0D AS start", "duration_days AS stop", "is_churned", "u")
     model = M.CoxPH().fit_time_varying(long, ["u"])
     assert model.survival_at_horizons(long, (30,)).count() == df.count()
+
+
+def test_compared_models_read_each_table_once(spark):
+    from tenurelens.operators import selection
+
+    shape = "customer_id int, duration_days int, is_churned int, u double"
+    rows = [(k, 1 + (k * 37) % 90, int(k % 3 > 0), float((k * 13) % 17)) for k in range(240)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, shape).mapInArrow(counted, shape)
+    report = selection.compare_models(
+        df.where("customer_id < 160"), df.where("customer_id >= 160"), numeric=["u"], categorical=[], aft_covariates=["u"]
+    )
+    assert report.count() == 5
+    assert read.value == 2 * 240
