@@ -21,20 +21,28 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenurelens.operators.partials import columns_of, pack_upper, unpack_upper
 from tenurelens.operators.ties import tie_sums
 
+#: packed rows of a part: of other fits, and of a layout
 PART_BYTES = 16 << 20
+LAYOUT_BYTES = 64 << 20
+#: a block of a part, and an Arrow batch of blocks: larger ones are copied from fresh memory each time they are read
+BLOCK_BYTES = 256 << 10
+BATCH_BYTES = 1 << 20
 LEAST_ENTRIES = 4096
+#: entries whose products stay in a core's cache
+STRIPE = 2048
 EVERY = -1
 
 BLOCKS = "part int, seq int, g binary, t binary, e binary, s binary, f binary, x binary"
@@ -68,6 +76,12 @@ def names(prefix: str, p: int) -> list[str]:
     return [f"{prefix}{k}" for k in range(p)]
 
 
+def part_count(size: int, entries: int, cores: int) -> int:
+    """Parts of LAYOUT_BYTES at most, as whole rounds of tasks: every pass pays for each of its rounds."""
+    parts = max(math.ceil(size / LAYOUT_BYTES), min(cores, math.ceil(entries / LEAST_ENTRIES)), 1)
+    return parts if parts <= cores else cores * math.ceil(parts / cores)
+
+
 def lay_out(rows: DataFrame, p: int, folds: int = 0, parts: int | None = None) -> Layout:
     """Put rows (stop, event, x0.., and where wanted start, g, fold, salt) into time order.
 
@@ -100,29 +114,44 @@ def lay_out(rows: DataFrame, p: int, folds: int = 0, parts: int | None = None) -
         entries = entries.unionByName(opened)
     if parts is None:
         size = max(counts[1 : 1 + len(kept)]) * (2 if "start" in have else 1)
-        parts = max(
-            math.ceil(size * 8 * (p + 5) / PART_BYTES),
-            min(spark.sparkContext.defaultParallelism, math.ceil(size / LEAST_ENTRIES)), 1,
-        )
+        parts = part_count(size * 8 * (p + 5), size, spark.sparkContext.defaultParallelism)
     ordered = entries.repartitionByRange(parts, "g", "t", "salt").sortWithinPartitions("g", "t")
 
+    height = max(BLOCK_BYTES // (8 * (p + 5)), 1)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for seq, batch in enumerate(batches):
-            if batch.num_rows:
-                fields = [np.ascontiguousarray(batch.column("g").to_numpy())]
-                fields += [columns_of(batch, [c])[:, 0] for c in ("t", "e", "s")]
-                fields += [columns_of(batch, ["f"])[:, 0].astype(np.int32), columns_of(batch, names("x", p))]
+        part, seq = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            fields = [batch.column("g").to_numpy(), *[columns_of(batch, [c])[:, 0] for c in ("t", "e", "s")]]
+            fields += [columns_of(batch, ["f"])[:, 0].astype(np.int32), columns_of(batch, names("x", p))]
+            for i in range(0, batch.num_rows, height):
                 yield pa.record_batch(
                     [pa.array([part], pa.int32()), pa.array([seq], pa.int32()),
-                     *[pa.array([f.tobytes()], pa.binary()) for f in fields]],
+                     *[pa.array([f[i : i + height].tobytes()], pa.binary()) for f in fields]],
                     names=["part", "seq", "g", "t", "e", "s", "f", "x"],
                 )
+                seq += 1
 
     blocks = ordered.select("g", "t", "e", "s", "f", *names("x", p)).mapInArrow(pack, BLOCKS).persist()
     return Layout(blocks, p, max(folds, 1), n_rows, n_events)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_BYTES, or of a lower limit that is set, for the jobs run inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    limit = before.lower().rstrip("b")
+    if limit.lstrip("-").isdigit() and 0 < int(limit) <= BATCH_BYTES:
+        yield
+        return
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _read(batches: Iterator[pa.RecordBatch], p: int) -> tuple[int, Entries] | None:
     """The part's number and its entries."""
     pieces, part = [], 0
@@ -137,6 +166,8 @@ def _read(batches: Iterator[pa.RecordBatch], p: int) -> tuple[int, Entries] | No
     if not pieces:
         return None
     pieces.sort(key=lambda piece: piece[0])
+    if len(pieces) == 1:
+        return part, Entries(*pieces[0][1:])
     return part, Entries(*[np.concatenate([piece[k] for piece in pieces]) for k in range(1, 7)])
 
 
@@ -279,14 +310,15 @@ def _carry_back(sequence: list[Key | Between], p: int, efron: bool) -> None:
             carry = item.own + carry
 
 
-def _frames(ends: list, sequence: list[Key | Between]) -> dict[int, Frame]:
+def _frames(ends: list, sequence: list[Key | Between]) -> dict[int, tuple]:
+    """The `Frame` of each part as a plain tuple: broadcasts are pickled by reference, and executors have no copy of this package."""
     keys = {(k.g, k.t): k for k in sequence if isinstance(k, Key)}
     after = {(b.part, b.g): b.risk for b in sequence if isinstance(b, Between)}
     out = {}
     for row in ends:
         first, last = keys[row["g_first"], row["t_first"]], keys[row["g_last"], row["t_last"]]
         carry = after.get((row["part"], row["g_last"]), np.zeros_like(first.risk))
-        out[row["part"]] = Frame(carry, first.ties[1:3].T, last.ties[1:3].T)
+        out[row["part"]] = tuple(Frame(carry, first.ties[1:3].T, last.ties[1:3].T))
     return out
 
 
@@ -308,21 +340,53 @@ class Inside(NamedTuple):
     risk: np.ndarray
 
 
+def _sums_by_time(x: np.ndarray, weights: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sums of weight * x (times x weights x p) over the entries of each time; `begin` says where times begin.
+
+    A time of many entries is a product; short ones are summed stripe by stripe. Neither makes a copy
+    of the part.
+    """
+    out, ends = np.empty((len(begin), len(weights), x.shape[1])), np.r_[begin[1:], len(x)]
+    i = 0
+    while i < len(begin):
+        # the times that end within a stripe, or a single longer one
+        j = max(int(np.searchsorted(ends, begin[i] + STRIPE, "right")), i + 1)
+        a, b = int(begin[i]), int(ends[j - 1])
+        if 16 * (j - i) <= b - a or j == i + 1:
+            for k in range(i, j):
+                here = slice(begin[k], ends[k])
+                out[k] = weights[:, here] @ x[here]
+        else:
+            for m, w in enumerate(weights):
+                out[i:j, m] = np.add.reduceat(w[a:b, None] * x[a:b], begin[i:j] - a, axis=0)
+        i = j
+    return out
+
+
+def _gram(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The sum of weight * x x' over the entries, stripe by stripe."""
+    out = np.zeros((x.shape[1], x.shape[1]))
+    for i in range(0, len(x), STRIPE):
+        stripe = x[i : i + STRIPE]
+        out += (stripe * weights[i : i + STRIPE, None]).T @ stripe
+    return out
+
+
 def _inside(rows: Entries, cut: Cuts, w: np.ndarray, e: np.ndarray, carry: np.ndarray) -> Inside:
     where = slice(cut.first, cut.last)
     g, t, x = rows.g[where], rows.t[where], rows.x[where]
     begin = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])]) if len(g) else np.zeros(0, np.int64)
     w, e = w[where], e[where]
-    block = np.column_stack([e, w * e, (w * e)[:, None] * x, e[:, None] * x, w, w[:, None] * x])
-    sums = np.add.reduceat(block, begin, axis=0) if len(g) else np.zeros((0, block.shape[1]))
-    p = x.shape[1]
-    risk = sums[:, 2 + 2 * p :]
+    weights = np.stack([e, w * e, w])
+    sums = np.add.reduceat(weights, begin, axis=1) if len(g) else np.zeros((3, 0))
+    moved = _sums_by_time(x, weights, begin)
+    risk = np.column_stack([sums[2], moved[:, 2]])
     g = g[begin]
     for i, j in _segments(g):
         risk[i:j] = np.cumsum(risk[i:j][::-1], axis=0)[::-1]
         if g[i] == rows.g[-1]:
             risk[i:j] += carry
-    return Inside(begin, g, t[begin], sums[:, 0], sums[:, 1], sums[:, 2 : 2 + p], sums[:, 2 + p : 2 + 2 * p], risk)
+    return Inside(begin, g, t[begin], sums[0], sums[1], moved[:, 1], moved[:, 0], risk)
 
 
 def _time_sums(d, e0, e1, v, risk, ties, beta) -> tuple[float, np.ndarray, np.ndarray]:
@@ -342,7 +406,7 @@ def _insides(layout: Layout, betas, models: list[int], frames, efron: bool) -> D
         if got is None:
             return
         part, rows = got
-        cut, frame, out = _cuts(rows), frames.value[part], []
+        cut, frame, out = _cuts(rows), Frame(*frames.value[part]), []
         n, head, tail = len(rows.g), int(rows.g[0]), int(rows.g[-1])
         for m, (beta, model) in enumerate(zip(betas.value, models, strict=True)):
             w, e = _weights(rows, beta, model)
@@ -365,10 +429,10 @@ def _insides(layout: Layout, betas, models: list[int], frames, efron: bool) -> D
                     np.full(cut.first, a_first), np.repeat(upto, size), np.full(ends, before_last + a_last)
                 ])
                 own = np.concatenate([np.full(cut.first, b_first), np.repeat(b, size), np.full(ends, b_last)])
-                gram = (rows.x * (w * (hazard - e * own))[:, None]).T @ rows.x
+                gram = _gram(rows.x, w * (hazard - e * own))
                 # the entries whose stratum may have begun in an earlier part
                 stratum = slice(0, int(np.searchsorted(rows.g, head, "right")))
-                shift = (rows.x[stratum] * w[stratum, None]).T @ rows.x[stratum]
+                shift = _gram(rows.x[stratum], w[stratum])
             out += [[ll], grad, pack_upper(gram - zz), pack_upper(shift), [mids[head], mids[tail]]]
         yield pa.record_batch(
             [pa.array([part], pa.int32()), pa.array([np.concatenate(out).tobytes()], pa.binary())], names=["part", "payload"]
@@ -384,11 +448,12 @@ def evaluate(
     spark, p, k = layout.blocks.sparkSession, layout.p, len(betas)
     models = list(range(k)) if models is None else models
     sent = spark.sparkContext.broadcast([np.asarray(b, dtype=float) for b in betas])
-    ends = _ends(layout, sent, models).collect()
-    sequence = _sequence(ends, p, k)
-    _carry_back(sequence, p, efron)
-    frames = spark.sparkContext.broadcast(_frames(ends, sequence))
-    found = {r["part"]: r["payload"] for r in _insides(layout, sent, models, frames, efron).collect()}
+    with small_batches(spark):
+        ends = _ends(layout, sent, models).collect()
+        sequence = _sequence(ends, p, k)
+        _carry_back(sequence, p, efron)
+        frames = spark.sparkContext.broadcast(_frames(ends, sequence))
+        found = {r["part"]: r["payload"] for r in _insides(layout, sent, models, frames, efron).collect()}
     frames.destroy()
     sent.destroy()
     half = p * (p + 1) // 2
@@ -451,7 +516,7 @@ def risk_tables(layout: Layout, betas: list[np.ndarray]) -> DataFrame:
         part, rows = got
         cut = _cuts(rows)
         for m, beta in enumerate(sent.value):
-            inside = _inside(rows, cut, *_weights(rows, beta, m), frames.value[part].carry[m])
+            inside = _inside(rows, cut, *_weights(rows, beta, m), Frame(*frames.value[part]).carry[m])
             columns = np.column_stack([inside.d, inside.risk[:, 0], inside.e0, inside.risk[:, 1:], inside.e1, inside.v])
             yield pa.record_batch(
                 [pa.array(np.full(len(inside.g), m, np.int32)), pa.array(inside.g), pa.array(inside.t),

@@ -1,6 +1,8 @@
 """Risk-set sums over laid-out rows, strata, folds, moving covariates and as-of joins."""
 
 import math
+import pickle
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -350,3 +352,88 @@ def test_rows_of_one_part_are_split_in_many(spark):
     split = episodes.split_at(df, episodes.event_times(df))
     assert split.select(F.spark_partition_id()).distinct().count() > 4
     assert split.count() == 10 * sum(range(1, 21))
+
+
+# ---------------------------------------------------------------- what a pass over the parts costs
+
+
+def test_blocks_are_small(spark):
+    p = 8
+    rows = spark.range(20_000).select(
+        (F.col("id") % 50).alias("stop"), (F.col("id") % 3 == 0).cast("double").alias("event"),
+        *[F.rand(k).alias(f"x{k}") for k in range(p)],
+    )
+    layout = R.lay_out(rows, p, parts=2)
+    sizes = [(r["part"], r["seq"], len(r["x"])) for r in layout.blocks.select("part", "seq", "x").collect()]
+    layout.drop()
+    assert max(s for _, _, s in sizes) <= 256 << 10
+    assert len({s[:2] for s in sizes}) == len(sizes) and sum(s for _, _, s in sizes) == 20_000 * 8 * p
+
+
+def test_parts_fill_whole_rounds_of_tasks():
+    assert R.part_count(10 << 20, 100_000, 12) == 12
+    assert R.part_count(100, 5, 12) == 1
+    # 5.4 million rows of 42 terms
+    assert R.part_count(5_400_000 * 8 * 47, 5_400_000, 12) == 36
+
+
+@pytest.mark.parametrize("strata", [1, 7])
+def test_sums_of_several_blocks_and_stripes(frame, data, monkeypatch, strata):
+    monkeypatch.setattr(R, "BLOCK_BYTES", 8 * 8 * 10)
+    monkeypatch.setattr(R, "STRIPE", 48)
+    beta = np.array([0.4, -0.2, 0.1])
+    layout = R.lay_out(prepared(frame, (F.col("customer_id") % strata).alias("g"), F.col("start")), 3, parts=3)
+    n = layout.blocks.count()
+    ll, grad, info = R.evaluate(layout, [beta])[0]
+    layout.drop()
+    assert n > 3 * 10
+    want = likelihood(
+        data[["u", "v", "w"]].to_numpy(), data.start.to_numpy(), data.duration_days.to_numpy(),
+        data.is_churned.to_numpy(), data.customer_id.to_numpy() % strata, beta,
+    )
+    assert ll == pytest.approx(want[0], rel=1e-10)
+    assert np.allclose(grad, want[1], atol=1e-8) and np.allclose(info, want[2], atol=1e-8)
+
+
+def entries(n, p, times):
+    rng = np.random.default_rng(n)
+    return R.Entries(
+        np.zeros(n, np.int64), np.sort(rng.integers(0, times, n)).astype(float), (rng.random(n) < 0.3) * 1.0,
+        np.ones(n), np.full(n, R.EVERY, np.int32), rng.normal(size=(n, p)),
+    )
+
+
+@pytest.mark.parametrize("times", [200, 100_000])
+def test_a_pass_makes_no_copy_of_its_part(times):
+    rows = entries(100_000, 20, times)
+    cut, (w, e) = R._cuts(rows), R._weights(rows, np.full(20, 0.1), 0)
+    tracemalloc.start()
+    inside = R._inside(rows, cut, w, e, np.zeros(21))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    held = sum(a.nbytes for a in inside)
+    assert peak < 0.6 * rows.x.nbytes + 3 * held
+    here = slice(cut.first, cut.last)
+    at = np.searchsorted(inside.t, rows.t[here])
+    for got, weight in ((inside.e1, w * e), (inside.v, e)):
+        want = np.zeros((len(inside.t), 20))
+        np.add.at(want, at, weight[here, None] * rows.x[here])
+        assert np.allclose(got, want, atol=1e-9)
+    assert np.allclose(inside.risk[0, 1:], w[here] @ rows.x[here], atol=1e-8)
+
+
+def test_batches_are_small_while_passes_run_only(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    with R.small_batches(spark):
+        assert spark.conf.get(name) == str(1 << 20)
+    assert spark.conf.get(name) == before
+
+
+def test_broadcast_sums_need_no_package_in_the_tasks():
+    p, k = 2, 1
+    sums = np.arange(2.0 * (3 + 3 * p) + 2 * (1 + p)) + 1
+    ends = [{"part": 0, "g_first": 0, "t_first": 1.0, "g_last": 0, "t_last": 5.0, "one": False, "payload": sums.tobytes()}]
+    sequence = R._sequence(ends, p, k)
+    R._carry_back(sequence, p, True)
+    assert b"tenurelens" not in pickle.dumps(R._frames(ends, sequence))
