@@ -455,10 +455,13 @@ def fit_cox(
     (`penalty="sum"`) or to the mean one (`penalty="mean"`). A model of the same terms given
     as `first` is where the iterations begin. With `strata` rows are at risk only with rows of
     the same value of that column (null is one of them), and every value has its own baseline.
+    Rows that the caller keeps (`persist`) are read there and not kept a second time.
     `parts` sets the number of parts the rows are laid out in."""
     numeric = COX_NUMERIC if numeric is None else numeric
     categorical = COX_CATEGORICAL if categorical is None else categorical
-    used = needed(df, [duration, event, *numeric, *categorical, *([] if strata is None else [strata])]).persist()
+    used = needed(df, [duration, event, *numeric, *categorical, *([] if strata is None else [strata])])
+    if not df.is_cached:
+        used.persist()
     try:
         design = fit_design(used, [c for c in numeric if c != strata], [c for c in categorical if c != strata])
         number, numbers = with_strata(used, strata)
@@ -471,7 +474,8 @@ def fit_cox(
             first=first.beta if known_terms else None, parts=parts,
         )
     finally:
-        used.unpersist()
+        if used.is_cached:
+            used.unpersist()
     return build(design, fitted, penalizer, l1_ratio, ties, strata, numbers)
 
 

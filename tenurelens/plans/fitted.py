@@ -429,7 +429,7 @@ def terms_sql() -> str:
 @query(terms_sql())
 def cox_matrix_optimum(spark, root):
     """The terms of that fit, and whether the penalised score, summed anew by time, vanishes in each."""
-    rows = fit_matrix(spark, root).persist()
+    rows = cox.needed(fit_matrix(spark, root), ["duration_days", "is_churned", *COX_NUMERIC, *COX_CATEGORICAL]).persist()
     try:
         model = cox.fit_cox(rows)
         score = cox.score_vector(model, rows) - model.penalizer * model.beta

@@ -437,3 +437,13 @@ def test_broadcast_sums_need_no_package_in_the_tasks():
     sequence = R._sequence(ends, p, k)
     R._carry_back(sequence, p, True)
     assert b"tenurelens" not in pickle.dumps(R._frames(ends, sequence))
+
+
+def test_kept_rows_are_not_kept_twice(spark, frame, monkeypatch):
+    kept, persist = [], type(frame).persist
+    monkeypatch.setattr(type(frame), "persist", lambda df, *a: kept.append(df.columns) or persist(df, *a))
+    model = cox.fit_cox(frame, numeric=["u", "v", "w"], categorical=[])
+    # only the blocks of the layout
+    assert [c for c in kept if "x" not in c] == []
+    again = cox.fit_cox(frame.select("*"), numeric=["u", "v", "w"], categorical=[])
+    assert [c for c in kept if "x" not in c] != [] and np.allclose(model.beta, again.beta, atol=1e-12)
